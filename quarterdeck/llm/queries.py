@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
+from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op7_mix_sources": op7_mix_sources,
+        "op8_exact_top_k": op8_exact_top_k,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_top_k": OP8_SQL}
