@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
@@ -13,6 +14,7 @@ from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_language_id": op3_language_id,
         "op7_mix_sources": op7_mix_sources,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
