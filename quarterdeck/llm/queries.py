@@ -11,6 +11,7 @@ from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 from quarterdeck.llm.toxicity import op5_toxicity
+from quarterdeck.llm.weighted_minhash import op10_document_fingerprints
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_mix_sources": op7_mix_sources,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
+        "op10_document_fingerprints": op10_document_fingerprints,
     }
 
 
