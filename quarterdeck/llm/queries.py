@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.mixing import op7_mix_sources
+from quarterdeck.llm.pii import op6_pii
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 from quarterdeck.llm.toxicity import op5_toxicity
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_language_id": op3_language_id,
         "op5_toxicity": op5_toxicity,
+        "op6_pii": op6_pii,
         "op7_mix_sources": op7_mix_sources,
         "op8_exact_top_k": op8_exact_top_k,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
