@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.mixing import op7_mix_sources
+from quarterdeck.llm.pieces import op2_sentencepiece
 from quarterdeck.llm.pii import op6_pii
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
@@ -17,6 +18,7 @@ from quarterdeck.llm.weighted_minhash import op10_document_fingerprints
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_language_id": op3_language_id,
         "op5_toxicity": op5_toxicity,
         "op6_pii": op6_pii,
