@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: A word is a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: Rows up to which a side with narrow rows counts as small enough to broadcast.
 BROADCAST_ROWS = 20_000
 
@@ -40,7 +42,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # what the write has shuffled is of no more use
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

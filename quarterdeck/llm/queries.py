@@ -11,6 +11,7 @@ from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.pieces import op2_sentencepiece
 from quarterdeck.llm.pii import op6_pii
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
+from quarterdeck.llm.substrings import op1_suffix_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 from quarterdeck.llm.toxicity import op5_toxicity
 from quarterdeck.llm.weighted_minhash import op10_document_fingerprints
@@ -18,6 +19,7 @@ from quarterdeck.llm.weighted_minhash import op10_document_fingerprints
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_language_id": op3_language_id,
         "op5_toxicity": op5_toxicity,
