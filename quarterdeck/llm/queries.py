@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterdeck.llm.html_text import op4_html_extraction
 from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.pieces import op2_sentencepiece
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_suffix_dedup": op1_suffix_dedup,
         "op2_sentencepiece": op2_sentencepiece,
         "op3_language_id": op3_language_id,
+        "op4_html_extraction": op4_html_extraction,
         "op5_toxicity": op5_toxicity,
         "op6_pii": op6_pii,
         "op7_mix_sources": op7_mix_sources,
