@@ -148,3 +148,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"),
         (F.col("_mix_size") * F.col("_mix_copies")).alias("taken"), "source", F.col("_mix_copies").alias("copies"),
     )
+
+
+def take(docs: DataFrame, seed: int = 7, **targets) -> DataFrame:
+    """``docs``, all columns, each row as often as the mix of their sources takes it."""
+    mixed = mix(docs, words(F.col("text")), seed=seed, **targets)
+    times = F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))
+    return mixed.where("_mix_copies > 0").withColumn("_mix_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import materialise, read_table
@@ -186,3 +186,19 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; three-word shingles, links at 3 or fewer differing bits."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return near_duplicates(docs).select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """``docs``, all columns, with one row of each component: the one of the smallest doc_id.
+
+    Of several rows with that doc_id the one of the least text stays. Rows whose doc_id is null all stay.
+    """
+    found = materialise(near_duplicates(docs, width, radius).where("doc_id is not null"), "components")
+    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = materialise(kept, "kept")
+    alone = docs.join(kept.where("_rows = 1"), docs["doc_id"] == F.col("_kept"), "left_semi")
+    if kept.where("_rows > 1").limit(1).count():
+        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "long", "integer") and f.name not in ("doc_id", "text")])
+        several = docs.join(kept.where("_rows > 1"), docs["doc_id"] == F.col("_kept"), "left_semi")
+        alone = alone.unionByName(several.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place"))
+    return alone.unionByName(docs.where("doc_id is null"))

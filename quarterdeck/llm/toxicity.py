@@ -172,3 +172,18 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         "n_sentences", "n_offending", "worst_sentence", "worst_score",
     )
+
+
+def drop_toxic(docs: DataFrame, model: SentenceModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, whose whole text scores below the threshold. A null or wordless text stays."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most FEATURES weights
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        words = WordWeights(model.weights)
+        for batch in batches:
+            clean = [noisy_or([s for _, s in model.sentence_scores(t.as_py() or "", words)]) < threshold for t in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
