@@ -14,8 +14,12 @@ COPY_KEY = ("cusip", "put_call", "shares_or_principal_amount", "shares_or_princi
 
 
 def filings(submissions: DataFrame, covers: DataFrame, summaries: DataFrame, walk_covers: DataFrame) -> DataFrame:
-    """Data-set filings (submission with its cover, and summary where there is one) and the walk's, tagged by origin."""
-    joined = submissions.join(covers, "accession_number").join(summaries, "accession_number", "left").withColumn("origin", F.lit("data_set"))
+    """Data-set filings (submission with its cover, and summary where there is one) and the walk's, tagged by origin.
+
+    Provenance is the submission's.
+    """
+    source = ("source_file", "source_row", "source_content_key", "source_last_modified")
+    joined = submissions.join(covers.drop(*source), "accession_number").join(summaries.drop(*source), "accession_number", "left").withColumn("origin", F.lit("data_set"))
     return joined.unionByName(walk_covers.withColumn("origin", F.lit("walk")), allowMissingColumns=True)
 
 
