@@ -107,7 +107,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     terms = split.select(*key, "edit", F.explode(shingle_hashes(F.col("tokens"))).alias("h"))
     marks = signatures(terms, [*key, "edit"]).groupBy(*key).agg(*[F.max(F.when(F.col("edit") == e, F.col("signature"))).alias(name) for e, name in ((0, "mark"), (1, "edited_mark"))])
     none = F.array().cast("array<string>")
-    facts = placed.select(*key, "guest", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
+    # Written first, so that the texts' shuffle is dropped before the terms' pass shuffles them again.
+    facts = materialise(placed.select(*key, "guest", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256")), "edits")
     joined = facts.join(marks, key, "left").withColumns({c: F.coalesce(c, none) for c in ("mark", "edited_mark")})
     after = joined.withColumn("next_mark", F.coalesce(F.lead("mark").over(Window.partitionBy("bucket").orderBy("place")), none))
     return after.where("guest = 0").select(
