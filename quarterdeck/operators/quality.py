@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,50 +31,42 @@ def _say(template: str, *parts: Column | str) -> Column:
     return F.concat(*out)
 
 
-def untyped_amendment(state: DataFrame) -> DataFrame:
-    return _flag("untyped_amendment", state.where("is_amendment and amendment_type is null"), _say("{} names no amendment type on its cover; read as a restatement", "submission_type"))
-
-
-def second_original(state: DataFrame) -> DataFrame:
-    rows = state.where("submission_type = '13F-HR' and filing_role = 'restatement'")
-    return _flag("second_original", rows, _say("13F-HR at position {} of its lineage; read as a restatement", "filing_position"))
-
-
-def cover_box(state: DataFrame) -> DataFrame:
-    rows = state.where("coalesce(cover_is_amendment, false) <> is_amendment")
-    box = F.when(F.col("cover_is_amendment"), "Y").when(~F.col("cover_is_amendment"), "N").otherwise("blank")
-    return _flag("cover_box_disagrees_with_submission_type", rows, _say("submission type {}, amendment box {}", "submission_type", box))
-
-
-def report_type(state: DataFrame) -> DataFrame:
-    rows = state.where("(submission_type like '13F-NT%') <> (report_type = '13F NOTICE')")
-    return _flag("report_type_disagrees_with_submission_type", rows, _say("submission type {}, report type {}", "submission_type", "report_type"))
+def _flags(rows: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFrame:
+    """All rules (name, condition, detail) over one pass of the rows."""
+    hits = F.array_compact(F.array(*[F.when(condition, F.struct(F.lit(name).alias("check_name"), detail.cast("string").alias("detail"))) for name, condition, detail in rules]))
+    return rows.select(*LINEAGE, "accession_number", "origin", F.explode(hits).alias("_hit")).select("_hit.check_name", *LINEAGE, "accession_number", "origin", "_hit.detail")
 
 
-def cover_period(state: DataFrame) -> DataFrame:
-    rows = state.where(~F.col("report_calendar_or_quarter").eqNullSafe(F.col("period_of_report")))
-    return _flag("period_disagrees_with_cover", rows, _say("cover period {}", F.coalesce(F.col("report_calendar_or_quarter").cast("string"), F.lit("missing"))))
+def filing_checks(state: DataFrame) -> DataFrame:
+    """The checks of a filing by itself."""
+    c = F.col
+    box = F.when(c("cover_is_amendment"), "Y").when(~c("cover_is_amendment"), "N").otherwise("blank")
+    rules = [
+        ("untyped_amendment", c("is_amendment") & c("amendment_type").isNull(), _say("{} names no amendment type on its cover; read as a restatement", "submission_type")),
+        ("second_original", (c("submission_type") == "13F-HR") & (c("filing_role") == "restatement"), _say("13F-HR at position {} of its lineage; read as a restatement", "filing_position")),
+        ("cover_box_disagrees_with_submission_type", F.coalesce("cover_is_amendment", F.lit(False)) != c("is_amendment"), _say("submission type {}, amendment box {}", "submission_type", box)),
+        ("report_type_disagrees_with_submission_type", c("submission_type").startswith("13F-NT") != (c("report_type") == "13F NOTICE"), _say("submission type {}, report type {}", "submission_type", "report_type")),
+        ("period_disagrees_with_cover", ~c("report_calendar_or_quarter").eqNullSafe(c("period_of_report")), _say("cover period {}", F.coalesce(c("report_calendar_or_quarter").cast("string"), F.lit("missing")))),
+    ]
+    return _flags(state, rules)
 
 
-def chain_start(state: DataFrame) -> DataFrame:
-    first = F.row_number().over(Window.partitionBy(*LINEAGE).orderBy("filing_position"))
-    rows = state.where("filing_role <> 'notice'").withColumn("_n", first).where("_n = 1 and submission_type = '13F-HR/A'")
-    return _flag("lineage_starts_with_amendment", rows, _say("the first holdings filing of the lineage is a {} filed as 13F-HR/A", "filing_role"))
-
-
-def same_date_submitters(state: DataFrame) -> DataFrame:
-    day = Window.partitionBy(*LINEAGE, "filing_date")
+def order_checks(state: DataFrame) -> DataFrame:
+    """The checks of a filing's place among the holdings filings of its lineage; all windows share one exchange."""
+    c = F.col
+    own, day = Window.partitionBy(*LINEAGE), Window.partitionBy(*LINEAGE, "filing_date")
     submitter = F.substring("accession_number", 1, 10)
-    rows = state.where("filing_role <> 'notice'").withColumns({"_a": F.min(submitter).over(day), "_b": F.max(submitter).over(day)}).where("_a <> _b")
-    return _flag("filings_of_one_date_across_submitters", rows, _say("filed {} beside a filing from another submitter; accession order between them is arbitrary", "filing_date"))
-
-
-def number_order(state: DataFrame) -> DataFrame:
-    own = Window.partitionBy(*LINEAGE)
-    by_rule, by_number = F.row_number().over(own.orderBy(*filing_order())), F.row_number().over(own.orderBy("filing_date", "accession_number"))
-    rows = state.where("filing_role <> 'notice'").withColumns({"_a": by_rule, "_b": by_number}).where("_a <> _b")
-    number = F.coalesce(F.col("amendment_no").cast("string"), F.lit("none"))
-    return _flag("filing_order_set_by_amendment_number", rows, _say("amendment {} takes position {} among the filings of {}, against accession order", number, "filing_position", "filing_date"))
+    placed = state.where("filing_role <> 'notice'").withColumns({
+        "_nth": F.row_number().over(own.orderBy(*filing_order())), "_by_number": F.row_number().over(own.orderBy("filing_date", "accession_number")),
+        "_least": F.min(submitter).over(day), "_greatest": F.max(submitter).over(day),
+    })
+    number = F.coalesce(c("amendment_no").cast("string"), F.lit("none"))
+    rules = [
+        ("lineage_starts_with_amendment", (c("_nth") == 1) & (c("submission_type") == "13F-HR/A"), _say("the first holdings filing of the lineage is a {} filed as 13F-HR/A", "filing_role")),
+        ("filings_of_one_date_across_submitters", c("_least") != c("_greatest"), _say("filed {} beside a filing from another submitter; accession order between them is arbitrary", "filing_date")),
+        ("filing_order_set_by_amendment_number", c("_nth") != c("_by_number"), _say("amendment {} takes position {} among the filings of {}, against accession order", number, "filing_position", "filing_date")),
+    ]
+    return _flags(placed, rules)
 
 
 def summary_totals(state: DataFrame, totals: DataFrame) -> DataFrame:
@@ -149,12 +139,11 @@ def notice_with_holdings(state: DataFrame, totals: DataFrame) -> DataFrame:
     return _flag("notice_with_holdings", rows, _say("a notice that lists {} holdings; they are left out of canonical holdings", "holdings_count"))
 
 
-def data_quality_rows(filings: DataFrame, lineage: DataFrame, holdings: DataFrame, coverage: DataFrame, units: DataFrame) -> DataFrame:
-    """All checks. The inputs should be written tables, as each check reads them anew."""
-    state = filing_state(filings, lineage)
+def data_quality_rows(state: DataFrame, holdings: DataFrame, coverage: DataFrame, units: DataFrame) -> DataFrame:
+    """All checks. The inputs should be written tables, as several checks read them."""
     totals = holdings.groupBy("accession_number").agg(F.count(F.lit(1)).alias("holdings_count"), F.sum("value_as_filed").alias("_value"))
     parts = [
-        *[check(state) for check in STATE_CHECKS], summary_totals(state, totals), unrestated_addition(state, holdings), repeated_security(state, holdings), restated_addition(state, coverage),
+        filing_checks(state), order_checks(state), summary_totals(state, totals), unrestated_addition(state, holdings), repeated_security(state, holdings), restated_addition(state, coverage),
         copied_holding(state, holdings), unit_override(state, units), off_yardstick(state, holdings), notice_with_holdings(state, totals),
     ]
     out = parts[0]
@@ -163,10 +152,6 @@ def data_quality_rows(filings: DataFrame, lineage: DataFrame, holdings: DataFram
     return out
 
 
-#: The checks that are filters and windows over the filings alone.
-STATE_CHECKS: tuple[Callable[[DataFrame], DataFrame], ...] = (untyped_amendment, second_original, cover_box, report_type, cover_period, chain_start, same_date_submitters, number_order)
-
-
 def check_counts(rows: DataFrame) -> DataFrame:
     """Flagged filings and lineages of each check and origin."""
     return rows.groupBy("check_name", "origin").agg(F.count(F.lit(1)).alias("filings"), F.count_distinct(F.struct(*LINEAGE)).alias("lineages"))

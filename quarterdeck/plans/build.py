@@ -58,7 +58,8 @@ def build(filings: DataFrame, as_filed: DataFrame, top_n: int = marts.TOP_FILERS
     coverage = keep(lineage.addition_coverage(filings, held), "coverage")
     chain = keep(lineage.lineage_filings(filings, coverage), "lineage")
     canonical = keep(holdings.canonical_holdings(held, chain, filings), "canonical")
-    checks = keep(quality.data_quality_rows(filings, chain, held, coverage, units), "quality")
+    state = keep(quality.filing_state(filings, chain), "state")
+    checks = keep(quality.data_quality_rows(state, held, coverage, units), "quality")
     who, when = dimensions.filers(filings), dimensions.periods(chain)
     what = keep(dimensions.securities(canonical), "securities")
     where = keep(marts.positions(canonical), "positions")
