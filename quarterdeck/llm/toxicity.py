@@ -57,12 +57,13 @@ class SentenceModel:
     bias: float
 
     def sentence_scores(self, text: str, words: WordWeights | None = None) -> list[tuple[str, float]]:
-        """Every sentence with a word in it, and its score."""
+        """Every sentence with a word in it, and its score: its chance beyond what any sentence has, so that length alone offends nobody."""
         words = WordWeights(self.weights) if words is None else words
-        out = []
+        out, base = [], _logistic(self.bias)
         for s in SENTENCE.split(text):
             if found := set(TOKEN.findall(s.lower())):
-                out.append((s.strip(), _logistic(self.bias + sum(map(words.__getitem__, found)))))
+                chance = _logistic(self.bias + sum(map(words.__getitem__, found)))
+                out.append((s.strip(), max(0.0, (chance - base) / (1 - base))))
         return out
 
 
