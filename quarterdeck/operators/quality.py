@@ -37,18 +37,35 @@ def _flags(rows: DataFrame, rules: list[tuple[str, Column, Column]]) -> DataFram
     return rows.select(*LINEAGE, "accession_number", "origin", F.explode(hits).alias("_hit")).select("_hit.check_name", *LINEAGE, "accession_number", "origin", "_hit.detail")
 
 
-def filing_checks(state: DataFrame) -> DataFrame:
-    """The checks of a filing by itself."""
+def with_facts(state: DataFrame, holdings: DataFrame, coverage: DataFrame, units: DataFrame) -> DataFrame:
+    """The state with each filing's holdings totals, unit reading and coverage, all keyed by accession."""
+    totals = holdings.groupBy("accession_number").agg(F.count(F.lit(1)).alias("holdings_count"), F.sum("value_as_filed").alias("_value"))
+    read = units.select("accession_number", "median_value_per_share", "value_unit", "filing_date_unit")
+    covered = coverage.select("accession_number", "compared_accession_number", "compared_securities", "repeated_securities", "is_read_as_restatement")
+    return state.join(totals, "accession_number", "left").join(read, "accession_number", "left").join(covered, "accession_number", "left")
+
+
+def filing_checks(facts: DataFrame) -> DataFrame:
+    """The checks of a filing by itself and its own facts, in one pass."""
     c = F.col
     box = F.when(c("cover_is_amendment"), "Y").when(~c("cover_is_amendment"), "N").otherwise("blank")
+    n, v = F.coalesce("holdings_count", F.lit(0)), F.coalesce("_value", F.lit(0))
+    off = ~c("table_entry_total").eqNullSafe(n) | ~c("table_value_total_as_filed").eqNullSafe(v)
+    totals = F.when(c("table_entry_total").isNull(), _say("no summary page; the table holds {} holdings", n)).otherwise(
+        _say("summary {} entries worth {} as filed; the table holds {} worth {}", "table_entry_total", "table_value_total_as_filed", n, v)
+    )
     rules = [
         ("untyped_amendment", c("is_amendment") & c("amendment_type").isNull(), _say("{} names no amendment type on its cover; read as a restatement", "submission_type")),
         ("second_original", (c("submission_type") == "13F-HR") & (c("filing_role") == "restatement"), _say("13F-HR at position {} of its lineage; read as a restatement", "filing_position")),
         ("cover_box_disagrees_with_submission_type", F.coalesce("cover_is_amendment", F.lit(False)) != c("is_amendment"), _say("submission type {}, amendment box {}", "submission_type", box)),
         ("report_type_disagrees_with_submission_type", c("submission_type").startswith("13F-NT") != (c("report_type") == "13F NOTICE"), _say("submission type {}, report type {}", "submission_type", "report_type")),
         ("period_disagrees_with_cover", ~c("report_calendar_or_quarter").eqNullSafe(c("period_of_report")), _say("cover period {}", F.coalesce(c("report_calendar_or_quarter").cast("string"), F.lit("missing")))),
-    ]
-    return _flags(state, rules)
+        ("summary_disagrees_with_holdings", (c("filing_role") != "notice") & off, totals),
+        ("notice_with_holdings", (c("filing_role") == "notice") & c("holdings_count").isNotNull(), _say("a notice that lists {} holdings; they are left out of canonical holdings", "holdings_count")),
+        ("addition_read_as_restatement", c("is_read_as_restatement"), _say("repeats {} of the {} securities of {}, the filing it amends; read as a restatement", "repeated_securities", "compared_securities", "compared_accession_number")),
+        ("value_unit_overrides_filing_date_rule", c("value_unit") != c("filing_date_unit"), _say("median value per share as filed is {}; read as {} where the filing date says {}", F.round("median_value_per_share", 4), "value_unit", "filing_date_unit")),
+    ]
+    return _flags(facts, rules)
 
 
 def order_checks(state: DataFrame) -> DataFrame:
@@ -69,16 +86,6 @@ def order_checks(state: DataFrame) -> DataFrame:
     return _flags(placed, rules)
 
 
-def summary_totals(state: DataFrame, totals: DataFrame) -> DataFrame:
-    n, v = F.coalesce("holdings_count", F.lit(0)), F.coalesce("_value", F.lit(0))
-    off = ~F.col("table_entry_total").eqNullSafe(n) | ~F.col("table_value_total_as_filed").eqNullSafe(v)
-    rows = state.where("filing_role <> 'notice'").join(totals, "accession_number", "left").where(off)
-    detail = F.when(F.col("table_entry_total").isNull(), _say("no summary page; the table holds {} holdings", n)).otherwise(
-        _say("summary {} entries worth {} as filed; the table holds {} worth {}", "table_entry_total", "table_value_total_as_filed", n, v)
-    )
-    return _flag("summary_disagrees_with_holdings", rows, detail)
-
-
 def unrestated_addition(state: DataFrame, holdings: DataFrame) -> DataFrame:
     """Securities of a superseded addition that the effective filing lacks; a missing CUSIP counts as lacking."""
     added = state.where("filing_role = 'addition' and is_superseded").select(*LINEAGE, "accession_number", "origin", F.col("effective_position").alias("_at"))
@@ -98,28 +105,22 @@ def _with_additions(state: DataFrame) -> DataFrame:
     return state.withColumn("_has", has).where("_has and is_contributing").select("accession_number", *LINEAGE, "origin", "filing_position", "filing_role")
 
 
-def repeated_security(state: DataFrame, holdings: DataFrame) -> DataFrame:
-    """By the least position of a CUSIP in its lineage, instead of a join of filings with their earlier ones."""
-    held = _with_additions(state).join(holdings.where("cusip is not null").select("accession_number", "cusip"), "accession_number").distinct()
-    earliest = F.min("filing_position").over(Window.partitionBy(*LINEAGE, "cusip"))
-    rows = held.withColumn("_first", earliest).where("filing_role = 'addition' and _first < filing_position").groupBy(*LINEAGE, "accession_number", "origin").count()
-    return _flag("repeated_security_in_addition", rows, _say("{} of its securities are already in effect from an earlier filing", "count"))
-
-
-def restated_addition(state: DataFrame, coverage: DataFrame) -> DataFrame:
-    rows = state.join(coverage.where("is_read_as_restatement").drop(*LINEAGE), "accession_number")
-    return _flag("addition_read_as_restatement", rows, _say("repeats {} of the {} securities of {}, the filing it amends; read as a restatement", "repeated_securities", "compared_securities", "compared_accession_number"))
-
+def addition_checks(state: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Securities of additions that are in effect already, and holdings that copy earlier ones.
 
-def copied_holding(state: DataFrame, holdings: DataFrame) -> DataFrame:
-    held = _with_additions(state).join(holdings.drop("origin"), "accession_number").withColumn("_copied", is_copied())
-    rows = held.where("filing_role = 'addition'").groupBy(*LINEAGE, "accession_number", "origin").agg(F.count_if("_copied").alias("n"), F.count(F.lit(1)).alias("of")).where("n > 0")
-    return _flag("copied_holding_in_addition", rows, _say("{} of its {} holdings copy holdings already in effect; they are left out of canonical holdings", "n", "of"))
-
-
-def unit_override(state: DataFrame, units: DataFrame) -> DataFrame:
-    rows = state.join(units.where("value_unit <> filing_date_unit").drop("filing_date"), "accession_number")
-    return _flag("value_unit_overrides_filing_date_rule", rows, _say("median value per share as filed is {}; read as {} where the filing date says {}", F.round("median_value_per_share", 4), "value_unit", "filing_date_unit"))
+    By the least position of a security, or of a whole holding, in its lineage, instead of joins of filings with their
+    earlier ones; both windows share the exchange over the security.
+    """
+    held = _with_additions(state).join(holdings.drop("origin"), "accession_number").repartition(*LINEAGE, "cusip")
+    earliest = F.min("filing_position").over(Window.partitionBy(*LINEAGE, "cusip"))
+    repeats = (F.col("_first") < F.col("filing_position")) & F.col("cusip").isNotNull()
+    per = held.withColumn("_first", earliest).withColumn("_copied", is_copied()).where("filing_role = 'addition'")
+    per = per.groupBy(*LINEAGE, "accession_number", "origin").agg(F.count_distinct(F.when(repeats, F.col("cusip"))).alias("r"), F.count_if("_copied").alias("n"), F.count(F.lit(1)).alias("of"))
+    rules = [
+        ("repeated_security_in_addition", F.col("r") > 0, _say("{} of its securities are already in effect from an earlier filing", "r")),
+        ("copied_holding_in_addition", F.col("n") > 0, _say("{} of its {} holdings copy holdings already in effect; they are left out of canonical holdings", "n", "of")),
+    ]
+    return _flags(per, rules)
 
 
 def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
@@ -134,18 +135,10 @@ def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
     return _flag("value_off_yardstick_by_a_thousand", rows, _say("median value per share is {} times the median across filers of the same security and period", F.round("ratio", 5)))
 
 
-def notice_with_holdings(state: DataFrame, totals: DataFrame) -> DataFrame:
-    rows = state.where("filing_role = 'notice'").join(totals, "accession_number")
-    return _flag("notice_with_holdings", rows, _say("a notice that lists {} holdings; they are left out of canonical holdings", "holdings_count"))
-
-
 def data_quality_rows(state: DataFrame, holdings: DataFrame, coverage: DataFrame, units: DataFrame) -> DataFrame:
     """All checks. The inputs should be written tables, as several checks read them."""
-    totals = holdings.groupBy("accession_number").agg(F.count(F.lit(1)).alias("holdings_count"), F.sum("value_as_filed").alias("_value"))
-    parts = [
-        filing_checks(state), order_checks(state), summary_totals(state, totals), unrestated_addition(state, holdings), repeated_security(state, holdings), restated_addition(state, coverage),
-        copied_holding(state, holdings), unit_override(state, units), off_yardstick(state, holdings), notice_with_holdings(state, totals),
-    ]
+    facts = with_facts(state, holdings, coverage, units)
+    parts = [filing_checks(facts), order_checks(state), unrestated_addition(state, holdings), addition_checks(state, holdings), off_yardstick(state, holdings)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

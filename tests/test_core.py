@@ -184,6 +184,11 @@ def test_text_conventions(spark):
 
 def test_quality_details(spark):
     state = spark.createDataFrame([("a", "1", Q, dt.date(2024, 5, 1), "13F-HR/A", True, None, None, None, "13F NOTICE", None, "walk", 1, "restatement", 1, False, True)], FILING.split(", submission")[0] + ", submission_type string, is_amendment boolean, cover_is_amendment boolean, amendment_type string, amendment_no long, report_type string, report_calendar_or_quarter date, origin string, filing_position long, filing_role string, effective_position long, is_superseded boolean, is_contributing boolean")
-    got = {r.check_name: r.detail for r in quality.filing_checks(state).unionByName(quality.order_checks(state)).collect()}
+    state = state.withColumns({"table_entry_total": F.lit(1).cast("long"), "table_value_total_as_filed": F.lit(5).cast("long")})
+    held = spark.createDataFrame([("a", 5)], "accession_number string, value_as_filed long")
+    units = spark.createDataFrame([("a", 1.0, "dollars", "dollars")], "accession_number string, median_value_per_share double, value_unit string, filing_date_unit string")
+    cover = spark.createDataFrame([], "accession_number string, compared_accession_number string, compared_securities long, repeated_securities long, is_read_as_restatement boolean")
+    facts = quality.with_facts(state, held, cover, units)
+    got = {r.check_name: r.detail for r in quality.filing_checks(facts).unionByName(quality.order_checks(state)).collect()}
     assert got["cover_box_disagrees_with_submission_type"] == "submission type 13F-HR/A, amendment box blank"
     assert set(got) == {"untyped_amendment", "cover_box_disagrees_with_submission_type", "report_type_disagrees_with_submission_type", "period_disagrees_with_cover", "lineage_starts_with_amendment"}
