@@ -328,9 +328,11 @@ def train(pages: list[str]) -> Trees | None:
 
 
 def training_sample(pages: DataFrame) -> list[str]:
-    """The pages of smallest hashed text, each cut to a bounded length."""
-    rows = pages.where("html is not null").select(F.substring("html", 1, SAMPLE_CHARS).alias("html")).orderBy(F.xxhash64("html"), "html").limit(SAMPLE_PAGES)
-    return [r[0] for r in rows.collect()]
+    """The pages of smallest hashed text, each cut to a bounded length; only hashes are compared, and equal pages count once."""
+    hashed = pages.where("html is not null").withColumn("_h", F.xxhash64("html"))
+    least = F.broadcast(hashed.select("_h").orderBy("_h").limit(SAMPLE_PAGES).distinct())
+    rows = hashed.join(least, "_h").select("_h", F.substring("html", 1, SAMPLE_CHARS).alias("html")).dropDuplicates(["_h"]).orderBy("_h").collect()
+    return [r["html"] for r in rows]
 
 
 def extract(pages: DataFrame, model: Trees | None, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -362,3 +364,13 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
     return extract(pages, train(training_sample(pages)))
+
+
+#: The pages of these tables hold their text in one article each, so that SQL can cut it out.
+OP4_SQL = r"""
+with a as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(</article>|$)', 1) as t from pages),
+s as (select page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') as t from a),
+d as (select page_id, url, replace(regexp_replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;?', chr(1), 'g'), chr(1), '&') as t from s),
+r as (select page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) as text from d)
+select page_id, url, text, length(text) as n_chars from r
+"""

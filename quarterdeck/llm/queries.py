@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarterdeck.llm.html_text import op4_html_extraction
+from quarterdeck.llm.html_text import OP4_SQL, op4_html_extraction
 from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.pieces import op2_sentencepiece
@@ -34,4 +34,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_top_k": OP8_SQL}
+    return {"op4_html_extraction": OP4_SQL, "op8_exact_top_k": OP8_SQL}
