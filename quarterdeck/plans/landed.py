@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +95,46 @@ def raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("table", "dataset").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven tables packed as one zip archive for each data set (path, content), members in a folder."""
+    header = {t: "\t".join(c.upper() for c in columns) for t, columns in datasets.TABLES.items()}
+    lines = None
+    for table, df in _rows(spark, sf_dir).items():
+        line = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in datasets.TABLES[table]])
+        part = df.select((F.col("k") % FILES).alias("dataset"), F.lit(table).alias("table"), line.alias("line"))
+        lines = part if lines is None else lines.unionByName(part)
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for table in datasets.TABLES:
+                z.writestr(f"set/{table}.tsv", "\n".join([header[table], *sorted(pdf.loc[pdf["table"] == table, "line"])]) + "\n")
+        return pd.DataFrame({"path": [f"/archives/set{pdf['dataset'].iloc[0]}.zip"], "content": [out.getvalue()]})
+
+    return lines.groupBy("dataset").applyInPandas(pack, "path string, content binary")
+
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every walk filing's directory listing: some lack the cover, some have two tables."""
+    filings, _ = _walk(spark, sf_dir)
+    names = F.array_compact(F.array(F.when(F.col("k") % 11 != 0, "primary_doc.xml"), F.when(~F.col("submission_type").startswith("13F-NT"), "table.xml"), F.when(F.col("k") % 13 == 0, "more.xml"), F.lit("notes.txt")))
+    item = F.transform(names, lambda n: F.struct(n.alias("name")))
+    return filings.select("accession_number", F.col("submission_type").alias("form_type"), F.to_json(F.struct(F.struct(item.alias("item")).alias("directory"))).alias("listing"))
+
+
+def index_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One directory listing a quarter, of the indexes of its filing dates."""
+    days = _shaped(spark, sf_dir)[0].select("filing_date").distinct()
+    name = F.struct(F.concat(F.lit("form."), F.date_format("filing_date", "yyyyMMdd"), F.lit(".idx")).alias("name"))
+    return days.groupBy(F.date_trunc("quarter", "filing_date").alias("q")).agg(F.to_json(F.struct(F.struct(F.collect_list(name).alias("item")).alias("directory"))).alias("listing"))
+
+
+def archive_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One link to an archive for each quarter of the filing dates."""
+    q = F.concat(F.lit("/files/"), F.year("filing_date").cast("string"), F.lit("q"), F.quarter("filing_date").cast("string"), F.lit("_form13f.zip"))
+    return _shaped(spark, sf_dir)[0].select(q.alias("link")).distinct()
+
+
 def _as_files(rows: DataFrame, name: Column) -> DataFrame:
     """Rows with a ``value`` as files of one record each."""
     return rows.select(F.col("value").alias("content"), name.alias("source_file"), F.md5("value").alias("source_content_key"), F.lit("2026-01-01").cast("timestamp").alias("source_last_modified"))

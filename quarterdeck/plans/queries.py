@@ -11,6 +11,7 @@ from quarterdeck.operators import expect, holdings as H, ingest, lineage as L, m
 from quarterdeck.plans import landed as S, oracles as Q
 from quarterdeck.plans.build import Tables, build, written
 from quarterdeck.plans.shaped import shaped
+from quarterdeck.sources import datasets as D, indexes as I
 
 Query = Callable[[SparkSession, str], DataFrame]
 _built: dict[tuple[str, str], Tables] = {}
@@ -216,6 +217,35 @@ def _(spark, sf_dir):
     return S.index_entries(spark, sf_dir).select("accession_number", "form_type", "cik", "filed", "company")
 
 
+@query("archive_row_counts", Q.of(f"select t as \"table\", d as dataset, count(*) as rows from (select 'SUBMISSION' as t, concat('set', cast(k % 8 as string)) as d from filings {_DS} union all select 'COVERPAGE', concat('set', cast(k % 8 as string)) from filings {_DS} union all select 'INFOTABLE', concat('set', cast(k % 8 as string)) from raw_holdings {_DS} union all select 'OTHERMANAGER', concat('set', cast(k % 8 as string)) from filings {_DS} and k % 4 = 0 union all select 'OTHERMANAGER2', concat('set', cast(k % 8 as string)) from filings {_DS} and k % 3 = 0 union all select 'SIGNATURE', concat('set', cast(k % 8 as string)) from filings {_DS} union all select 'SUMMARYPAGE', concat('set', cast(k % 8 as string)) from filings {_DS} and table_entry_total is not null) group by 1, 2"))
+def _(spark, sf_dir):
+    lines = D.unpack_archives(S.archives(spark, sf_dir))
+    return P.table_counts(lines.where("line_no > 0"))
+
+
+@query("published_days", Q.of("select distinct filing_date as day from filings"))
+def _(spark, sf_dir):
+    return I.published_days(S.index_listings(spark, sf_dir))
+
+
+@query("filing_documents", Q.of(f"""
+  , w as (select *, case when submission_type like '13F-NT%' then 0 else 1 end + case when k % 13 = 0 then 1 else 0 end as n from filings {_WALK})
+  select accession_number, submission_type as form_type, case when e is null then 'primary_doc.xml' end as cover, case when e is null and submission_type not like '13F-NT%' then 'table.xml' end as "table", e as error
+  from (select *, case when k % 11 = 0 then 'no cover document' when submission_type like '13F-NT%' and n > 0 then 'a notice with a table' when submission_type not like '13F-NT%' and n <> 1 then concat('table documents: ', cast(n as string)) end as e from w)"""))
+def _(spark, sf_dir):
+    return I.filing_documents(S.listings(spark, sf_dir))
+
+
+@query("dataset_catalog", Q.of("select distinct concat(cast(year(filing_date) as string), 'q', cast(quarter(filing_date) as string), '_form13f') as dataset, cast(date_trunc('quarter', filing_date) as date) as first, cast(last_day(cast(date_trunc('quarter', filing_date) + interval 2 month as date)) as date) as last from filings"))
+def _(spark, sf_dir):
+    return D.catalog(S.archive_links(spark, sf_dir))
+
+
+@query("untiled_windows", Q.of("select q as first, cast(q + interval 3 month - interval 1 day as date) as last, n as next_first from (select q, lead(q) over (order by q) as n from (select distinct cast(date_trunc('quarter', filing_date) as date) as q from filings where quarter(filing_date) <> 3)) where n is not null and n <> cast(q + interval 3 month as date)"))
+def _(spark, sf_dir):
+    return D.untiled(D.catalog(S.archive_links(spark, sf_dir)).where(F.quarter("first") != 3)).select("first", "last", "next_first")
+
+
 @query("parsed_xml_holdings", Q.of(f"select h.accession_number, holding_key as row_index, cusip, value_as_filed as value, put_call from raw_holdings h {_WALK} and not exists (select 1 from raw_holdings b where b.accession_number = h.accession_number and not regexp_full_match(b.cusip, '[0-9A-Z]{{9}}')) and h.accession_number in (select accession_number from filings where {S.GOOD_COVER})"))
 def _(spark, sf_dir):
     return S.parsed(spark, sf_dir)[1].select("accession_number", "row_index", "cusip", "value", "put_call")

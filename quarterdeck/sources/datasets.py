@@ -78,7 +78,12 @@ def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def extract_archives(spark: SparkSession, path: str, block: int = 20_000) -> DataFrame:
-    """dataset, table, line_no (0: the header), line of the members of every archive.
+    """``unpack_archives`` of the files at a path."""
+    return unpack_archives(spark.read.format("binaryFile").load(path).select("path", "content"), block)
+
+
+def unpack_archives(files: DataFrame, block: int = 20_000) -> DataFrame:
+    """dataset, table, line_no (0: the header), line of the members of every archive (path, content).
 
     Members are matched by base name, in whatever folder; an archive that lacks a table fails. Archives are unpacked in
     parallel, and each gives its lines in blocks, so that a task holds the packed bytes and one block.
@@ -103,7 +108,6 @@ def extract_archives(spark: SparkSession, path: str, block: int = 20_000) -> Dat
                             if lines:
                                 yield pd.DataFrame({"dataset": dataset, "table": table, "line_no": range(no, no + len(lines)), "line": lines})
 
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(unpack, "dataset string, table string, line_no long, line string")
 
 
