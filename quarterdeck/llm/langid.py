@@ -13,10 +13,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import read_table
+from quarterdeck.llm.common import learnable, read_table
 
 #: Window length in bytes; embedding size; filter widths and filters of each.
 WINDOW, EMBED, WIDTHS, FILTERS = 128, 6, (2, 3, 4), 8
@@ -120,11 +120,6 @@ def train(texts: list[str], langs: list[str], epochs: int = 8, seed: int = 5, ra
     return net
 
 
-def learnable(doc_id: Column) -> Column:
-    """False for held-out rows: crc32 of the id as text, modulo 4, is 2. A null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2
-
-
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_TEXTS) -> tuple[list[str], list[str]]:
     """At most ``per_lang`` texts of each language, in order of a hash of the id, from rows that may be learned from."""
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")

@@ -15,13 +15,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import read_table
+from quarterdeck.llm.common import learnable, read_table
 
 #: The training sample: labelled rows of each class at most, and characters of each text.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_500, 3_500, 20_000
+SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_500, 3_500, 8_000
 #: Features kept, the least labelled toxic documents that hold one, and the least ratio of its rates in toxic and clean documents.
 FEATURES, LEAST_DOCS, LEAST_RATIO = 20_000, 4, 3.0
 #: Lengths of the word beginnings that count as features besides the word.
@@ -114,11 +114,6 @@ def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, rounds:
     return SentenceModel({f: float(x) for f, x in zip(kept, w) if x}, float(b))
 
 
-def learnable(doc_id: Column) -> Column:
-    """False for held-out rows: crc32 of the id as text, modulo 4, is 2. A null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2
-
-
 def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float]:
     """Texts and labels of a bounded sample, and the weight of a clean row that restores the ratio of the classes.
 
