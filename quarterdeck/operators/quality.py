@@ -1,4 +1,7 @@
-"""Sixteen data-quality checks. Each flags filings: check_name, cik, period_of_report, accession_number, origin, detail."""
+"""Sixteen data-quality checks. Each flags filings: check_name, cik, period_of_report, accession_number, origin, detail.
+
+The names of checks and the wording of details are fixed values: readers of these tables match on them.
+"""
 
 from __future__ import annotations
 
