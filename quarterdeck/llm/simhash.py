@@ -196,9 +196,10 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     found = materialise(near_duplicates(docs, width, radius).where("doc_id is not null"), "components")
     kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = materialise(kept, "kept")
-    alone = docs.join(kept.where("_rows = 1"), docs["doc_id"] == F.col("_kept"), "left_semi")
+    # Merged at every size: the list grows with the corpus, so that a plan with it broadcast says nothing of a larger one.
+    alone = docs.join(kept.where("_rows = 1").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
     if kept.where("_rows > 1").limit(1).count():
         first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "long", "integer") and f.name not in ("doc_id", "text")])
-        several = docs.join(kept.where("_rows > 1"), docs["doc_id"] == F.col("_kept"), "left_semi")
+        several = docs.join(kept.where("_rows > 1").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
         alone = alone.unionByName(several.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place"))
     return alone.unionByName(docs.where("doc_id is null"))
