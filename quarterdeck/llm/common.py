@@ -57,3 +57,12 @@ def words(text) -> Column:
 def learnable(doc_id: Column) -> Column:
     """False for held-out rows: crc32 of the id as text, modulo 4, is 2. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2
+
+
+def among_least(h: Column, wanted: int, of: Column | int, spare: int = 20) -> Column:
+    """Whether a hash is low enough to be among the ``wanted`` least of ``of``, with a few times as many to spare.
+
+    A filter before ordering by the hash, so that no task orders many times the rows wanted.
+    """
+    count = F.lit(of) if isinstance(of, int) else of
+    return (h / float(1 << 64) + 0.5) * count <= spare * wanted

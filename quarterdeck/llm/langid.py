@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import learnable, read_table
+from quarterdeck.llm.common import among_least, broadcast_if_small, learnable, materialise, read_table
 
 #: Window length in bytes; embedding size; filter widths and filters of each.
 WINDOW, EMBED, WIDTHS, FILTERS = 128, 6, (2, 3, 4), 8
@@ -121,15 +121,14 @@ def train(texts: list[str], langs: list[str], epochs: int = 8, seed: int = 5, ra
 
 
 def training_sample(docs: DataFrame, per_lang: int = SAMPLE_TEXTS) -> tuple[list[str], list[str]]:
-    """At most ``per_lang`` texts of each language, in order of a hash of the id, from rows that may be learned from."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    rows = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learnable(F.col("doc_id")))
-        .select("doc_id", "lang")
-        .withColumn("_n", F.row_number().over(order))
-        .where(F.col("_n") <= per_lang)
-        .select("doc_id", "lang", "_n")
-    )
+    """At most ``per_lang`` texts of each language, in order of a hash of the id, from rows that may be learned from.
+
+    Only ids whose hash is low enough for a few times that number are ranked, so that no task ranks a whole language.
+    """
+    order = Window.partitionBy("lang").orderBy("_h", "doc_id")
+    may = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learnable(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
+    counts = materialise(may.groupBy("lang").count(), "languages")
+    rows = may.join(broadcast_if_small(counts), "lang").where(among_least(F.col("_h"), per_lang, F.col("count"))).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang", "_n")
     most = F.substring("text", 1, 8 * SAMPLE_WINDOWS * WINDOW)  # what of a text a sample can use, a few times over
     found = docs.select("doc_id", "lang", most.alias("text")).join(F.broadcast(rows), ["doc_id", "lang"]).orderBy("lang", "_n", "text").collect()
     return [r["text"] for r in found], [r["lang"] for r in found]
