@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import learnable, read_table
+from quarterdeck.llm.common import among_least, learnable, read_table
 
 #: The training sample: labelled rows of each class at most, and characters of each text.
 SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_500, 3_500, 8_000
@@ -27,6 +27,8 @@ FEATURES, LEAST_DOCS, LEAST_RATIO = 20_000, 4, 3.0
 #: Lengths of the word beginnings that count as features besides the word.
 BEGINNINGS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
+#: The most that sentences without telling words can add to a score, whatever their number.
+TIES = 0.05
 SENTENCE, TOKEN = regex.compile(r"[.!?\n|]+"), regex.compile(r"\w+")
 #: Words whose weights a task remembers.
 REMEMBERED = 400_000
@@ -56,14 +58,17 @@ class SentenceModel:
     weights: dict[str, float]
     bias: float
 
-    def sentence_scores(self, text: str, words: WordWeights | None = None) -> list[tuple[str, float]]:
-        """Every sentence with a word in it, and its score: its chance beyond what any sentence has, so that length alone offends nobody."""
+    def sentence_scores(self, text: str, words: WordWeights | None = None) -> list[tuple[str, float, float]]:
+        """Every sentence with a word in it, its score and its chance.
+
+        The score is the chance beyond what any sentence has, so that length alone offends nobody.
+        """
         words = WordWeights(self.weights) if words is None else words
         out, base = [], _logistic(self.bias)
         for s in SENTENCE.split(text):
             if found := set(TOKEN.findall(s.lower())):
                 chance = _logistic(self.bias + sum(map(words.__getitem__, found)))
-                out.append((s.strip(), max(0.0, (chance - base) / (1 - base))))
+                out.append((s.strip(), max(0.0, (chance - base) / (1 - base)), chance))
         return out
 
 
@@ -76,6 +81,12 @@ def noisy_or(scores: list[float]) -> float:
     return -math.expm1(sum(math.log1p(-min(s, 1 - 1e-12)) for s in scores))
 
 
+def document_score(found: list[tuple[str, float, float]]) -> float:
+    """The noisy-or of the sentences' scores; what the plain chances say beyond it ranks texts within TIES only."""
+    score = noisy_or([s for _, s, _ in found])
+    return score + (1 - score) * TIES * noisy_or([c for _, _, c in found])
+
+
 def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, rounds: int = 300, rate: float = 0.1, penalty: float = 5e-5) -> SentenceModel:
     """Fit weights and bias by Adam on the cross entropy of the documents' noisy-or. ``clean_weight`` restores the class ratio."""
     n1, n0 = sum(toxic), len(toxic) - sum(toxic)
@@ -121,7 +132,8 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     """
     own = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & learnable(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     counts = {r[0]: r[1] for r in own.groupBy("toxic").count().collect()}
-    part = [own.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
+    h = F.xxhash64("doc_id")
+    part = [own.where((F.col("toxic") == t) & among_least(h, n, counts.get(t, 0))).orderBy(h, "doc_id").limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
     chosen = F.broadcast(part[0].unionByName(part[1]))  # at most the two limits
     rows = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(chosen, "doc_id").where("text is not null").dropDuplicates(["text", "toxic"]).orderBy("doc_id", "toxic", "text").collect()
     drawn = Counter(r["toxic"] for r in rows)
@@ -144,8 +156,8 @@ def score(docs: DataFrame, model: SentenceModel) -> DataFrame:
             out = []
             for t in batch.column(1):
                 found = model.sentence_scores(t.as_py() or "", words)
-                worst = max(found, key=lambda s: s[1], default=(None, 0.0))
-                out.append((noisy_or([s for _, s in found]), len(found), sum(s >= THRESHOLD for _, s in found), *worst))
+                worst = max(found, key=lambda s: s[1], default=(None, 0.0, 0.0))
+                out.append((document_score(found), len(found), sum(s >= THRESHOLD for _, s, _ in found), *worst[:2]))
             cols = list(zip(*out)) or [()] * 5
             kinds = (pa.float64(), pa.int64(), pa.int64(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds))], ["doc_id", "score", "n_sentences", "n_offending", "worst_sentence", "worst_score"])
@@ -179,7 +191,7 @@ def drop_toxic(docs: DataFrame, model: SentenceModel, threshold: float = THRESHO
         model = shared.value
         words = WordWeights(model.weights)
         for batch in batches:
-            clean = [noisy_or([s for _, s in model.sentence_scores(t.as_py() or "", words)]) < threshold for t in batch.column(at)]
+            clean = [document_score(model.sentence_scores(t.as_py() or "", words)) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
