@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import read_table
+from quarterdeck.llm.common import among_least, read_table
 
 #: Pages sampled for training, characters of each, and pages put together from them.
 SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 900
@@ -330,7 +330,8 @@ def train(pages: list[str]) -> Trees | None:
 def training_sample(pages: DataFrame) -> list[str]:
     """The pages of smallest hashed text, each cut to a bounded length; only hashes are compared, and equal pages count once."""
     hashed = pages.where("html is not null").withColumn("_h", F.xxhash64("html"))
-    least = F.broadcast(hashed.select("_h").orderBy("_h").limit(SAMPLE_PAGES).distinct())
+    few = hashed.select("_h").where(among_least(F.col("_h"), SAMPLE_PAGES, pages.count()))
+    least = F.broadcast(few.distinct().orderBy("_h").limit(SAMPLE_PAGES))
     rows = hashed.join(least, "_h").select("_h", F.substring("html", 1, SAMPLE_CHARS).alias("html")).dropDuplicates(["_h"]).orderBy("_h").collect()
     return [r["html"] for r in rows]
 
