@@ -1,10 +1,9 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-The weighted terms of a text are its word shingles and their counts. For a term of weight w in its sample, two gamma
-variates r, c (shape 2) and a uniform b are drawn from the term's hash; t = floor(ln w / r + b), and the term with the
-least ln c - r (t - b + 1) is sampled, as the pair (term, t). Two texts draw the same pair with a chance equal to their
-generalised Jaccard similarity. Terms are dealt by hash to ``SAMPLES`` samples, each drawing among its own terms, so that
-every term is evaluated once; samples without terms are left out of a comparison if they are empty on both sides.
+The weighted terms of a text are its word shingles and their counts. A term of weight w stands for the pairs (term, 1) to
+(term, w), and each of ``SAMPLES`` samples draws, among all pairs of the text, the one of least hash under the sample's own
+salt. The pairs of two texts have as common and as all members the sums of the lesser and the greater weights, so that a
+sample is the same in both with a chance equal to their generalised Jaccard similarity, exactly, as weights are whole numbers.
 """
 
 from __future__ import annotations
@@ -30,34 +29,20 @@ def shingle_hashes(tokens: Column, width: int = WIDTH) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), one)).otherwise(F.array().cast("array<bigint>"))
 
 
-def uniform(h: Column, salt: int) -> Column:
-    """A number inside (0, 1) from a hash."""
-    return (F.shiftrightunsigned(F.xxhash64(h, F.lit(salt)), 12).cast("double") + 0.5) / float(1 << 52)
-
-
-def sample_key(h: Column, weight: Column) -> Column:
-    """The value by which a term competes in its sample; the least wins. It is the same for the same (term, t) only."""
-    r = -F.log(uniform(h, 1) * uniform(h, 2))
-    c = -F.log(uniform(h, 3) * uniform(h, 4))
-    b = uniform(h, 5)
-    t = F.floor(F.log(weight.cast("double")) / r + b)
-    return F.log(c) - r * (t - b + 1)
-
-
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """keys, signature: for every sample with terms its number (2 hex digits) and 16 bits of the winner's hash (4), in order.
+    """keys, signature: for every sample its number (2 hex digits) and 16 bits of the winner's hash (4), in order.
 
-    ``terms`` has the keys and ``h``, one row for each occurrence of a term.
+    ``terms`` has the keys and ``h``, one row for each occurrence of a term. Every sample draws among all of them.
     """
     weighted = terms.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("w"))
-    drawn = weighted.select(*keys, F.pmod("h", F.lit(samples)).alias("sample"), sample_key(F.col("h"), F.col("w")).alias("v"))
-    won = drawn.groupBy(*keys, "sample").agg(F.min("v").alias("v"))
-    code = F.lower(F.hex(F.col("sample") * 65536 + F.xxhash64("v").bitwiseAND(F.lit(65535))))
-    return won.select(*keys, F.lpad(code, 6, "0").alias("code")).groupBy(*keys).agg(F.sort_array(F.collect_list("code")).alias("signature"))
+    pairs = weighted.select(*keys, F.explode(F.transform(F.sequence(F.lit(1).cast("long"), F.col("w")), lambda i: F.xxhash64("h", i))).alias("x"))
+    won = pairs.groupBy(*keys).agg(*[F.min(F.xxhash64("x", F.lit(s))).alias(f"least_{s}") for s in range(samples)])
+    code = lambda s: F.lpad(F.lower(F.hex(F.lit(s * 65536) + F.col(f"least_{s}").bitwiseAND(F.lit(65535)))), 6, "0")
+    return won.select(*keys, F.array(*[code(s) for s in range(samples)]).alias("signature"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """The share of samples, of those not empty in both, that drew the same; 1 if all are empty in both."""
+    """The share of samples that drew the same; 0 if only one text has terms, 1 if neither has."""
     used = lambda s: F.transform(s, lambda c: F.substring(c, 1, 2))
     both = F.size(F.array_union(used(a), used(b)))
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both).cast("double")

@@ -442,6 +442,21 @@ def test_sampling_rate_is_the_generalised_jaccard(spark):
     assert rate == pytest.approx(np.minimum(a, b).sum() / np.maximum(a, b).sum(), abs=0.08)
 
 
+def test_sampling_rate_at_skewed_counts(spark):
+    """A passage repeated many times counts with its whole weight, whatever the few other terms say."""
+    sides = [("heavy shared", (10_000, "h"), (10_000, "h")), ("heavy apart", (3_000, "p"), (3_000, "q")), ("heavier", (2_000, "h"), (1_000, "h"))]
+    terms, want = [], {}
+    for trial, *two in sides:
+        singles = [f"s{k}" if trial == "heavy apart" else None for k in range(300)]
+        texts = [Counter({name: n}) + Counter(s or f"{side}{k}" for k, s in enumerate(singles)) for side, (n, name) in enumerate(two)]
+        terms += [(trial, side, t) for side, c in enumerate(texts) for t in c.elements()]
+        want[trial] = sum((texts[0] & texts[1]).values()) / sum((texts[0] | texts[1]).values())
+    df = spark.createDataFrame(terms, "trial string, side int, t string").select("trial", "side", F.xxhash64("t").alias("h"))
+    marks = weighted_minhash.signatures(df, ["trial", "side"]).groupBy("trial").agg(*[F.max(F.when(F.col("side") == k, F.col("signature"))).alias(f"s{k}") for k in (0, 1)])
+    got = {r[0]: r[1] for r in marks.select("trial", weighted_minhash.likeness(F.col("s0"), F.col("s1"))).collect()}
+    assert all(got[t] == pytest.approx(w, abs=4 * (w * (1 - w) / 64) ** 0.5 + 0.01) for t, w in want.items()), (got, want)
+
+
 # --- pipeline -------------------------------------------------------------------------------------------------------
 
 
