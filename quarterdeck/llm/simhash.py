@@ -193,7 +193,12 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
 
     Of several rows with that doc_id the one of the least text stays. Rows whose doc_id is null all stay.
     """
-    found = materialise(near_duplicates(docs, width, radius).where("doc_id is not null"), "components")
+    return keep_first(docs, near_duplicates(docs, width, radius))
+
+
+def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component of ``found`` (doc_id, component_id), as ``keep_one`` says."""
+    found = materialise(found.where("doc_id is not null"), "components")
     kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = materialise(kept, "kept")
     # Merged at every size: the list grows with the corpus, so that a plan with it broadcast says nothing of a larger one.

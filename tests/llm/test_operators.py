@@ -385,6 +385,40 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0 and simhash.keep_one(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [300, 400_000])
+def test_pipeline_drops_near_copies(spark, chunk, monkeypatch):
+    import corpus_pipeline
+    from quarterdeck.llm import similar
+
+    monkeypatch.setattr(similar, "CHUNK_SHINGLES", chunk)
+    rng = random.Random(14)
+    text = lambda n: [f"w{rng.randrange(3000)}" for _ in range(n)]
+    rows = [*ODD]
+    for k in range(40):
+        base = text(200)
+        rows.append((100 * k + 100, " ".join(base)))
+        for e, edits in enumerate([1, 2, 3, 4, 10, 25]):  # words replaced far apart
+            edited = list(base)
+            for at in range(edits):
+                edited[at * 8 + 3] = f"new{k}-{e}-{at}"
+            rows.append((100 * k + 101 + e, " ".join(edited)))
+    shingle = lambda t: {tuple(w[i : i + 5]) for w in [t.split()] for i in range(max(1, len(w) - 4))}
+    sets = {d: shingle(t) for d, t in rows if d is not None and d >= 100}
+    want, up = set(), {d: d for d in sets}
+    for a in sorted(sets):
+        for b in (b for b in sets if a < b < a + 100 and a // 100 == b // 100):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((up[a], up[b]))
+                up = {d: x if r == y else r for d, r in up.items()}
+    want = set(up.values())
+    assert len(want) == 120  # of each seven the first with its four nearest, and the two far ones
+    df = docs(spark, rows, extra=True)
+    out = corpus_pipeline.near_dedup(spark, df, "")
+    got = [r.doc_id for r in out.collect()]
+    assert out.columns == df.columns and Counter(got) == Counter([*want, 0, 3, 4, 5, 7, None])
+    assert corpus_pipeline.near_dedup(spark, docs(spark, []), "").count() == 0
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(9)
     v = [(k, [float(x) for x in rng.normal(size=6).round(1)]) for k in range(200)] + [(500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (None, [0.0] * 6), (20, [9.0] * 6)]
