@@ -2,7 +2,7 @@
 
 A document is a bag of sentences. A sentence's score is the logistic of the weights of its distinct words and their beginnings; a
 document's is the noisy-or of its sentences' scores. The weights are learned from document labels alone, in numpy, on a
-bounded sample of labelled rows; the sentence scores then locate what offends.
+bounded sample of labelled rows, whose whole texts tasks reduce to the kept features of each sentence; the sentence scores then locate what offends.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import among_least, learnable, read_table
+from quarterdeck.llm.common import among_least, learnable, materialise, read_table
 
-#: The training sample: labelled rows of each class at most, and characters of each text.
-SAMPLE_TOXIC, SAMPLE_CLEAN, SAMPLE_CHARS = 1_500, 3_500, 8_000
+#: The training sample: labelled rows of each class at most. Their texts are read whole.
+SAMPLE_TOXIC, SAMPLE_CLEAN = 1_500, 3_500
 #: Features kept, the least labelled toxic documents that hold one, and the least ratio of its rates in toxic and clean documents.
 FEATURES, LEAST_DOCS, LEAST_RATIO = 20_000, 4, 3.0
 #: Lengths of the word beginnings that count as features besides the word.
@@ -87,27 +87,43 @@ def document_score(found: list[tuple[str, float, float]]) -> float:
     return score + (1 - score) * TIES * noisy_or([c for _, _, c in found])
 
 
-def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, rounds: int = 300, rate: float = 0.1, penalty: float = 5e-5) -> SentenceModel:
-    """Fit weights and bias by Adam on the cross entropy of the documents' noisy-or. ``clean_weight`` restores the class ratio."""
+def text_features(text: str) -> set[str]:
+    """The distinct features of a whole text."""
+    return set().union(*map(features, set(TOKEN.findall(text.lower()))))
+
+
+def sentence_features(text: str, number: dict[str, int]) -> Counter[tuple[int, ...]]:
+    """How many sentences with a word in them hold which of the numbered features."""
+    out = Counter()
+    for s in SENTENCE.split(text):
+        if words := set(TOKEN.findall(s.lower())):
+            out[tuple(sorted({number[f] for w in words for f in features(w) if f in number}))] += 1
+    return out
+
+
+def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0) -> SentenceModel:
+    """The model of these texts. ``clean_weight`` restores the class ratio."""
     n1, n0 = sum(toxic), len(toxic) - sum(toxic)
     with1, with0 = Counter(), Counter()
     for label in (1, 0):  # of clean texts only what toxic ones hold is counted
         for text, y in zip(texts, toxic):
             if y == label:
-                own = set().union(*map(features, set(TOKEN.findall(text.lower()))))
+                own = text_features(text)
                 (with1 if y else with0).update(own if y else own & with1.keys())
     ratio = {f: (c / max(n1, 1)) / ((with0[f] + 0.5) / max(n0, 1)) for f, c in with1.items() if c >= LEAST_DOCS}
     kept = sorted((f for f, r in ratio.items() if r >= LEAST_RATIO), key=lambda f: (-with1[f] * math.log(ratio[f]), f))[:FEATURES]
     number = {f: k for k, f in enumerate(kept)}
-    cols, rows, doc_of = [], [], []
-    for d, text in enumerate(texts):
-        for s in SENTENCE.split(text):
-            if words := set(TOKEN.findall(s.lower())):
-                mine = sorted({number[f] for w in words for f in features(w) if f in number})
-                cols += mine
-                rows += [len(doc_of)] * len(mine)
-                doc_of.append(d)
-    cols, rows, doc_of, y = np.array(cols, np.int64), np.array(rows, np.int64), np.array(doc_of, np.int64), np.array(toxic, float)
+    return fit(kept, [sentence_features(t, number) for t in texts], toxic, clean_weight)
+
+
+def fit(kept: list[str], bags: list[Counter[tuple[int, ...]]], toxic: list[int], clean_weight: float = 1.0, rounds: int = 300, rate: float = 0.1, penalty: float = 5e-5) -> SentenceModel:
+    """Fit weights and bias by Adam on the cross entropy of the documents' noisy-or; sentences alike count by their number."""
+    alike = [(d, mine, n) for d, bag in enumerate(bags) for mine, n in sorted(bag.items())]
+    doc_of = np.array([d for d, _, _ in alike], np.int64)
+    times = np.array([n for _, _, n in alike], float)
+    rows = np.repeat(np.arange(len(alike)), [len(mine) for _, mine, _ in alike])
+    cols = np.array([c for _, mine, _ in alike for c in mine], np.int64)
+    y = np.array(toxic, float)
     cost = np.where(y > 0, 1.0, clean_weight)
     cost /= cost.sum()
     w, b = np.zeros(len(kept)), -6.0
@@ -115,9 +131,9 @@ def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, rounds:
     for step in range(1, rounds + 1):
         z = b + np.bincount(rows, w[cols], len(doc_of))
         p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
-        clear = np.exp(np.bincount(doc_of, -np.logaddexp(0, z), len(y)))  # the chance that no sentence offends
+        clear = np.exp(np.bincount(doc_of, -np.logaddexp(0, z) * times, len(y)))  # the chance that no sentence offends
         pull = np.where(y > 0, -clear / np.maximum(1 - clear, 1e-9), 1.0) * cost
-        gz = pull[doc_of] * p
+        gz = pull[doc_of] * p * times
         g = np.append(np.bincount(cols, gz[rows], len(kept)) + penalty * w, gz.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
@@ -125,8 +141,8 @@ def train(texts: list[str], toxic: list[int], clean_weight: float = 1.0, rounds:
     return SentenceModel({f: float(x) for f, x in zip(kept, w) if x}, float(b))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float]:
-    """Texts and labels of a bounded sample, and the weight of a clean row that restores the ratio of the classes.
+def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int], float]:
+    """doc_id, text (whole) and toxic of a bounded sample, its rows of each class, and the weight of a clean row that restores the ratio of the classes.
 
     Each class gives its rows of smallest hashed id, among rows that may be learned from; equal texts count once.
     """
@@ -135,10 +151,44 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     h = F.xxhash64("doc_id")
     part = [own.where((F.col("toxic") == t) & among_least(h, n, counts.get(t, 0))).orderBy(h, "doc_id").limit(n) for t, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN))]
     chosen = F.broadcast(part[0].unionByName(part[1]))  # at most the two limits
-    rows = docs.select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(chosen, "doc_id").where("text is not null").dropDuplicates(["text", "toxic"]).orderBy("doc_id", "toxic", "text").collect()
-    drawn = Counter(r["toxic"] for r in rows)
+    rows = materialise(docs.select("doc_id", "text").join(chosen, "doc_id").where("text is not null").dropDuplicates(["text", "toxic"]), "labelled")
+    drawn = {0: 0, 1: 0} | {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
     rate = {t: counts.get(t, 0) / max(drawn[t], 1) for t in (0, 1)}
-    return [r["text"] for r in rows], [r["toxic"] for r in rows], rate[0] / (rate[1] or 1.0)
+    return rows, drawn, rate[0] / (rate[1] or 1.0)
+
+
+def telling_features(rows: DataFrame, drawn: dict[int, int]) -> list[str]:
+    """The features that ``train`` keeps, counted in tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = {0: Counter(), 1: Counter()}
+            for t, y in zip(batch.column(0), batch.column(1).to_pylist()):
+                count[y].update(text_features(t.as_py()))
+            found = list(count[0].keys() | count[1].keys())
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), *(pa.array([count[y][f] for f in found], pa.int64()) for y in (1, 0))], ["f", "n1", "n0"])
+
+    counted = rows.select("text", "toxic").mapInArrow(run, "f string, n1 long, n0 long").groupBy("f").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).where(F.col("n1") >= LEAST_DOCS)
+    ratio = (F.col("n1") / F.lit(float(max(drawn[1], 1)))) / ((F.col("n0") + 0.5) / F.lit(float(max(drawn[0], 1))))
+    best = counted.withColumn("r", ratio).where(F.col("r") >= LEAST_RATIO).orderBy((-F.col("n1") * F.log("r")), "f").limit(FEATURES)
+    return [r["f"] for r in best.select("f").collect()]
+
+
+def bags_of(rows: DataFrame, kept: list[str]) -> tuple[list[Counter[tuple[int, ...]]], list[int]]:
+    """What ``fit`` needs of every row, made in tasks: its sentences' kept features, sentences alike as one; and its label."""
+    shared = rows.sparkSession.sparkContext.broadcast({f: k for k, f in enumerate(kept)})  # at most FEATURES numbers
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = shared.value
+        for batch in batches:
+            bags = [sentence_features(t.as_py(), number) for t in batch.column(1)]
+            sets = pa.array([list(map(list, b)) for b in bags], pa.list_(pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sets, pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], ["doc_id", "toxic", "sets", "times"])
+
+    made = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(run, "doc_id long, toxic int, sets array<array<int>>, times array<long>")
+    # Ordered here, for the same sums at every run.
+    out = sorted((r["doc_id"], r["toxic"], sorted(zip(map(tuple, r["sets"]), r["times"]))) for r in made.toLocalIterator())
+    return [Counter(dict(b)) for _, _, b in out], [y for _, y, _ in out]
 
 
 def score(docs: DataFrame, model: SentenceModel) -> DataFrame:
@@ -168,8 +218,11 @@ def score(docs: DataFrame, model: SentenceModel) -> DataFrame:
 
 def fitted(docs: DataFrame, labels: DataFrame) -> SentenceModel:
     """The model for these tables; without labelled rows of both classes, one that rejects nothing."""
-    texts, toxic, weight = training_sample(docs, labels)
-    return train(texts, toxic, weight) if 0 < sum(toxic) < len(toxic) else SentenceModel({}, -50.0)
+    rows, drawn, weight = training_sample(docs, labels)
+    if not drawn[0] or not drawn[1]:
+        return SentenceModel({}, -50.0)
+    kept = telling_features(rows, drawn)
+    return fit(kept, *bags_of(rows, kept), weight)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -199,6 +199,23 @@ def test_toxicity(spark):
     assert toxicity.noisy_or([0.5, 0.5]) == pytest.approx(0.75) and toxicity.noisy_or([]) == 0
 
 
+def test_toxicity_learns_from_whole_texts(spark):
+    """What offends late in long texts is learned as well, and as from the same texts in memory."""
+    rng = random.Random(4)
+    words = ["tree", "house", "water", "stone", "cloud", "river", "light", "green"]
+    clean = lambda n: " ".join(" ".join(rng.choice(words) for _ in range(6)) + "." for _ in range(n))
+    rows = [(k, clean(300) + (" you badword here." if k % 4 == 0 else "")) for k in range(120)]
+    assert all(len(t) > 9_000 for _, t in rows)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fitted(docs(spark, rows), labels)
+    known = [r[0] for r in spark.range(120).where(toxicity.learnable(F.col("id"))).collect()]
+    plain = toxicity.train([rows[k][1] for k in known], [int(k % 4 == 0) for k in known])
+    assert model.weights.keys() == plain.weights.keys() and all(model.weights[f] == pytest.approx(x, abs=1e-6) for f, x in plain.weights.items())
+    got = {r.doc_id: r.score for r in toxicity.score(docs(spark, rows), model).collect()}
+    assert all((got[k] >= toxicity.THRESHOLD) == (k % 4 == 0) for k, _ in rows)
+    assert toxicity.fitted(docs(spark, rows), labels.where("toxic = 0")).weights == {}
+
+
 PAGE = '<html><head><title>T</title><style>p{x}</style></head><body><nav><ul><li><a href="/">Home</a></li><li><a href="/x">More</a></li></ul></nav><!-- ad --><div class="ad">Buy this now.</div><article><h1>A  title</h1><p><b>First&amp;\n second words, and more of it. And on.<br>line<p>Third &lt;p&gt; one, two three.</p></article><footer>&copy; someone</footer>'
 
 
