@@ -25,6 +25,8 @@ from quarterdeck.llm.common import among_least, read_table
 
 #: Pages sampled for training, characters of each, and pages put together from them.
 SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 900
+#: Paragraphs for training where the sample has no text block at all.
+SEEDS = ("The committee met on Monday to hear what had been found, and it will say more in spring.", "A short note on method.", "Rain fell on the hills for three days before the river rose, and nobody who lived there was surprised by it.")
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
@@ -275,8 +277,9 @@ def made_pages(pages: list[str], seed: int = 3) -> list[str]:
     inside = [m[1] for p in pages if (m := re.search(r"<(?:article|main)\b[^>]*>(.*?)</(?:article|main)>", p, re.S | re.I))]
     blocks = [b for t in inside for b in re.findall(r"<(?:p|h[1-6]|li)\b[^>]*>.*?(?=<(?:p|h[1-6]|li)\b|</(?:p|h[1-6]|li)>|$)", t, re.S | re.I)]
     bare = [s for b in blocks if (s := re.sub(r"<[^>]*(?:>|$)", " ", b).strip())]
-    if not bare:
-        return []
+    if not bare:  # no article that ends: any blocks of the sample, those that hold other blocks left out
+        loose = [t for p in pages for t in re.findall(r"<(?:p|h[1-6]|li|div|section|td|blockquote)\b[^>]*>((?:[^<]|</?(?:a|b|i|em|strong|span|br)\b[^>]*>)+)", p, re.I)]
+        bare = [s for t in loose if (s := re.sub(r"<[^>]*(?:>|$)", " ", t).strip())] or list(SEEDS)
     pick = lambda options: options[int(rng.integers(len(options)))]
     words = lambda n: " ".join(pick(bare).split()[:n]).replace("<", "&lt;")
 
@@ -317,11 +320,9 @@ def made_pages(pages: list[str], seed: int = 3) -> list[str]:
     return out
 
 
-def train(pages: list[str]) -> Trees | None:
-    """Trees for pages like these; None if no page has an article to learn from."""
+def train(pages: list[str]) -> Trees:
+    """Trees for pages like these; for any pages, as the labels and boilerplate are made."""
     made = [parse(p) for p in made_pages(pages)]
-    if not made:
-        return None
     x = np.concatenate([features(p) for p in made])
     y = np.concatenate([[1 if i == 0 or p.tag[i] == TAG_NO["body"] or l == 1 else 0 for i, l in enumerate(p.label)] for p in made])
     return boost(x, y.astype(float))
@@ -336,10 +337,10 @@ def training_sample(pages: DataFrame) -> list[str]:
     return [r["html"] for r in rows]
 
 
-def extract(pages: DataFrame, model: Trees | None, key: str = "page_id", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, model: Trees, key: str = "page_id", html: str = "html") -> DataFrame:
     """``key`` and ``url`` and the main text and its length of every page.
 
-    A null or empty page has empty text, as has one in which nothing is kept; without a model all text is kept.
+    A null or empty page has empty text, as has one in which nothing is kept.
     Repeated rows are treated alike. Pages are cut into batches of bounded size for the trees, never in themselves.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)  # a few KB
@@ -350,9 +351,6 @@ def extract(pages: DataFrame, model: Trees | None, key: str = "page_id", html: s
             texts = []
             for k in range(0, batch.num_rows, 200):
                 parsed = [parse(t.as_py() or "") for t in batch.column(2).slice(k, 200)]
-                if model is None:
-                    texts += [kept_text(p, [True] * len(p.parent)) for p in parsed]
-                    continue
                 odds = model.log_odds(np.concatenate([features(p) for p in parsed]))
                 cuts = np.cumsum([len(p.parent) for p in parsed])[:-1]
                 texts += [kept_text(p, decode(p.parent, o)) for p, o in zip(parsed, np.split(odds, cuts))]

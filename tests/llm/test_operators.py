@@ -233,6 +233,16 @@ def test_pages(spark):
     assert all(keep[p] or not k for p, k in zip(page.parent[1:], keep[1:]))
 
 
+def test_pages_without_articles(spark):
+    """Pages of plain div mark-up lose their boilerplate too, and so do those of a sample without text."""
+    text = lambda k: f"Word{k} and so on, with some length to it, and then a good deal more that was said at the time. " * 3
+    page = lambda k: f'<html><body><div class="menu"><ul><li><a href="/">Home</a></li><li><a href="/x">More</a></li></ul></div><div class="content"><p>{text(k)}</p><p>Other things, {text(k + 1)}</p></div><div class="footer">Copyright someone</div></body></html>'
+    rows = [(k, "u", page(k)) for k in range(30)]
+    for sample in ([h for _, _, h in rows], []):
+        got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), html_text.train(sample)).collect()
+        assert all(f"Word{r.page_id} and" in r.text and "Home" not in r.text and "Copyright" not in r.text for r in got)
+
+
 def test_tree_decoding_is_the_best():
     rng = np.random.default_rng(4)
     for _ in range(30):
