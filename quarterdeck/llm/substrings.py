@@ -5,15 +5,16 @@ earlier in the same one. The steps:
 
 1. Anchors. Every window of LENGTH bytes picks the byte run of length ``GRAM`` in it with the least hash, so that equal
    windows pick the same run at the same place; about one position in 35 is an anchor. The anchor's context is all that
-   windows with this anchor can reach. Each block of texts merges its equal contexts first: later ones are covered.
-2. One shuffle by anchor hash. Equal contexts of different blocks are found by their digests (128 bits with the
-   anchor's); all but the first are covered. Anchors with several different contexts are left to sort.
-3. Suffix sort. The contexts of an anchor hash are fetched from the texts and sorted by what follows the anchor: a
+   windows with this anchor can reach. Texts are hashed some hundred KB at a time; each block of texts then merges its
+   contexts that are equal byte by byte, so that one of each goes on, and a task those that it has met in earlier blocks.
+2. One shuffle by anchor hash, of narrow rows: anchors that occur once are done with.
+3. Suffix sort. The contexts of all other anchors are fetched from the texts and sorted by what follows the anchor: a
    mergesort whose comparisons find the common extension of two suffixes by binary search over prefix polynomial hashes,
    so in a logarithmic number of steps; neighbours are checked byte by byte, and a collision sends the block to a plain
    sort. Runs of neighbours with a common extension, split by the hash of what precedes the anchor, are the equal windows.
-4. An anchor with very many contexts (``HOT`` in one block, or ``LARGE`` in all) is not one group: its windows are
-   grouped by their own digests with Spark's partial aggregation.
+   A group of more rows than a task should hold goes through the sort in chunks, of which only distinct contexts are kept.
+4. An anchor with very many different contexts (``HOT`` in one block, or ``LARGE`` in all) is not one group: its windows
+   themselves, all their bytes, are grouped with Spark's partial aggregation.
 5. The covered intervals are merged for each document and its bytes are cut out.
 """
 
@@ -33,8 +34,10 @@ from quarterdeck.llm.common import materialise, read_table
 LENGTH, GRAM = 100, 32
 #: How far a context reaches on either side of the anchor.
 REACH = LENGTH - GRAM
-#: Bytes of a block; distinct contexts of an anchor in one block, or in all, from which its windows are grouped one by one.
-BLOCK, HOT, LARGE = 2 << 20, 64, 20_000
+#: Bytes hashed at a time; bytes of a block; distinct contexts of an anchor in one block, or in all, from which its windows are grouped one by one.
+STEP, BLOCK, HOT, LARGE = 128 << 10, 2 << 20, 64, 20_000
+#: Frequent contexts that a task remembers from its earlier blocks; contexts sorted at a time; bytes of a batch of results.
+REMEMBERED, CHUNK, EMIT = 30_000, 6_000, 4 << 20
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
 U = np.uint64
@@ -49,16 +52,21 @@ def powers(of: int, n: int) -> np.ndarray:
 
 
 class PrefixHashes:
-    """Polynomial hashes of all substrings of ``data``; equal strings have equal hashes wherever they are."""
+    """Polynomial hashes of all substrings of ``data``; equal strings have equal hashes wherever they are.
 
-    def __init__(self, data: np.ndarray):
+    ``place`` is each byte's place in its own piece, where data is made of pieces and no substring crosses them.
+    """
+
+    def __init__(self, data: np.ndarray, place: np.ndarray | None = None):
         n = len(data)
+        self.place = np.arange(n + 1) if place is None else place
+        most = int(self.place.max(initial=0)) + 1
         self.sums = np.zeros(n + 1, U)
-        np.cumsum((data.astype(U) + U(1)) * powers(INVERSE, n), out=self.sums[1:])
-        self.shift = powers(BASE, n + 1)
+        np.cumsum((data.astype(U) + U(1)) * powers(INVERSE, most)[self.place[:n]], out=self.sums[1:])
+        self.shift = powers(BASE, most)
 
     def of(self, start: np.ndarray, length) -> np.ndarray:
-        return (self.sums[start + length] - self.sums[start]) * self.shift[start]
+        return (self.sums[start + length] - self.sums[start]) * self.shift[self.place[start]]
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -103,57 +111,107 @@ COVER, FIRST, HOT_FIRST, MARK = 0, 1, 2, 3
 ROWS = "part long, h long, c long, doc long, twin long, v long"
 
 
-def _pieces(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes, int, int]]]:
-    """Blocks of (row, offset of the piece, its bytes, first and end window within it); long texts are cut with overlap."""
-    block, held = [], 0
-    for r, t in enumerate(texts):
-        for lo in range(0, len(t) - LENGTH + 1, BLOCK):
-            hi = min(lo + BLOCK, len(t) - LENGTH + 1)
-            a, b = max(0, lo - REACH), min(len(t), hi + LENGTH + 2 * REACH)
-            if held and held + b - a > BLOCK:
-                yield block
-                block, held = [], 0
-            block.append((r, a, t[a:b], lo - a, hi - a))
-            held += b - a
-    if block:
-        yield block
+def flat_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, not copied, and where each value starts in them (and the last one ends)."""
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    off = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64) if offsets else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), off
+
+
+def same_bytes(data: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[a : a + size] is data[b : b + size], for each row."""
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), 4096):
+        n = size[k : k + 4096, None]
+        step = np.arange(int(n.max()))[None, :]
+        inside = step < n
+        last = np.maximum(n - 1, 0)
+        step = np.minimum(step, last)
+        out[k : k + 4096] = ((data[a[k : k + 4096, None] + step] == data[b[k : k + 4096, None] + step]) | ~inside).all(1)
+    return out
+
+
+class Seen:
+    """Frequent contexts of a task's earlier blocks: the earliest place of each, and its bytes. Bounded, so that it may forget."""
+
+    def __init__(self):
+        self.known: dict[int, tuple[int, int, bytes]] = {}
+
+    def later(self, key: np.ndarray, doc: np.ndarray, pos: np.ndarray, data, start: np.ndarray, end: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+        """Which contexts have been met at an earlier place; the frequent ones of this block are remembered."""
+        out = np.zeros(len(key), bool)
+        keys = key.tolist()
+        for k in [k for k, x in enumerate(keys) if x in self.known]:
+            d, p, own = self.known[keys[k]]
+            if own == data[start[k] : end[k]]:
+                here = (int(doc[k]), int(pos[k]))
+                out[k] = here > (d, p)
+                if here < (d, p):
+                    self.known[keys[k]] = (*here, own)
+        for k in np.flatnonzero(frequent).tolist():
+            if keys[k] not in self.known:
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                self.known[keys[k]] = (int(doc[k]), int(pos[k]), bytes(data[start[k] : end[k]]))
+        return out
 
 
 def _find_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From doc, twin, text: the covers, first contexts and hot anchors of each block."""
+    """From doc, twin, text as bytes: the covers, first contexts and hot anchors of each block."""
+    seen = Seen()
     for batch in batches:
         doc, twin = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        texts = [(t.as_py() or "").encode("utf-8", "replace") for t in batch.column(2)]
-        for block in _pieces(texts):
-            yield _block_rows(block, doc, twin, [len(t) for t in texts])
-
-
-def _block_rows(block, doc, twin, sizes) -> pa.RecordBatch:
-    flat = b"".join(p[2] for p in block)
-    starts = np.cumsum([0, *(len(p[2]) for p in block)])
-    valid = np.zeros(len(flat) + 1, np.int8)
-    for (_, _, _, lo, hi), o in zip(block, starts.tolist()):
-        valid[o + lo] += 1
-        valid[o + hi] -= 1
-    at, h = anchors(np.frombuffer(flat, np.uint8), np.cumsum(valid[:-1]).astype(bool))
-    piece = np.searchsorted(starts, at, "right") - 1
-    row = np.array([p[0] for p in block])[piece]
-    pos = at - starts[piece] + np.array([p[1] for p in block])[piece]
-    left = np.minimum(REACH, pos)
-    right = np.minimum(REACH, np.array(sizes)[row] - pos - GRAM)
-    digest = xxhash.xxh3_64_intdigest
-    c = np.fromiter((digest(flat[s:e], k) for s, e, k in zip((at - left).tolist(), (at + GRAM + right).tolist(), left.tolist())), U, len(at))
+        data, off = flat_bytes(batch.column(2))
+        for lo in range(int(off[0]), int(off[-1]), BLOCK):
+            yield _block_rows(data, off, lo, min(lo + BLOCK, int(off[-1])), doc, twin, seen)
+
+
+def _block_anchors(data: np.ndarray, off: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``data`` and hashes of the anchors of all windows that start from lo to hi and stay within their text."""
+    places, hashes = [np.zeros(0, np.int64)], [np.zeros(0, U)]
+    for a in range(lo, hi, STEP):
+        b = min(a + STEP, hi)
+        first, last = np.searchsorted(off, a, "right") - 1, np.searchsorted(off, b, "left")
+        ends, starts = off[first + 1 : last + 1], off[first:last]  # texts that have bytes from a to b
+        out = np.zeros(b - a + 1, np.int32)  # where windows would cross the end of their text
+        np.add.at(out, np.clip(np.maximum(ends - LENGTH + 1, starts), a, b) - a, 1)
+        np.add.at(out, np.clip(ends, a, b) - a, -1)
+        at, h = anchors(data[a : min(b + LENGTH - 1, int(off[-1]))], np.cumsum(out[:-1]) == 0)
+        places.append(at + a)
+        hashes.append(h)
+    at, index = np.unique(np.concatenate(places), return_index=True)
+    return at, np.concatenate(hashes)[index]
+
+
+def _block_rows(data: np.ndarray, off: np.ndarray, lo: int, hi: int, doc: np.ndarray, twin: np.ndarray, seen: Seen) -> pa.RecordBatch:
+    at, h = _block_anchors(data, off, lo, hi)
+    row = np.searchsorted(off, at, "right") - 1
+    pos = at - off[row]
+    left, right = np.minimum(REACH, pos), np.minimum(REACH, off[row + 1] - at - GRAM)
+    digest, view = xxhash.xxh3_64_intdigest, memoryview(data)
+    c = np.fromiter((digest(view[s:e], k) for s, e, k in zip((at - left).tolist(), (at + GRAM + right).tolist(), left.tolist())), U, len(at))
     h, c = h.view(np.int64), c.view(np.int64)
     order = np.lexsort([pos, doc[row], c, h])
-    h, c, row, pos, left, right = (x[order] for x in (h, c, row, pos, left, right))
-    same = np.concatenate(([False], (h[1:] == h[:-1]) & (c[1:] == c[:-1]))) if len(h) else np.zeros(0, bool)
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(h)))) if len(h) else np.zeros(0, np.int64)
-    later = same & ((doc[row] != doc[row[first]]) | (pos != pos[first])) if len(h) else same
+    at, h, c, row, pos, left, right = (x[order] for x in (at, h, c, row, pos, left, right))
+    n = len(h)
+    same = np.concatenate(([False], (h[1:] == h[:-1]) & (c[1:] == c[:-1])))[:n]
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(n))) if n else np.zeros(0, np.int64)
+    same &= (left == left[first]) & (right == right[first])
+    check = np.flatnonzero(same)
+    same[check] = same_bytes(data, (at - left)[check], (at - left)[first[check]], (left + GRAM + right)[check])
+    many = np.bincount(first[same], minlength=n)
+    met = np.zeros(n, bool)
+    firsts = np.flatnonzero(~same)
+    met[firsts] = seen.later((h ^ c)[firsts], doc[row[firsts]], pos[firsts], view, (at - left)[firsts], (at + GRAM + right)[firsts], many[firsts] > 0)
+    # A repeat of one document at one place is a row of a repeated id: neither covers the other.
+    later = met | (same & ((doc[row] != doc[row[first]]) | (pos != pos[first])))
     cr, cs, ce = merged(row[later], (pos - left)[later], (pos + GRAM + right)[later])
-    keep = ~same
+    keep = ~later
     h, c, row, pos, left, right = (x[keep] for x in (h, c, row, pos, left, right))
-    hs, many = np.unique(h, return_counts=True)
-    hot = hs[many >= HOT]
+    fresh = np.concatenate(([True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])))[: len(h)]
+    ids, times = np.unique(h[fresh], return_counts=True)
+    hot = ids[times >= HOT]
     is_hot = np.isin(h, hot)
     kind = np.where(is_hot, HOT_FIRST, FIRST)
     v = (pos << 18) | (left << 10) | (right << 2) | kind
@@ -167,66 +225,61 @@ def _block_rows(block, doc, twin, sizes) -> pa.RecordBatch:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Over all blocks: covers (hot null, h 0), and the first contexts of anchors that have several (hot says where from).
+    """Over all blocks: covers (hot null, h 0), and the contexts of anchors that occur again (hot says whether they are hot).
 
     Columns doc, twin, a, b, h, hot; a cover is [a, b), a context has its anchor at a.
     """
-    kind = F.col("v").bitwiseAND(F.lit(3))
     whole = Window.partitionBy("part", "h")
-    order = whole.orderBy("c", "doc", "v")
+    order = whole.orderBy("c")
     is_context = F.col("kind").isin(FIRST, HOT_FIRST)
     same = F.col("c") == F.lag("c").over(order)
     df = (
-        rows.withColumn("kind", kind)
+        rows.withColumn("kind", F.col("v").bitwiseAND(F.lit(3)))
         .withColumn("first", is_context & ~F.coalesce(same, F.lit(False)))
-        .withColumn("again", F.coalesce(same & (F.col("doc") == F.lag("doc").over(order)) & (F.col("v") == F.lag("v").over(order)), F.lit(False)))
+        .withColumn("times", F.sum(is_context.cast("int")).over(whole))
         .withColumn("many", F.sum(F.col("first").cast("int")).over(whole))
         .withColumn("marked", F.max((F.col("kind") == MARK).cast("int")).over(whole) == 1)
     )
-    place = F.shiftright("v", 18)
-    left, right = F.shiftright("v", 10).bitwiseAND(F.lit(255)), F.shiftright("v", 2).bitwiseAND(F.lit(255))
     hot = (F.col("kind") == HOT_FIRST) | F.col("marked") | (F.col("many") > LARGE)
     cover = F.col("kind") == COVER
-    wanted = cover | (is_context & ~F.col("first") & ~F.col("again")) | (F.col("first") & (hot | (F.col("many") > 1)))
-    return df.where(wanted).select(
-        "doc", "twin",
-        F.when(cover, F.col("h")).when(F.col("first"), place).otherwise(place - left).alias("a"),
-        F.when(cover, F.shiftright("v", 2)).when(F.col("first"), F.lit(0)).otherwise(place + GRAM + right).cast("long").alias("b"),
-        F.when(F.col("first"), F.col("h")).otherwise(0).cast("long").alias("h"), F.when(F.col("first"), hot).alias("hot"),
+    return df.where(cover | (is_context & (hot | (F.col("times") > 1)))).select(
+        "doc", "twin", F.when(cover, F.col("h")).otherwise(F.shiftright("v", 18)).alias("a"), F.when(cover, F.shiftright("v", 2)).otherwise(0).cast("long").alias("b"),
+        F.when(is_context, F.col("h")).otherwise(0).cast("long").alias("h"), F.when(is_context, hot).alias("hot"),
     )
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From doc, twin, text and its wanted (h, a): h, doc, twin, pos, left and the bytes of each context."""
+    """From doc, twin, text as bytes and its wanted (h, a): h, doc, twin, pos, left and the bytes of each context."""
     for batch in batches:
-        out: list[list] = [[] for _ in range(6)]
-        for doc, twin, text, want in zip(*(c.to_pylist() for c in batch.columns)):
-            data = (text or "").encode("utf-8", "replace")
-            for w in want:
-                pos = w["a"]
-                left = min(REACH, pos)
-                for o, x in zip(out, (w["h"], doc, twin, pos, left, data[pos - left : pos + GRAM + REACH])):
-                    o.append(x)
-            if len(out[0]) > 20_000:
-                yield _context_rows(out)
-                out = [[] for _ in range(6)]
-        yield _context_rows(out)
-
-
-def _context_rows(out: list[list]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], ["h", "doc", "twin", "pos", "left", "bytes"])
+        data, off = flat_bytes(batch.column(2))
+        wanted = batch.column(3)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(wanted.offsets.to_numpy()))
+        h, pos = (x.to_numpy() for x in wanted.flatten().flatten())
+        doc, twin = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for k in range(0, len(row), 10_000):
+            r, p = row[k : k + 10_000], pos[k : k + 10_000]
+            left = np.minimum(REACH, p)
+            start = off[r] + p - left
+            size = np.minimum(off[r] + p + GRAM + REACH, off[r + 1]) - start
+            ends = np.cumsum(size)
+            flat = data[np.repeat(start - ends + size, size) + np.arange(ends[-1])]
+            offsets = np.concatenate(([0], ends)).astype(np.int32)
+            own = pa.Array.from_buffers(pa.binary(), len(r), [None, pa.py_buffer(offsets), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in (h[k : k + 10_000], doc[r], twin[r], p, left)), own], ["h", "doc", "twin", "pos", "left", "bytes"])
 
 
 class Suffixes:
-    """Contexts of anchors, to be sorted by their group and by what follows the anchor."""
+    """Contexts of anchors, to be sorted by what follows the anchor; ``group`` is in order, and groups do not mix."""
 
     def __init__(self, group: np.ndarray, left: np.ndarray, contexts: list[bytes]):
         self.group, self.left, self.contexts = group, left, contexts
         size = np.fromiter(map(len, contexts), np.int64, len(contexts))
         self.data = np.frombuffer(b"".join(contexts) + bytes(8), np.uint8)
-        self.hashes = PrefixHashes(self.data)
-        self.anchor = np.cumsum(size) - size + left
+        begin = np.cumsum(size) - size
+        place = np.zeros(len(self.data) + 1, np.int16)
+        place[: len(self.data) - 8] = np.arange(len(self.data) - 8) - np.repeat(begin, size)
+        self.hashes = PrefixHashes(self.data, place)
+        self.anchor = begin + left
         self.after = self.anchor + GRAM
         self.right = size - left - GRAM
         #: the next eight bytes, where there are as many
@@ -262,12 +315,14 @@ class Suffixes:
         """A bottom-up mergesort; every element finds its place in the other run by binary search, all side by side."""
         n = len(self.group)
         order, at, width = np.arange(n), np.arange(n), 1
+        # an element's place in another run lies among those of its group: groups lie in order, in every run
+        begins, ends = np.searchsorted(self.group, self.group, "left"), np.searchsorted(self.group, self.group, "right")
         while width < n:
             start = at // (2 * width) * (2 * width)
             mid = np.minimum(start + width, n)
             in_left = at < mid
-            base = np.where(in_left, mid, start)
-            lo, hi = base.copy(), np.where(in_left, np.minimum(start + 2 * width, n), mid)
+            base, end = np.where(in_left, mid, start), np.where(in_left, np.minimum(start + 2 * width, n), mid)
+            lo, hi = np.clip(begins, base, end), np.clip(ends, base, end)
             todo = np.flatnonzero(lo < hi)
             while len(todo):
                 m = (lo[todo] + hi[todo]) // 2
@@ -349,8 +404,23 @@ def _plainly(i, group, doc, pos, left, contexts) -> tuple[int, int]:
     return (min(hits), max(hits)) if hits else (REACH + 1, -1)
 
 
+SORTED = ["h", "doc", "twin", "pos", "left", "bytes"]
+
+
+def _distinct(table: pa.Table) -> pa.Table:
+    """The earliest row of each context's bytes."""
+    least: dict[bytes, tuple[int, int, int]] = {}
+    for k, (d, p, b) in enumerate(zip(table["doc"].to_pylist(), table["pos"].to_pylist(), table["bytes"].to_pylist())):
+        if b not in least or (d, p) < least[b][:2]:
+            least[b] = (d, p, k)
+    return table.take(pa.array(sorted(k for _, _, k in least.values()), pa.int64()))
+
+
 def _sort_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by h: the covers of each group; as many whole groups at a time as make a few thousand rows."""
+    """Over rows sorted by h: the covers of each group; about CHUNK rows at a time, larger groups in several chunks.
+
+    Of a group that goes on, each chunk leaves the earliest row of every distinct context to the next one: LARGE at most.
+    """
 
     def covers(table: pa.Table) -> pa.RecordBatch:
         h, doc, twin, pos, left = (table.column(k).to_numpy() for k in range(5))
@@ -358,58 +428,65 @@ def _sort_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         found, a, b = repeated(group, doc, pos, left, table.column(5).to_pylist())
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[found], twin[found], a, b)], ["doc", "twin", "a", "b"])
 
-    held: list[pa.RecordBatch] = []
+    held: pa.Table | None = None
     for batch in batches:
-        held.append(batch)
-        if sum(b.num_rows for b in held) < 4_000:
-            continue
-        table = pa.Table.from_batches(held).combine_chunks()
-        h = table.column(0).to_numpy()
-        cut = int(np.searchsorted(h, h[-1]))  # the last group may go on
-        at = 0
-        while at < cut:
-            end = cut if cut - at <= 12_000 else max(int(np.searchsorted(h, h[min(at + 8_000, cut - 1)])), int(np.searchsorted(h, h[at], "right")))
-            yield covers(table.slice(at, end - at))
-            at = end
-        held = table.slice(cut).to_batches()
-    if held:
-        table = pa.Table.from_batches(held)
-        if table.num_rows:
-            yield covers(table)
+        for k in range(0, batch.num_rows, CHUNK):
+            part = pa.Table.from_batches([batch.slice(k, CHUNK)])
+            held = part if held is None else pa.concat_tables([held, part]).combine_chunks()
+            if held.num_rows < CHUNK:
+                continue
+            h = held.column(0).to_numpy()
+            cut = int(np.searchsorted(h, h[-1]))  # the last group may go on
+            if cut:
+                yield covers(held.slice(0, cut))
+                held = held.slice(cut).combine_chunks()
+            if held.num_rows >= CHUNK:
+                yield covers(held)
+                held = _distinct(held)
+    if held is not None and held.num_rows:
+        yield covers(held)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window around the anchors of hot contexts: its digest and where it starts."""
+    """Every window around the anchors of hot contexts: its bytes and where it starts."""
     for batch in batches:
-        rows: list[list] = [[], [], [], [], []]
-        for doc, twin, pos, left, data in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4, 5))):
-            for a in range(len(data) - LENGTH + 1):
-                d = xxhash.xxh3_128_intdigest(data[a : a + LENGTH])
-                for r, x in zip(rows, ((d >> 64) - (1 << 63), (d & ((1 << 64) - 1)) - (1 << 63), doc, twin, pos - left + a)):
-                    r.append(x)
-        yield pa.RecordBatch.from_arrays([pa.array(r, pa.int64()) for r in rows], ["w", "x", "doc", "twin", "start"])
+        data, off = flat_bytes(batch.column(5))
+        doc, twin, pos, left = (batch.column(k).to_numpy() for k in (1, 2, 3, 4))
+        for k in range(0, batch.num_rows, 500):
+            n = np.maximum(np.diff(off[k : k + 501]) - LENGTH + 1, 0)
+            r = np.repeat(np.arange(k, k + len(n)), n)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            flat = np.ascontiguousarray(data[(off[r] + step)[:, None] + np.arange(LENGTH)])
+            own = pa.Array.from_buffers(pa.binary(LENGTH), len(r), [None, pa.py_buffer(flat)]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([own, *(pa.array(x) for x in (doc[r], twin[r], (pos - left)[r] + step))], ["w", "doc", "twin", "start"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From doc_id, text and its covers: the result rows and the text that is left."""
+    """From doc_id, text as bytes and its covers: the result rows and the bytes that are left."""
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     for batch in batches:
-        out: list[list] = [[] for _ in range(6)]
-        for doc, text, covers in zip(*(c.to_pylist() for c in batch.columns)):
-            data = (text or "").encode("utf-8", "replace")
-            runs, kept, at = [], [], 0
-            for a, b in sorted((c["a"], c["b"]) for c in covers or ()):
+        out: list[list] = [[] for _ in kinds]
+        held = 0
+        for doc, text, covers in zip(*batch.columns):
+            data, runs, kept, at = text.as_buffer(), [], [], 0
+            for a, b in sorted((c["a"], c["b"]) for c in covers.as_py() or ()):
                 if runs and a <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], b)
                 else:
                     runs.append([a, b])
+            view = memoryview(data)
             for a, b in runs:
-                kept.append(data[at:a])
+                kept.append(view[at:a])
                 at = b
-            left = b"".join([*kept, data[at:]])
-            for o, x in zip(out, (doc, len(data), len(data) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left)):
+            left = b"".join([*kept, view[at:]])
+            for o, x in zip(out, (doc.as_py(), len(view), len(view) - len(left), len(runs), hashlib.sha256(left).hexdigest(), left)):
                 o.append(x)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            held += len(left)
+            if held > EMIT:
+                yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names)
+                out, held = [[] for _ in kinds], 0
+        yield pa.RecordBatch.from_arrays([pa.array(o, k) for o, k in zip(out, kinds)], names)
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -421,7 +498,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), "text")
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), data.alias("text"))
     twins = materialise(keyed.groupBy("doc").count().where("count > 1").select("doc"), "twins")
     if twins.limit(1).count():
         twin = F.when(F.col("mark").isNotNull(), F.xxhash64("text")).otherwise(0).cast("long")
@@ -440,10 +518,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     sorted_covers = materialise(fetched(~F.col("hot")).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_sort_contexts, spans), "sorted-covers")
     covers = met.where("hot is null").select("doc", "twin", "a", "b").unionByName(sorted_covers)
     if met.where("hot").limit(1).count():
-        windows = fetched(F.col("hot")).mapInArrow(_windows, "w long, x long, doc long, twin long, start long").distinct()
-        windows = materialise(windows, "windows")
-        earliest = windows.groupBy("w", "x").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        later = windows.join(earliest, ["w", "x"]).where(F.struct("doc", "start") > F.col("first"))
+        windows = materialise(fetched(F.col("hot")).mapInArrow(_windows, "w binary, doc long, twin long, start long").distinct(), "windows")
+        earliest = windows.groupBy("w").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        later = windows.join(earliest, "w").where(F.struct("doc", "start") > F.col("first"))
         covers = covers.unionByName(later.select("doc", "twin", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b")))
     per_doc = covers.groupBy("doc", "twin").agg(F.collect_list(F.struct("a", "b")).alias("covers"))
     joined = keyed.join(per_doc, ["doc", "twin"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "covers")

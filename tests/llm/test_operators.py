@@ -85,6 +85,45 @@ def test_repeats_of_hot_anchors_and_split_blocks(spark, monkeypatch):
     assert repeats_of(docs(spark, rows)) == brute_repeats(rows)
 
 
+def shrunk(run, **constants):
+    """``run`` with other constants of its module, in the worker that it runs in."""
+
+    def inner(batches):
+        import quarterdeck.llm.substrings as s
+
+        before = {k: getattr(s, k) for k in constants}
+        for k, v in constants.items():
+            setattr(s, k, v)
+        try:
+            yield from run(batches)
+        finally:
+            for k, v in before.items():
+                setattr(s, k, v)
+
+    return inner
+
+
+@pytest.mark.parametrize("remembered", [2, 1000])
+def test_repeats_of_a_passage_in_every_block(spark, monkeypatch, remembered):
+    """Groups that are sorted in many chunks, contexts that a task has met before, and steps within a block."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefé") for _ in range(rng.randint(1, 6)))
+    passage, other = (" ".join(word() for _ in range(50)) for _ in range(2))
+    rows = [(rng.choice([k, k, None]), " ".join(word() for _ in range(40)) + passage + word() * 3 + (other[k % 7 :] if k % 3 else "")) for k in range(150)]
+    monkeypatch.setattr(substrings, "_find_anchors", shrunk(substrings._find_anchors, STEP=150, BLOCK=700, REMEMBERED=remembered))
+    monkeypatch.setattr(substrings, "_sort_contexts", shrunk(substrings._sort_contexts, CHUNK=7))
+    monkeypatch.setattr(substrings, "_cut", shrunk(substrings._cut, EMIT=2000))
+    assert repeats_of(docs(spark, rows)) == brute_repeats(rows)
+
+
+def test_repeats_of_very_long_texts(spark):
+    rng = random.Random(22)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(15_000)]
+    long = " ".join(words)
+    rows = [(1, "a" * 1_000_000), (2, "ab" * 500_000), (3, long), (4, long[50_000:] + "x"), (None, long[20_000:30_000] * 3), (None, "a" * 200)]
+    assert repeats_of(docs(spark, rows)) == brute_repeats(rows)
+
+
 def test_repeats_of_odd_rows(spark):
     assert repeats_of(docs(spark, ODD, extra=True).select("doc_id", "text")) == brute_repeats(ODD)
     assert repeats_of(docs(spark, []).select("doc_id", "text")) == Counter()
