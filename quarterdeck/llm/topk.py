@@ -1,11 +1,11 @@
 """Exact top-k inner products over an impact-ordered index, score at a time.
 
-The vectors' integer components are dealt into blocks of bounded size. A block's index holds, for each dimension, a
-posting list of its rows by quantised value; read from either end it is ordered by descending impact for a positive or
-a negative query weight. A query takes the segments of all dimensions in rounds of falling impact. After a round, every
-posting still unread adds at most the round's threshold, so that a row's score is at most what it has gathered, the
-quantisation error and the threshold for each dimension unread. Rounds stop only when the rows that may still belong to
-the k best are proved to be few; those are rescored exactly. Otherwise all segments are read.
+The vectors' integer components are dealt into blocks of bounded size. A block's postings (row, dimension) are cut into
+segments by descending quantised impact. A group of queries takes the segments in that order, each for all its queries at
+once. After a segment, a row's score differs from what it has gathered by no more than the quantisation error and the
+product of the lengths of the query and of the row's unread postings. A query stops only when this proves that few rows
+may still belong to its k best; those are rescored exactly. Otherwise it reads all segments, as it mostly must on dense
+vectors, whose impacts differ little.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import materialise, read_table
 
-#: Rows of a block; levels of an impact; the rounds' thresholds as shares of a query's largest impact; rows that may be left when rounds stop.
-BLOCK, LEVELS, ROUNDS, FEW = 8_192, 64, (0.35, 0.12, 0.0), 256
+#: Components of a block, which bound its rows; queries that meet a block in one task; queries that go through the segments side by side.
+CELLS, GROUP, ASIDE = 1 << 20, 65_536, 128
+#: Levels of an impact; shares of the postings, by descending impact, at which segments end; rows that may be left when a query stops; queries that try each proof first.
+LEVELS, SEGMENTS, FEW, TRIED = 64, (0.125, 0.25, 0.5, 1.0), 256, 4
 
 
 class ImpactIndex:
@@ -29,60 +31,58 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], np.ascontiguousarray(x[order])
-        n, dims = self.x.shape
-        self.low = self.x.min(0) if n else np.zeros(dims, np.int64)
-        top = self.x.max(0) if n else np.zeros(dims, np.int64)
-        self.step = np.maximum(1, -(-(top - self.low + 1) // LEVELS))
-        level = (self.x - self.low) // self.step
-        self.postings = np.argsort(-level, axis=0, kind="stable").T.copy()
-        self.impact = np.take_along_axis(level.T, self.postings, 1) * self.step[:, None]  # falls along a row
-        #: above[d, v]: rows of dimension d whose level is over v - 1.
-        held = np.zeros((dims, LEVELS + 1), np.int64)
-        np.add.at(held, (np.arange(dims)[None, :], level), 1)
-        self.above = held[:, ::-1].cumsum(1)[:, ::-1]
-        self.largest = int(np.abs(self.x).max(initial=0))
-        self.exact = self.x.astype(np.float64)
+        size = np.abs(self.x)
+        self.step = max(1, -(-int(size.max(initial=0)) // LEVELS))
+        level = size // self.step
+        impact = np.sign(self.x) * level
+        held = np.bincount(level.ravel(), minlength=LEVELS + 1)[::-1].cumsum()  # postings of a level or higher ones
+        ends = [LEVELS - int(np.searchsorted(held, share * held[-1])) for share in SEGMENTS] if level.size else [0]
+        #: For each segment its impacts (others are 0), and the lengths of each row's postings in later ones.
+        self.segments: list[tuple[np.ndarray, np.ndarray]] = []
+        above = LEVELS + 1
+        for least in sorted({max(e, 1) for e in ends[:-1]} | {0}, reverse=True):
+            rest = np.where(level < least, level, 0).astype(np.float64) * self.step
+            self.segments.append((np.where((level >= least) & (level < above), impact, 0).astype(np.float32), np.sqrt((rest * rest).sum(1))))
+            above = least
+        self.read = 0
+
+    def search_all(self, w: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query of ``w`` (queries x dimensions) the ids and exact scores of the k best rows, best first, ties to the smaller id."""
+        n, many = len(self.ids), len(w)
+        total = np.abs(w).sum(1).astype(np.float64)
+        most = total.max(initial=0.0) * LEVELS
+        kind = np.float32 if most < 1 << 24 else np.float64  # sums of whole numbers below that are exact
+        error = total * (self.step - 1) + (0 if most * self.step < 1 << 50 else total * LEVELS * self.step * 2.0**-40)
+        length = np.sqrt((w.astype(np.float64) ** 2).sum(1))
+        q, got = w.astype(kind), np.zeros((many, n), kind)
+        out: list = [(self.ids[:0], self.ids[:0])] * many
+        left = np.arange(many)
+        for last, (impact, rest) in zip([False] * (len(self.segments) - 1) + [True], self.segments):
+            if not len(left) or not n:
+                break
+            self.read += len(left)
+            got[left] += q[left] @ impact.T.astype(kind)
+            done = []
+            for tried in [left] if last else [left[:TRIED], left[TRIED:]]:  # where none of the first few can stop, none of the others tries
+                far = (length[tried][:, None] * rest[None, :] * (1 + 1e-6) if rest.any() else 0.0) + error[tried][:, None]
+                score = got[tried].astype(np.float64) * self.step
+                kth = np.partition(score - far, n - k, axis=1)[:, n - k] if n > k else np.full(len(tried), -np.inf)
+                possible = score + far >= kth[:, None]
+                stops = np.flatnonzero((possible.sum(1) <= max(FEW, 2 * k)) | last).tolist()
+                for j in stops:
+                    rows = np.flatnonzero(possible[j])
+                    exact = self.x[rows] @ w[tried[j]]
+                    best = np.lexsort((self.ids[rows], -exact))[:k]
+                    out[tried[j]] = (self.ids[rows][best], exact[best])
+                    done.append(tried[j])
+                if not stops:
+                    break
+            left = np.setdiff1d(left, done)
+        return out
 
     def search(self, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """ids and exact scores of the k best rows, best first, ties to the smaller id."""
-        n, dims = self.x.shape
-        used = np.flatnonzero(w)
-        size = np.abs(w)
-        deepest = self.impact[:, 0] if n else np.zeros(dims, np.int64)
-        # A posting's gain over the worst of its dimension: |w| * impact, counted from the end that the sign favours.
-        error = int((size * (self.step - 1)).sum())
-        most = int((size * (deepest + self.step - 1)).max(initial=0))
-        got = np.zeros(n, np.int64)  # gain << 16 | dimensions read
-        at = np.zeros(dims, np.int64)
-        possible = np.arange(n)
-        for share in ROUNDS:
-            threshold = int(most * share)
-            # the least level that may gain more than the threshold, from the favoured end
-            least = np.clip((threshold // np.maximum(size, 1) - (self.step - 1)) // self.step + 1, 0, LEVELS) if share else np.zeros(dims, np.int64)
-            ends = np.where(w > 0, self.above[np.arange(dims), least], n - self.above[np.arange(dims), np.clip(deepest // self.step - least + 1, 0, LEVELS)])
-            ends = np.maximum(at, ends)
-            for d in used[ends[used] > at[used]].tolist():
-                a, b, s = at[d], ends[d], int(size[d]) << 16
-                if w[d] > 0:
-                    rows, gain = self.postings[d, a:b], self.impact[d, a:b] * s
-                else:
-                    rows, gain = self.postings[d, n - b : n - a], (deepest[d] - self.impact[d, n - b : n - a]) * s
-                gain += 1
-                got[rows] += gain
-            at = ends
-            if n <= k:
-                break
-            gained, seen = got >> 16, got & 0xFFFF
-            kth = np.partition(gained, n - k)[n - k]
-            possible = np.flatnonzero(gained + error + threshold * (len(used) - seen) >= kth)
-            if len(possible) <= max(FEW, 2 * k):
-                break
-        if self.largest * int(size.max(initial=0)) * max(dims, 1) < 1 << 53:
-            score = (self.exact[possible] @ w.astype(np.float64)).astype(np.int64)
-        else:
-            score = self.x[possible] @ w
-        best = np.lexsort((self.ids[possible], -score))[:k]
-        return self.ids[possible][best], score[best]
+        """The same for one query."""
+        return self.search_all(w[None, :], k)[0]
 
 
 def _search(k: int):
@@ -103,6 +103,8 @@ def _search(k: int):
             cut = np.flatnonzero(key[1:] != key[:-1]) + 1
             for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(key)]):
                 part = batch.slice(a, b - a)
+                if a == b:
+                    continue
                 if key[a] // 2 != block:
                     block, held, index = key[a] // 2, [], None
                 if key[a] % 2 == 0:
@@ -114,14 +116,13 @@ def _search(k: int):
                     width = max(x.shape[1] for _, x in held)
                     index = ImpactIndex(np.concatenate([i for i, _ in held]), np.concatenate([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for _, x in held]))
                     held = []
-                found: list[list] = [[], [], []]
-                for q, w in zip(part.column(2).to_pylist(), rows(part, index.x.shape[1])):
-                    ids, score = index.search(w[: index.x.shape[1]], k + 1)
-                    keep = np.flatnonzero(ids != q)[:k]
-                    found[0].append(np.full(len(keep), q, np.int64))
-                    found[1].append(ids[keep])
-                    found[2].append(score[keep])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], ["query_id", "vec_id", "score"])
+                for c in range(0, part.num_rows, ASIDE):
+                    some = part.slice(c, ASIDE)
+                    own = some.column(2).to_numpy()
+                    found = index.search_all(rows(some, index.x.shape[1])[:, : index.x.shape[1]], k + 1)
+                    keep = [np.flatnonzero(ids != q)[:k] for q, (ids, _) in zip(own, found)]
+                    columns = np.repeat(own, [len(x) for x in keep]), np.concatenate([ids[x] for x, (ids, _) in zip(keep, found)]), np.concatenate([s[x] for x, (_, s) in zip(keep, found)])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -137,18 +138,23 @@ def integer_vectors(df: DataFrame, scale: float = 64.0, key: str = "vec_id", vec
     return valid.select(F.col(key).cast("long").alias("vec_id"), x.alias("x")).groupBy("vec_id").agg(F.min("x").alias("x"))
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int = BLOCK) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best vectors by integer inner product, its own id left out.
 
     Both inputs have vec_id, x. Vectors of different lengths are compared over the shorter one's. Ties go to the smaller
-    vec_id. Every query meets every block; a task holds one block's index and a batch of queries at a time.
+    vec_id. Every query meets every block; a task is one block of ``block`` rows (CELLS components, if not given) and one
+    group of queries. Empty inputs give an empty result.
     """
-    spark = vectors.sparkSession
-    blocks = max(1, -(-vectors.count() // block))
-    own = vectors.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("long").alias("block"), F.lit(0).cast("long").alias("kind"), "vec_id", "x")
-    asked = queries.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.lit(1).cast("long").alias("kind"), "vec_id", "x")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), blocks)
-    dealt = own.unionByName(asked).repartition(parts, "block").sortWithinPartitions("block", "kind")
+    n, dims = vectors.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    blocks = max(1, -(-n // (block or max(1, CELLS // max(dims or 1, 1)))))
+    groups = max(1, -(-queries.count() // GROUP))
+    whole = lambda x: F.lit(x).cast("long")
+    deal = lambda seed, many: F.pmod(F.xxhash64("vec_id", F.lit(seed)), whole(many))
+    every = lambda many: F.explode(F.sequence(whole(0), whole(many - 1)))
+    own = vectors.select(deal(1, blocks).alias("b"), every(groups).alias("g"), whole(0).alias("kind"), "vec_id", "x")
+    asked = queries.select(every(blocks).alias("b"), deal(2, groups).alias("g"), whole(1).alias("kind"), "vec_id", "x")
+    tiles = own.unionByName(asked).select((F.col("b") * groups + F.col("g")).alias("tile"), "kind", "vec_id", "x")
+    dealt = tiles.repartitionById(blocks * groups, F.col("tile").cast("int")).sortWithinPartitions("tile", "kind")
     found = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
