@@ -13,8 +13,9 @@ earlier in the same one. The steps:
    so in a logarithmic number of steps; neighbours are checked byte by byte, and a collision sends the block to a plain
    sort. Runs of neighbours with a common extension, split by the hash of what precedes the anchor, are the equal windows.
    A group of more rows than a task should hold goes through the sort in chunks, of which only distinct contexts are kept.
-4. An anchor with very many different contexts (``HOT`` in one block, or ``LARGE`` in all) is not one group: its windows
-   themselves, all their bytes, are grouped with Spark's partial aggregation.
+4. An anchor with very many different contexts (``HOT`` in one block, or ``LARGE`` in all) is not one group: its contexts
+   are sorted where they are, some thousands at a time, and the windows that are first there, all their bytes, are
+   grouped with Spark's partial aggregation.
 5. The covered intervals are merged for each document and its bytes are cut out.
 """
 
@@ -357,8 +358,11 @@ def _shared(a: bytes, b: bytes) -> int:
     return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
-def repeated(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarray, contexts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which contexts hold windows that another context of the group has earlier, and the interval these cover."""
+def repeated(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarray, contexts: list[bytes], fresh: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which contexts hold windows that another context of the group has earlier, and the interval these cover.
+
+    All other windows go to ``fresh``: pairs of a reach before the anchor and the contexts whose window it is.
+    """
     s = Suffixes(group, left, contexts)
     order, shared = s.checked()
     rank = np.empty(len(doc), np.int64)
@@ -373,6 +377,8 @@ def repeated(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarr
         run = np.cumsum(shared < need)[to]
         i = by_place[(s.left[by_place] >= before) & (s.right[by_place] >= need)]
         if len(i) < 2:
+            if fresh is not None:
+                fresh.append((before, i))
             continue
         key = s.hashes.of(s.anchor[i] - before, before) * U(INVERSE) + mixed(run[rank[i]].astype(U) + U(1))
         o = np.argsort(key, kind="stable")  # equal windows side by side, the earliest first
@@ -381,8 +387,12 @@ def repeated(group: np.ndarray, doc: np.ndarray, pos: np.ndarray, left: np.ndarr
         mine = i[o]
         hit = same & ((doc[mine] != doc[first]) | (pos[mine] != pos[first]))
         mine, first = mine[hit], first[hit]
-        fresh = low[mine] > before
-        low[mine[fresh]], seen_low[mine[fresh]] = before, first[fresh]
+        if fresh is not None:  # no window is left out for a hash alone
+            sure = (group[mine] == group[first]) & same_bytes(s.data, s.anchor[mine] - before, s.anchor[first] - before, np.full(len(mine), LENGTH))
+            mine, first = mine[sure], first[sure]
+            fresh.append((before, np.setdiff1d(i, mine)))
+        new = low[mine] > before
+        low[mine[new]], seen_low[mine[new]] = before, first[new]
         high[mine], seen_high[mine] = before, first
     found = np.flatnonzero(high >= 0)
     for i in found.tolist():
@@ -447,18 +457,24 @@ def _sort_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield covers(held)
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every window around the anchors of hot contexts: its bytes and where it starts."""
+def _sort_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by h within their partition: the covers of each CHUNK of rows (w null), and each window that is the first one there.
+
+    Columns w (the window's bytes), doc, twin, a, b.
+    """
     for batch in batches:
-        data, off = flat_bytes(batch.column(5))
-        doc, twin, pos, left = (batch.column(k).to_numpy() for k in (1, 2, 3, 4))
-        for k in range(0, batch.num_rows, 500):
-            n = np.maximum(np.diff(off[k : k + 501]) - LENGTH + 1, 0)
-            r = np.repeat(np.arange(k, k + len(n)), n)
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            flat = np.ascontiguousarray(data[(off[r] + step)[:, None] + np.arange(LENGTH)])
-            own = pa.Array.from_buffers(pa.binary(LENGTH), len(r), [None, pa.py_buffer(flat)]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([own, *(pa.array(x) for x in (doc[r], twin[r], (pos - left)[r] + step))], ["w", "doc", "twin", "start"])
+        for k in range(0, batch.num_rows, CHUNK):
+            part = batch.slice(k, CHUNK)
+            h, doc, twin, pos, left = (part.column(c).to_numpy() for c in range(5))
+            fresh: list[tuple[int, np.ndarray]] = []
+            found, a, b = repeated(np.cumsum(np.concatenate(([0], h[1:] != h[:-1]))), doc, pos, left, part.column(5).to_pylist(), fresh)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.binary()), *(pa.array(x) for x in (doc[found], twin[found], a, b))], ["w", "doc", "twin", "a", "b"])
+            data, off = flat_bytes(part.column(5))
+            for before, i in fresh:
+                flat = np.ascontiguousarray(data[(off[i] + left[i] - before)[:, None] + np.arange(LENGTH)])
+                own = pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer((np.arange(len(i) + 1) * LENGTH).astype(np.int32)), pa.py_buffer(flat)])
+                start = pos[i] - before
+                yield pa.RecordBatch.from_arrays([own, *(pa.array(x) for x in (doc[i], twin[i], start, start + LENGTH))], ["w", "doc", "twin", "a", "b"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -518,10 +534,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     sorted_covers = materialise(fetched(~F.col("hot")).repartition(parts, "h").sortWithinPartitions("h").mapInArrow(_sort_contexts, spans), "sorted-covers")
     covers = met.where("hot is null").select("doc", "twin", "a", "b").unionByName(sorted_covers)
     if met.where("hot").limit(1).count():
-        windows = materialise(fetched(F.col("hot")).mapInArrow(_windows, "w binary, doc long, twin long, start long").distinct(), "windows")
-        earliest = windows.groupBy("w").agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        later = windows.join(earliest, "w").where(F.struct("doc", "start") > F.col("first"))
-        covers = covers.unionByName(later.select("doc", "twin", F.col("start").alias("a"), (F.col("start") + LENGTH).alias("b")))
+        found = materialise(fetched(F.col("hot")).sortWithinPartitions("h").mapInArrow(_sort_hot, "w binary, doc long, twin long, a long, b long"), "windows")
+        windows = found.where("w is not null").distinct()
+        earliest = windows.groupBy("w").agg(F.min(F.struct("doc", "a")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        later = windows.join(earliest, "w").where(F.struct("doc", "a") > F.col("first"))
+        covers = covers.unionByName(found.where("w is null").select("doc", "twin", "a", "b")).unionByName(later.select("doc", "twin", "a", "b"))
     per_doc = covers.groupBy("doc", "twin").agg(F.collect_list(F.struct("a", "b")).alias("covers"))
     joined = keyed.join(per_doc, ["doc", "twin"], "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "covers")
     return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
