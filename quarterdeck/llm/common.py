@@ -49,6 +49,18 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names like these that ``df`` doesn't have, whatever it has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        k = 0
+        while (own := f"_{name}_{k}") in taken:
+            k += 1
+        out.append(own)
+    return out
+
+
 def words(text) -> Column:
     """The number of words of a text; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import materialise, read_table
+from quarterdeck.llm.common import broadcast_if_small, fresh_names, materialise, read_table
 
 CHUNK = 2_048
 
@@ -198,13 +198,18 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with one row of each component of ``found`` (doc_id, component_id), as ``keep_one`` says."""
+    id_, place, spread = fresh_names(docs, "kept", "place", "spread")
     found = materialise(found.where("doc_id is not null"), "components")
-    kept = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_kept")).agg(F.count(F.lit(1)).alias("_rows"))
-    kept = materialise(kept, "kept")
-    # Merged at every size: the list grows with the corpus, so that a plan with it broadcast says nothing of a larger one.
-    alone = docs.join(kept.where("_rows = 1").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
-    if kept.where("_rows > 1").limit(1).count():
-        first = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last(), *[F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "long", "integer") and f.name not in ("doc_id", "text")])
-        several = docs.join(kept.where("_rows > 1").hint("merge"), docs["doc_id"] == F.col("_kept"), "left_semi")
-        alone = alone.unionByName(several.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place"))
-    return alone.unionByName(docs.where("doc_id is null"))
+    kept = materialise(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(id_)).agg(F.count(F.lit(1)).alias("rows")), "kept")
+    once, often = (broadcast_if_small(kept.where(c).select(id_)) for c in ("rows = 1", "rows > 1"))
+    same = F.col("doc_id") == F.col(id_)
+    out = docs.join(once, same, "left_semi")
+    if kept.where("rows > 1").limit(1).count():
+        plain = [F.col(f"`{f.name}`") for f in docs.schema if f.dataType.typeName() in ("string", "long", "integer") and f.name not in ("doc_id", "text")]
+        first = [F.col("text").asc_nulls_last(), *plain]
+        # The least row of each part of a repeated id's rows, then of all: no task has all rows of an id.
+        several = docs.join(often, same, "left_semi").withColumn(spread, F.pmod(F.xxhash64("text"), F.lit(64)))
+        for keys in (["doc_id", spread], ["doc_id"]):
+            several = several.withColumn(place, F.row_number().over(Window.partitionBy(*keys).orderBy(*first))).where(F.col(place) == 1)
+        out = out.unionByName(several.drop(place, spread))
+    return out.unionByName(docs.where("doc_id is null"))
