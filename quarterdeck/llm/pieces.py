@@ -78,6 +78,19 @@ class DoubleArray:
         self.base, self.check, self.value = np.concatenate([base, pad * 0]), np.concatenate([check, pad]), np.concatenate([value, pad])
 
 
+def log_scores(given: np.ndarray, plain: list[int]) -> np.ndarray:
+    """Log scores of the plain pieces, 0 for the others: the given ones where they are log probabilities.
+
+    A merge-based vocabulary gives ranks, all of them whole numbers; these take Zipf's law.
+    """
+    own = given[plain]
+    if len(own) and (own == np.round(own)).all():
+        return zipf_scores(given, plain)
+    out = np.zeros(len(given))
+    out[plain] = own
+    return out
+
+
 def zipf_scores(given: np.ndarray, plain: list[int]) -> np.ndarray:
     """Log probabilities of the plain pieces by rank, equal scores by number; 0 for the others."""
     rank = np.empty(len(plain))
@@ -99,9 +112,10 @@ class PieceModel:
 
     @classmethod
     def load(cls, path: str = MODEL) -> PieceModel:
-        """From a model file. A piece's log score follows Zipf's law: its probability falls as one over its rank in the file's scores.
+        """From a model file, with the log probabilities of a unigram model.
 
-        Files of merge-based vocabularies score a piece by its rank, which is no logarithm; the order is the same.
+        Files of merge-based vocabularies score a piece by its rank, which is no logarithm; there its log score follows
+        Zipf's law: its probability falls as one over its rank, in the same order.
         """
         import sentencepiece
 
@@ -109,7 +123,7 @@ class PieceModel:
         ids = range(sp.get_piece_size())
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         texts = [sp.id_to_piece(i).encode() for i in ids]
-        scores = zipf_scores(np.array([sp.get_score(i) for i in ids]), plain)
+        scores = log_scores(np.array([sp.get_score(i) for i in ids]), plain)
         words = {texts[i]: i for i in plain}
         byte_ids = np.array([sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)])
         for b, i in enumerate(byte_ids):
