@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import among_least, read_table
 
-#: Pages sampled for training, characters of each, and pages put together from them.
-SAMPLE_PAGES, SAMPLE_CHARS, MADE_PAGES = 300, 30_000, 900
+#: Pages sampled for training, paragraphs drawn from each whole page and words of one, and pages put together from them.
+SAMPLE_PAGES, SAMPLE_PARAGRAPHS, PARAGRAPH_WORDS, MADE_PAGES = 300, 30, 400, 900
 #: Paragraphs for training where the sample has no text block at all.
 SEEDS = ("The committee met on Monday to hear what had been found, and it will say more in spring.", "A short note on method.", "Rain fell on the hills for three days before the river rose, and nobody who lived there was surprised by it.")
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.3
@@ -271,15 +272,32 @@ def kept_text(page: Page, keep: list[bool]) -> str:
     return SPACE.sub(" ", "".join(parts)).strip()
 
 
-def made_pages(pages: list[str], seed: int = 3) -> list[str]:
-    """Training pages: paragraphs of the sample as main text, boilerplate parts around and within, labels in data-y."""
+def paragraphs(html: str) -> tuple[bool, list[str]]:
+    """Whether the page has an article or main element, and paragraphs drawn from all of it, or else from all of the page.
+
+    At most SAMPLE_PARAGRAPHS, drawn by the page's own text; of a paragraph a run of PARAGRAPH_WORDS words.
+    """
+    page = parse(html)
+    inside = [t == TAG_NO["article"] for t in page.tag]
+    for i in range(1, len(inside)):
+        inside[i] = inside[i] or inside[page.parent[i]]
+    marked = any(inside)
+    own: dict[int, list[str]] = {}
+    for node, text, _, _ in page.runs:
+        if inside[node] or not marked:
+            own.setdefault(node, []).append(text)
+    found = [w for parts in own.values() if (w := " ".join(parts).split())]
+    rng = np.random.default_rng(zlib.crc32(html.encode("utf-8", "replace")))
+    out = []
+    for k in np.sort(rng.permutation(len(found))[:SAMPLE_PARAGRAPHS]).tolist():
+        at = int(rng.integers(max(1, len(found[k]) - PARAGRAPH_WORDS + 1)))
+        out.append(" ".join(found[k][at : at + PARAGRAPH_WORDS]).replace("&", "&amp;"))
+    return marked, out
+
+
+def made_pages(bare: list[str], seed: int = 3) -> list[str]:
+    """Training pages: these paragraphs as main text, boilerplate parts around and within, labels in data-y."""
     rng = np.random.default_rng(seed)
-    inside = [m[1] for p in pages if (m := re.search(r"<(?:article|main)\b[^>]*>(.*?)</(?:article|main)>", p, re.S | re.I))]
-    blocks = [b for t in inside for b in re.findall(r"<(?:p|h[1-6]|li)\b[^>]*>.*?(?=<(?:p|h[1-6]|li)\b|</(?:p|h[1-6]|li)>|$)", t, re.S | re.I)]
-    bare = [s for b in blocks if (s := re.sub(r"<[^>]*(?:>|$)", " ", b).strip())]
-    if not bare:  # no article that ends: any blocks of the sample, those that hold other blocks left out
-        loose = [t for p in pages for t in re.findall(r"<(?:p|h[1-6]|li|div|section|td|blockquote)\b[^>]*>((?:[^<]|</?(?:a|b|i|em|strong|span|br)\b[^>]*>)+)", p, re.I)]
-        bare = [s for t in loose if (s := re.sub(r"<[^>]*(?:>|$)", " ", t).strip())] or list(SEEDS)
     pick = lambda options: options[int(rng.integers(len(options)))]
     words = lambda n: " ".join(pick(bare).split()[:n]).replace("<", "&lt;")
 
@@ -322,19 +340,31 @@ def made_pages(pages: list[str], seed: int = 3) -> list[str]:
 
 def train(pages: list[str]) -> Trees:
     """Trees for pages like these; for any pages, as the labels and boilerplate are made."""
-    made = [parse(p) for p in made_pages(pages)]
+    return fit([paragraphs(p) for p in pages])
+
+
+def fit(sample: list[tuple[bool, list[str]]]) -> Trees:
+    """Trees from each page's paragraphs: those of articles, else all, else seeds."""
+    bare = [t for marked, own in sample if marked for t in own] or [t for _, own in sample for t in own] or list(SEEDS)
+    made = [parse(p) for p in made_pages(bare)]
     x = np.concatenate([features(p) for p in made])
     y = np.concatenate([[1 if i == 0 or p.tag[i] == TAG_NO["body"] or l == 1 else 0 for i, l in enumerate(p.label)] for p in made])
     return boost(x, y.astype(float))
 
 
-def training_sample(pages: DataFrame) -> list[str]:
-    """The pages of smallest hashed text, each cut to a bounded length; only hashes are compared, and equal pages count once."""
+def training_sample(pages: DataFrame) -> list[tuple[bool, list[str]]]:
+    """The paragraphs of the pages of smallest hashed text, drawn in tasks from whole pages; equal pages count once."""
     hashed = pages.where("html is not null").withColumn("_h", F.xxhash64("html"))
     few = hashed.select("_h").where(among_least(F.col("_h"), SAMPLE_PAGES, pages.count()))
     least = F.broadcast(few.distinct().orderBy("_h").limit(SAMPLE_PAGES))
-    rows = hashed.join(least, "_h").select("_h", F.substring("html", 1, SAMPLE_CHARS).alias("html")).dropDuplicates(["_h"]).orderBy("_h").collect()
-    return [r["html"] for r in rows]
+    rows = hashed.join(least, "_h").select("_h", "html").dropDuplicates(["_h"])
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [paragraphs(t.as_py()) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([m for m, _ in own], pa.bool_()), pa.array([t for _, t in own], pa.list_(pa.string()))], ["h", "marked", "own"])
+
+    return [(r["marked"], r["own"]) for r in rows.mapInArrow(draw, "h long, marked boolean, own array<string>").orderBy("h").collect()]
 
 
 def extract(pages: DataFrame, model: Trees, key: str = "page_id", html: str = "html") -> DataFrame:
@@ -362,7 +392,7 @@ def extract(pages: DataFrame, model: Trees, key: str = "page_id", html: str = "h
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = read_table(spark, sf_dir, "pages", "page_id", "url", "html")
-    return extract(pages, train(training_sample(pages)))
+    return extract(pages, fit(training_sample(pages)))
 
 
 #: The pages of these tables hold their text in one article each, so that SQL can cut it out.

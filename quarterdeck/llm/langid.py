@@ -7,6 +7,7 @@ text is then classified, in batches, and a text takes the mean of its windows' l
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -70,18 +71,27 @@ class ByteCNN:
         return out
 
 
-def train(texts: list[str], langs: list[str], epochs: int = 8, seed: int = 5, rate: float = 0.01) -> ByteCNN:
-    """Fit the network on windows of the texts by Adam on the cross entropy."""
+def drawn_windows(text: str) -> np.ndarray:
+    """At most SAMPLE_WINDOWS windows, drawn from the whole text by its own bytes, some of them cut short."""
+    data = text.encode("utf-8", "replace")
+    rng = np.random.default_rng(zlib.crc32(data))
+    w = windows_of(data)
+    w = w[np.sort(rng.permutation(len(w))[:SAMPLE_WINDOWS])].copy()
+    for r in np.flatnonzero(rng.random(len(w)) < SHORT):
+        w[r, int(rng.integers(4, WINDOW)) :] = 0
+    return w
+
+
+def train(texts: list[str], langs: list[str], **settings) -> ByteCNN:
+    """Fit the network on windows drawn from the texts."""
+    return fit([drawn_windows(t) for t in texts], langs, **settings)
+
+
+def fit(xs: list[np.ndarray], langs: list[str], epochs: int = 8, seed: int = 5, rate: float = 0.01) -> ByteCNN:
+    """Fit the network on each text's windows by Adam on the cross entropy."""
     rng = np.random.default_rng(seed)
     names = sorted(set(langs))
-    xs, ys = [], []
-    for text, lang in zip(texts, langs):
-        w = windows_of(text.encode("utf-8", "replace"))
-        w = w[np.sort(rng.permutation(len(w))[:SAMPLE_WINDOWS])].copy()
-        for r in np.flatnonzero(rng.random(len(w)) < SHORT):
-            w[r, int(rng.integers(4, WINDOW)) :] = 0
-        xs.append(w)
-        ys += [names.index(lang)] * len(w)
+    ys = [names.index(lang) for w, lang in zip(xs, langs) for _ in range(len(w))]
     x, y = np.concatenate(xs), np.array(ys)
     widest, many = max(WIDTHS), FILTERS * len(WIDTHS)
     mask = np.concatenate([np.repeat((np.arange(widest) < w).astype(np.float32), EMBED)[:, None].repeat(FILTERS, 1) for w in WIDTHS], 1)
@@ -120,18 +130,26 @@ def train(texts: list[str], langs: list[str], epochs: int = 8, seed: int = 5, ra
     return net
 
 
-def training_sample(docs: DataFrame, per_lang: int = SAMPLE_TEXTS) -> tuple[list[str], list[str]]:
-    """At most ``per_lang`` texts of each language, in order of a hash of the id, from rows that may be learned from.
+def training_sample(docs: DataFrame, per_lang: int = SAMPLE_TEXTS) -> tuple[list[np.ndarray], list[str]]:
+    """Windows of at most ``per_lang`` texts of each language, in order of a hash of the id, from rows that may be learned from.
 
     Only ids whose hash is low enough for a few times that number are ranked, so that no task ranks a whole language.
+    Tasks draw the windows, from whole texts; the driver gets SAMPLE_WINDOWS of each.
     """
     order = Window.partitionBy("lang").orderBy("_h", "doc_id")
     may = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & learnable(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64("doc_id").alias("_h"))
     counts = materialise(may.groupBy("lang").count(), "languages")
     rows = may.join(broadcast_if_small(counts), "lang").where(among_least(F.col("_h"), per_lang, F.col("count"))).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_lang).select("doc_id", "lang", "_n")
-    most = F.substring("text", 1, 8 * SAMPLE_WINDOWS * WINDOW)  # what of a text a sample can use, a few times over
-    found = docs.select("doc_id", "lang", most.alias("text")).join(F.broadcast(rows), ["doc_id", "lang"]).orderBy("lang", "_n", "text").collect()
-    return [r["text"] for r in found], [r["lang"] for r in found]
+    chosen = materialise(rows, "chosen")
+    found = docs.where(F.col("text").rlike(r"\p{L}")).select("doc_id", "lang", "text").join(broadcast_if_small(chosen), ["doc_id", "lang"]).select("lang", "_n", "text")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [drawn_windows(t.as_py()).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(own, pa.binary())], ["lang", "n", "windows"])
+
+    got = found.mapInArrow(draw, "lang string, n int, windows binary").orderBy("lang", "n", "windows").collect()
+    return [np.frombuffer(r["windows"], np.uint8).reshape(-1, WINDOW) for r in got], [r["lang"] for r in got]
 
 
 def identify(docs: DataFrame, net: ByteCNN) -> DataFrame:
@@ -179,8 +197,8 @@ def identify(docs: DataFrame, net: ByteCNN) -> DataFrame:
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; learned from labelled rows that are not held out."""
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
-    texts, langs = training_sample(docs)
-    if not texts:
+    windows, langs = training_sample(docs)
+    if not windows:
         return docs.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
-    found = identify(docs, train(texts, langs))
+    found = identify(docs, fit(windows, langs))
     return found.select("doc_id", (~learnable(F.col("doc_id"))).alias("held_out"), "lang_pred", "score")

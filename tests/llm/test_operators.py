@@ -184,6 +184,14 @@ def test_pieces_are_the_best(model):
         assert (model._alone(word.encode()) == ids).all()
 
 
+def test_scores_of_a_file():
+    """Log probabilities stay as they are; ranks become logarithms."""
+    given = np.array([0.0, -1.5, -2.25, -9.0])
+    assert pieces.log_scores(given, [1, 2, 3]).tolist() == [0, -1.5, -2.25, -9.0]
+    ranks = pieces.log_scores(np.array([0.0, -0.0, -1.0, -2.0]), [1, 2, 3])
+    assert np.exp(ranks[1:]).sum() == pytest.approx(1) and ranks[1] - ranks[3] == pytest.approx(np.log(3))
+
+
 def test_round_trip_and_odd_rows(spark, model):
     df = docs(spark, ODD, extra=True)
     out = pieces.encode(df, model)
@@ -238,6 +246,58 @@ def test_toxicity(spark):
     assert toxicity.noisy_or([0.5, 0.5]) == pytest.approx(0.75) and toxicity.noisy_or([]) == 0
 
 
+def test_toxicity_gradient_and_score():
+    """The gradient against differences of the loss, and the loss against the scores that the model gives the texts."""
+    rng = random.Random(5)
+    words = ["vile", "vilest", "awful", "tree", "stone", "rain"]
+    texts = [". ".join(" ".join(rng.choice(words) for _ in range(3)) for _ in range(rng.randint(0, 4))) for _ in range(12)]
+    y = np.array([k % 3 == 0 for k in range(12)], float)
+    kept = ["vile", "vile*", "vilest", "awful"]
+    bags = [toxicity.sentence_features(t, {f: k for k, f in enumerate(kept)}) for t in texts]
+    alike = [(d, m, n) for d, b in enumerate(bags) for m, n in b.items() if m]
+    lists = (
+        np.log1p([sum(b.values()) for b in bags]), np.array([d for d, _, _ in alike]), np.array([n for _, _, n in alike], float),
+        np.repeat(np.arange(len(alike)), [len(m) for _, m, _ in alike]), np.array([c for _, m, _ in alike for c in m]),
+    )
+    at, cost = np.array([0.7, 0.4, -0.3, 1.1, -1.5, -2.0, 0.3]), np.full(12, 1 / 12)
+    loss = lambda p: toxicity.loss_and_gradient(p, lists, y, cost, 0.01)[0]
+    step = np.eye(7) * 1e-6
+    assert np.allclose([(loss(at + s) - loss(at - s)) / 2e-6 for s in step], toxicity.loss_and_gradient(at, lists, y, cost, 0.01)[1], atol=1e-6)
+    model = toxicity.SentenceModel(dict(zip(kept, at[:4].tolist())), at[4], (at[5], at[6]))
+    scores = np.array([model.document_score(model.sentence_scores(t)) for t in texts])
+    assert loss(at) == pytest.approx((-(y * np.log(scores) + (1 - y) * np.log(1 - scores))).mean() + 0.005 * (at[:4] ** 2).sum())
+
+
+def test_held_out_rows_teach_nothing(spark, tmp_path):
+    """Whole queries: other labels and languages of held-out rows change no prediction."""
+    rng = random.Random(6)
+    letters = {"x": "abcdef", "y": "uvwxyz"}
+    make = lambda lang, n: " ".join("".join(rng.choice(letters[lang]) for _ in range(rng.randint(3, 7))) for _ in range(n))
+    rows = []
+    for k in range(160):
+        lang, bad = "xy"[k % 2], k % 5 == 0
+        rows.append((k, f"{make(lang, 20)}. {'vile scum. ' if bad else ''}{make(lang, 8)}", lang, int(bad)))
+    import zlib
+
+    held = {k for k, *_ in rows if zlib.crc32(str(k).encode()) % 4 == 2}
+    got = []
+    for turn in (False, True):
+        folder = tmp_path / f"turned-{turn}"
+        mine = [(k, t, "q" if turn and k in held else l, 1 - y if turn and k in held else y) for k, t, l, y in rows]
+        spark.createDataFrame([(k, t, l, "s", len(t)) for k, t, l, _ in mine], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([(k, 1, y) for k, _, _, y in mine], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        got.append([sorted(q(spark, str(folder)).select("doc_id", "held_out", pred, "score").collect()) for q, pred in ((langid.op3_language_id, "lang_pred"), (toxicity.op5_toxicity, "predicted"))])
+    assert got[0] == got[1]
+    assert {r.doc_id for r in got[0][0] if r.held_out} == held
+    assert all(r.lang_pred == "xy"[r.doc_id % 2] for r in got[0][0] if r.held_out) and all(r.predicted == (r.doc_id % 5 == 0) for r in got[0][1] if r.held_out)
+
+
+def test_language_windows_come_from_whole_texts():
+    text = "a" * 100_000 + "b" * 100_000
+    w = langid.drawn_windows(text)
+    assert w.shape == (langid.SAMPLE_WINDOWS, langid.WINDOW) and {ord("a"), ord("b")} <= set(w[:, 0].tolist()) and (langid.drawn_windows(text) == w).all()
+
+
 def test_toxicity_learns_from_whole_texts(spark):
     """What offends late in long texts is learned as well, and as from the same texts in memory."""
     rng = random.Random(4)
@@ -318,6 +378,41 @@ def test_masking(spark):
     assert got[4].text != pii.mask(df, "other key").where("doc_id = 4").first().text
 
 
+def mod97(s):
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def test_account_numbers(spark):
+    """Of every class of characters; within words; lower case; wrong ones stay. The pseudonyms are valid and linked."""
+    given = ["SC18SSCB11010000000000001497USD", "MT84MALT011000012345MTLCAST001S", "GB82WEST12345698765432", "DE89370400440532013000", "NO9386011117947", "LC55HEMM000100010012001200023015"]
+    rows = [(k, f"pay {i} or {i.lower()} now") for k, i in enumerate(given)]
+    rows += [(50, "pay DE89 3704 0044 0532 0130 00 THEN rest, ES91 2100 0418 4502 0005 1332 THEN"), (51, "DE89370400440532013001 de8937040044053201300 ab12cdefghijklmnop")]
+    got = {r.doc_id: r for r in pii.mask(docs(spark, rows), "k").collect()}
+    for k, i in enumerate(given):
+        assert mod97(i) == 1
+        new, low = re.fullmatch(r"pay (\w+) or (\w+) now", got[k].text).groups()
+        assert low == new.lower() and new != i and new[:2] == i[:2] and mod97(new) == 1 and re.sub("[A-Z]", "a", re.sub("[0-9]", "0", new)) == re.sub("[A-Z]", "a", re.sub("[0-9]", "0", i))
+    one, two = re.fullmatch(r"pay (.*) THEN rest, (.*) THEN", got[50].text).groups()
+    assert one.replace(" ", "") == re.search(r"DE\w+", got[3].text)[0] and re.sub("[0-9]", "0", two) == "ES00 0000 0000 0000 0000 0000" and mod97(two.replace(" ", "")) == 1
+    assert got[51].text == dict(rows)[51] and got[51]._pii_kinds == []
+
+
+def test_masking_of_very_long_texts(spark):
+    """A million characters of each pattern's alphabet: linear time and no deep stack."""
+    bad = ["x@" + "a." * 500_000 + "1 9", "a" * 1_000_000 + "@", "@a." * 300_000, "1" * 1_000_000, "ab12" * 250_000, "AB12 " * 200_000, "1.2." * 250_000, "2020-01-" * 100_000, "+1 22 " * 150_000, "123-45-" * 140_000, "0f" * 500_000]
+    rows = [(k, t) for k, t in enumerate(bad)] + [(99, "m" * 400_000 + "@site.example.com")]
+    got = {r.doc_id: r.text for r in pii.mask(docs(spark, rows), "k").collect()}
+    assert all(got[k] == t for k, t in rows if k < 99) and got[99].endswith("@pseudonym.invalid")
+
+
+def test_masking_needs_a_key_and_keeps_clashing_columns(spark):
+    with pytest.raises(ValueError):
+        pii.secret_key(spark)
+    df = docs(spark, [(1, "a.b@c.example.com")]).withColumns({c: F.lit(7) for c in ("_pii_hit", "_hit_0", "_gaps_0")})
+    row = pii.mask(df, "k").first()
+    assert row["_pii_hit"] == row["_hit_0"] == row["_gaps_0"] == 7 and row["_pii_kinds"] == ["email"]
+
+
 def test_feistel_is_a_permutation(spark):
     a, b = F.lit(17).cast("long"), F.lit(43).cast("long")
     got = [r[0] for r in spark.range(17 * 43).select(pii.feistel("k", "t", F.col("id"), a, b)).collect()]
@@ -365,6 +460,28 @@ def test_mixing(spark, leaf, monkeypatch):
     assert mixing.mix(df.limit(0), F.col("n")).count() == 0 and mixing.mix(df.where("n = 0"), F.col("n")).where("_mix_copies > 0").count() == 0
 
 
+def test_mixing_of_null_ids_and_rows_alike(spark):
+    """Half of the ids null and a third of all rows alike: bounded groups, every row counted, columns as they were."""
+    rows = [(None if k % 2 else k, f"w{k} " * (k % 7 + 1), "a" if k % 3 else "b", 1) for k in range(3_000)] + [(None, "same words here", "a", 1)] * 1_500
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _mix_size int").withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    words = lambda t: len(t.split())
+    sizes = Counter()
+    for _, t, s, _ in rows:
+        sizes[s] += words(t)
+    want = brute_targets(sizes)
+    out = mixing.take(df)
+    assert out.columns == df.columns
+    got, taken, n = out.collect(), Counter(), Counter()
+    for r in got:
+        taken[r.source] += words(r.text)
+        n[(r.doc_id, r.text, r.source)] += 1
+    assert all(abs(taken[s] - want[s]) <= 10 for s in want) and all(r["_mix_size"] == 1 for r in got)
+    most = Counter((d, t, s) for d, t, s, _ in rows)
+    assert all(c <= 2 * most[k] for k, c in n.items())
+    alike = mixing.mix(df.drop("m"), F.size(F.split("text", " "))).where("text = 'same words here'")
+    assert alike.count() == 1_500 and alike.agg(F.max("_mix_copies") - F.min("_mix_copies")).first()[0] <= 1
+
+
 def test_pivot_keeps_words_and_is_fair():
     size, p = np.array([3.0, 5, 2, 9, 4]), np.array([0.2, 0.5, 0.7, 0.3, 0.9])
     total = np.zeros(5)
@@ -451,6 +568,12 @@ def test_near_duplicates_of_odd_rows(spark):
     assert simhash.near_duplicates(docs(spark, [])).count() == 0 and simhash.keep_one(docs(spark, [])).count() == 0
 
 
+def test_kept_rows_of_clashing_names_and_repeated_ids(spark):
+    df = docs(spark, [(1, "b"), (1, "a"), (1, "a"), (2, None), (2, ""), (None, "x"), (None, "x")]).withColumns({c: F.lit(3) for c in ("_kept", "_place", "_rows", "_kept_0", "component_id")})
+    out = simhash.keep_first(df, spark.createDataFrame([(1, 1)] * 3 + [(2, 2)] * 2, "doc_id long, component_id long"))
+    assert out.columns == df.columns and Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(1, "a"), (2, ""), (None, "x"), (None, "x")])
+
+
 @pytest.mark.parametrize("chunk", [300, 400_000])
 def test_pipeline_drops_near_copies(spark, chunk, monkeypatch):
     import corpus_pipeline
