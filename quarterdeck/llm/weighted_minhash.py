@@ -17,8 +17,8 @@ from quarterdeck.llm.common import broadcast_if_small, materialise, read_table
 
 #: Words of a shingle; samples of a fingerprint.
 WIDTH, SAMPLES = 5, 64
-#: Rows of a bucket of neighbouring ids, as far as no more than MOST_BUCKETS arise.
-BUCKET_ROWS, MOST_BUCKETS = 128, 100_000
+#: Rows of a bucket of neighbouring ids, on average; ranges of ids that hold as many rows each, cut into buckets.
+BUCKET_ROWS, RANGES, STRIDE = 128, 1024, 1 << 32
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -48,35 +48,62 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / both).cast("double")
 
 
-def neighbours(docs: DataFrame) -> tuple[DataFrame, list[str]]:
-    """Rows dealt to buckets of neighbouring doc_ids, with ``guest`` rows: each bucket's last row is followed by the next one's first.
+def dealt_to_buckets(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with ``range``, ``bucket`` and ``h``: buckets rise with doc_id, and within one id fall with h, a hash of the text.
 
-    Ids are cut into ranges of equal width, at most MOST_BUCKETS; their first ids make a table of that size at most.
+    Ranges hold as many rows each, by quantiles, whatever the ids are; a range is cut into buckets of equal width. The rows
+    of an id that fills ranges alone, and those without an id, are dealt by h.
     """
-    n, lo, hi = docs.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
-    buckets = max(1, min(MOST_BUCKETS, math.ceil(n / BUCKET_ROWS)))
-    width = max(1.0, ((hi or 0) - (lo or 0) + 1) / buckets)
-    bucket = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(lo or 0)) / width), F.lit(-1)).cast("long")
-    dealt = docs.withColumn("bucket", bucket)
-    heads = materialise(dealt.groupBy("bucket").agg(F.max("doc_id").alias("head")), "heads")
-    order = Window.orderBy("bucket")
-    above = F.lead("bucket").over(order)
-    to = heads.select("head", F.col("bucket").alias("from"), F.coalesce(above, F.min("bucket").over(Window.partitionBy())).alias("to"))
-    guests = dealt.join(broadcast_if_small(to, MOST_BUCKETS + 1), (dealt.bucket == to["from"]) & dealt.doc_id.eqNullSafe(to["head"]))
-    own = dealt.select("bucket", F.lit(0).alias("guest"), "doc_id", "text")
-    return own.unionByName(guests.select(F.col("to").alias("bucket"), F.lit(1).alias("guest"), "doc_id", "text")), ["bucket", "place"]
+    n, nulls, most = docs.agg(F.count(F.lit(1)), F.count_if(F.col("doc_id").isNull()), F.max("doc_id")).first()
+    ranges = max(1, min(RANGES, math.ceil((n - nulls) / BUCKET_ROWS)))
+    cuts = docs.agg(F.percentile_approx("doc_id", [k / ranges for k in range(ranges)], 10_000)).first()[0] or [0]
+    bounds = sorted(set(cuts))
+    parts = max(1, math.ceil((n - nulls) / ranges / BUCKET_ROWS))
+    heavy = [parts * m if (m := cuts.count(x)) > 1 else 0 for x in bounds]
+    widths = [float(y - x) for x, y in zip(bounds, [*bounds[1:], max(most or 0, bounds[-1]) + 1])]
+    array = lambda values, kind: F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
+    step = lambda at, add: F.when((at + add < len(bounds)) & (F.get(array(bounds, "bigint"), at + add) <= F.col("doc_id")), at + add).otherwise(at)
+    halves = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    found = F.when(F.col("doc_id").isNull(), -1).otherwise(F.aggregate(array(halves, "int"), F.lit(0), step))
+    own = docs.withColumns({"range": found, "h": F.xxhash64("text")})
+    far = F.col("doc_id") - F.get(array(bounds, "bigint"), F.col("range"))
+    alone = F.get(array(heavy, "bigint"), F.col("range"))
+    by_hash = lambda many: many - 1 - F.least(F.floor((F.col("h") / float(1 << 64) + 0.5) * many), many - 1)
+    place = F.least(F.floor(far / F.get(array(widths, "double"), F.col("range")) * parts), F.lit(parts - 1).cast("long"))
+    sub = F.when(F.col("doc_id").isNull(), by_hash(F.lit(max(1, math.ceil(nulls / BUCKET_ROWS))).cast("long"))).when((alone > 0) & (far == 0), by_hash(alone)).otherwise(alone + place)
+    return own.withColumn("bucket", F.col("range").cast("long") * STRIDE + sub.cast("long"))
+
+
+def neighbours(docs: DataFrame) -> DataFrame:
+    """Rows dealt to buckets, with ``guest`` rows: each bucket's last row is followed by the next lower one's first.
+
+    The first rows of buckets are joined to the bucket above: within its range, or by the first of each range, RANGES + 1
+    rows; the highest goes to the lowest bucket.
+    """
+    dealt = dealt_to_buckets(docs)
+    # bitwise not turns the order round without an overflow
+    head = F.min(F.struct(F.bitwise_not("doc_id").alias("id"), "h"))
+    heads = materialise(dealt.groupBy("range", "bucket").agg(head.alias("head")), "heads")
+    lows = heads.groupBy("range").agg(F.min("bucket").alias("low"))
+    firsts = lows.select("range", F.coalesce(F.lead("low").over(Window.orderBy("range")), F.min("low").over(Window.partitionBy())).alias("next_low"))
+    above = F.coalesce(F.lead("bucket").over(Window.partitionBy("range").orderBy("bucket")), F.col("next_low"))
+    to = heads.join(F.broadcast(firsts), "range").select(F.col("bucket").alias("from"), F.bitwise_not("head.id").alias("head_id"), F.col("head.h").alias("head_h"), above.alias("to"))
+    to = broadcast_if_small(materialise(to, "above"))
+    guests = dealt.join(to, (dealt.bucket == to["from"]) & dealt.doc_id.eqNullSafe(to["head_id"]) & (dealt.h == to["head_h"]))
+    own = dealt.select("bucket", F.lit(0).alias("guest"), "doc_id", "h", "text")
+    return own.unionByName(guests.select(F.col("to").alias("bucket"), F.lit(1).alias("guest"), "doc_id", "h", "text"))
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256 and the fingerprints of every text and of its edit with the next document's text.
 
-    The next document has the next smaller doc_id; rows of one doc_id follow each other by text, a null doc_id comes
-    last, and the first row follows the last. A null text counts as empty; an empty text has an empty fingerprint.
+    The next document has the next smaller doc_id; rows of one doc_id follow each other by a hash of the text, a null
+    doc_id comes last, and the first row follows the last. A null text counts as empty; an empty text has an empty fingerprint.
     Repeated rows each have their row. An empty table gives an empty result.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows, key = neighbours(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
-    order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
+    rows, key = neighbours(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))), ["bucket", "place"]
+    order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), "h", "text")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("following"), F.lit(1), half))

@@ -638,11 +638,36 @@ def test_search_stops_on_proof_only():
             assert ids.tolist() == order.tolist() and score.tolist() == exact[order].tolist()
 
 
+def following_order(spark, rows):
+    """By descending id, nulls last, and within one id by the hash of the text."""
+    h = {r.t: r.h for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), h[r[1] or ""]))
+
+
+@pytest.mark.parametrize("ids", ["outlier", "null and repeated", "clusters"])
+def test_neighbours_of_uneven_ids(spark, ids, monkeypatch):
+    """Buckets stay even, and every text has the next one's beginning."""
+    rng = random.Random(15)
+    make = {"outlier": lambda k: 10**15 if k == 7 else k, "null and repeated": lambda k: None if k % 3 == 0 else 5 if k % 3 == 1 else k, "clusters": lambda k: (k % 3) * 10**12 - 10**12 + k}
+    rows = [(make[ids](k), f"{k} " + "x" * rng.randint(0, 40)) for k in range(1_500)]
+    monkeypatch.setattr(weighted_minhash, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(weighted_minhash, "RANGES", 40)
+    df = docs(spark, rows)
+    sizes = [r["count"] for r in weighted_minhash.dealt_to_buckets(df).groupBy("bucket").count().collect()]
+    assert max(sizes) <= 60 and len(sizes) > 60
+    order = following_order(spark, rows)
+    want = Counter()
+    for k, (d, t) in enumerate(order):
+        h, following = len(t) // 2, order[(k + 1) % len(order)][1]
+        want[(d, hashlib.sha256((t[: len(t) - h] + following[:h]).encode()).hexdigest())] += 1
+    assert Counter((r.doc_id, r.edited_sha256) for r in weighted_minhash.edited_fingerprints(df).select("doc_id", "edited_sha256").collect()) == want
+
+
 def test_weighted_sampling(spark):
     rows = [*ODD[:4], (10, "a b c d e f g h i j k l " * 9), (11, "a b c d e f g h i j k l " * 9), (12, "z " * 40), (12, "z " * 40)]
     out = weighted_minhash.edited_fingerprints(docs(spark, rows))
     got = out.collect()
-    order = sorted(rows, key=lambda r: (-r[0], r[1] or ""))
+    order = following_order(spark, rows)
     want = Counter()
     for k, (d, t) in enumerate(order):
         t, following = t or "", order[(k + 1) % len(order)][1] or ""
