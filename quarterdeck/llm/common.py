@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +65,19 @@ def fresh_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of a text column, of one row at least, so that what is made of one at a time stays small."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 16)
+        at = 0
+        while at < batch.num_rows:
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def words(text) -> Column:
     """The number of words of a text; null counts as none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

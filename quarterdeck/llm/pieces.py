@@ -18,15 +18,15 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import read_table
+from quarterdeck.llm.common import read_table, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 CHUNK = regex.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: What an unknown character scores below the worst piece.
 UNKNOWN_PENALTY = 10.0
-#: Characters of a block of texts; chunks that a task remembers; chunk bytes up to which chunks are searched side by side.
-BLOCK_CHARS, REMEMBERED, WIDE = 1_000_000, 300_000, 128
+#: Bytes of a block of texts; chunks that a task remembers; chunk bytes up to which chunks are searched side by side.
+BLOCK_BYTES, REMEMBERED, WIDE = 500_000, 100_000, 128
 
 
 class DoubleArray:
@@ -277,17 +277,6 @@ class Encoder:
         return out
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    a, held = 0, 0
-    for k, t in enumerate(texts):
-        if held and held + len(t or "") > BLOCK_CHARS:
-            yield a, k
-            a, held = k, 0
-        held += len(t or "") + 1
-    if a < len(texts):
-        yield a, len(texts)
-
-
 def encode(docs: DataFrame, model: PieceModel, text: str = "text", digest_only: bool = False) -> DataFrame:
     """``docs`` with token_ids, n_tokens, n_byte_tokens, ids_sha256, decoded_sha256 and round_trip.
 
@@ -301,30 +290,29 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text", digest_only:
     added = added if digest_only else [("token_ids", pa.list_(pa.int32()), "array<int>"), *added]
     kept = [c for c in docs.columns if c not in {name for name, _, _ in added} and (c == "doc_id" or not digest_only)]
     read = docs.select(*[c for c in dict.fromkeys([*kept, text])])
+    at = read.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         encoder, is_byte = Encoder(model), np.zeros(len(model.texts), bool)
         is_byte[model.byte_ids] = True
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            texts = column.to_pylist()
-            for a, b in _blocks(texts):
-                ids = encoder.encode(texts[a:b])
-                decoded = [model.decode(x.tolist()) for x in ids]
-                values = {
-                    "n_tokens": [len(x) for x in ids], "n_byte_tokens": [int(is_byte[x].sum()) for x in ids],
-                    "ids_sha256": [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids],
-                    "decoded_sha256": [hashlib.sha256(d.encode()).hexdigest() for d in decoded],
-                    "round_trip": [d == (t or "") for d, t in zip(decoded, texts[a:b])],
-                }
-                if not digest_only:
-                    offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
-                    values["token_ids"] = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
-                part = batch.slice(a, b - a)
-                own = [part.column(batch.schema.get_field_index(c)) for c in kept]
-                new = [v if isinstance(v := values[name], pa.Array) else pa.array(v, kind) for name, kind, _ in added]
-                yield pa.RecordBatch.from_arrays([*own, *new], [*kept, *(name for name, _, _ in added)])
+        for part in slices(batches, at, BLOCK_BYTES):
+            texts = part.column(at).to_pylist()
+            ids = encoder.encode(texts)
+            values = {
+                "n_tokens": [len(x) for x in ids], "n_byte_tokens": [int(is_byte[x].sum()) for x in ids],
+                "ids_sha256": [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], "decoded_sha256": [], "round_trip": [],
+            }
+            for x, t in zip(ids, texts):
+                d = model.decode(x.tolist())
+                values["decoded_sha256"].append(hashlib.sha256(d.encode()).hexdigest())
+                values["round_trip"].append(d == (t or ""))
+            if not digest_only:
+                offsets = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+                values["token_ids"] = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids), pa.int32()))
+            own = [part.column(part.schema.get_field_index(c)) for c in kept]
+            new = [v if isinstance(v := values[name], pa.Array) else pa.array(v, kind) for name, kind, _ in added]
+            yield pa.RecordBatch.from_arrays([*own, *new], [*kept, *(name for name, _, _ in added)])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema if f.name in kept]
     return read.mapInArrow(run, ", ".join([*fields, *(f"{name} {sql}" for name, _, sql in added)]))

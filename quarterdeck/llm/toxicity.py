@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import among_least, learnable, materialise, read_table
+from quarterdeck.llm.common import among_least, learnable, materialise, read_table, slices
 
 #: The training sample: labelled rows of each class at most. Their texts are read whole.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1_500, 3_500
@@ -31,7 +31,7 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 THRESHOLD = 0.3
 SENTENCE, TOKEN = regex.compile(r"[.!?\n|]+"), regex.compile(r"\w+")
 #: Words whose features a task remembers.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 def features(word: str) -> list[str]:
@@ -172,7 +172,7 @@ def telling_features(rows: DataFrame, drawn: dict[int, int]) -> list[str]:
     """The features that ``train`` keeps, counted in tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 0):
             count = {0: Counter(), 1: Counter()}
             for t, y in zip(batch.column(0), batch.column(1).to_pylist()):
                 count[y].update(text_features(t.as_py()))
@@ -192,7 +192,7 @@ def bags_of(rows: DataFrame, kept: list[str]) -> tuple[list[Counter[tuple[int, .
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = shared.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             bags = [sentence_features(t.as_py(), number) for t in batch.column(1)]
             sets = pa.array([list(map(list, b)) for b in bags], pa.list_(pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), sets, pa.array([list(b.values()) for b in bags], pa.list_(pa.int64()))], ["doc_id", "toxic", "sets", "times"])
@@ -214,7 +214,7 @@ def score(docs: DataFrame, model: SentenceModel) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         words = WordFeatures(model.weights)
-        for batch in batches:
+        for batch in slices(batches, 1):
             out = []
             for t in batch.column(1):
                 found = model.sentence_scores(t.as_py() or "", words)
@@ -255,7 +255,7 @@ def drop_toxic(docs: DataFrame, model: SentenceModel, threshold: float = THRESHO
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         words = WordFeatures(model.weights)
-        for batch in batches:
+        for batch in slices(batches, at):
             clean = [model.document_score(model.sentence_scores(t.as_py() or "", words)) < threshold for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
