@@ -57,6 +57,12 @@ def balance(df: DataFrame, left: str, right: str) -> DataFrame:
     return df.where(~F.expr(left).eqNullSafe(F.expr(right)))
 
 
+def untouched(rows: DataFrame, filings: DataFrame) -> DataFrame:
+    """Rows of the lineages to which no filing of the walk belongs; counts pinned for the data sets alone are held against these."""
+    walked = filings.where("origin = 'walk'").select(*LINEAGE).distinct()
+    return rows.join(walked, list(LINEAGE), "left_anti")
+
+
 def pinned_counts(counts: DataFrame, expected: dict[str, int], key: str = "check_name", value: str = "filings") -> DataFrame:
     """Keys whose count is not the pinned one; absent keys count 0."""
     spark = counts.sparkSession

@@ -8,11 +8,22 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import columns as C
 
 
+#: Ranges of values that the search for a median counts first.
+RANGES = 256
+
+
 def table_counts(rows: DataFrame) -> DataFrame:
     """Rows of each data set and table; ``rows`` has both as columns."""
     return rows.groupBy("dataset", "table").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def totals(counts: DataFrame, submissions: DataFrame, covers: DataFrame) -> DataFrame:
+    """what, value, n over all data sets: rows by table (from ``table_counts``), filings by submission type, amendments by kind."""
+    tables = counts.groupBy(F.col("table").alias("value")).agg(F.sum("rows").alias("n")).select(F.lit("table").alias("what"), "value", "n")
+    kinds = histogram(covers.where("amendment_type is not null"), F.col("amendment_type"), "amendment type")
+    return tables.unionByName(histogram(submissions, F.col("submission_type"), "submission type")).unionByName(kinds)
+
+
 def samples(rows: DataFrame, order: str, keys: list[str], n: int = 3) -> DataFrame:
     """The first rows of each group; Spark cuts groups to the limit before it shuffles them."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
@@ -49,8 +60,13 @@ def holdings_profile(raw: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.sum("v").alias("value_sum"), F.min("v").alias("value_min"), F.max("v").alias("value_max"), F.count_if(F.col("v").isNull()).alias("bad_values"),
         F.round(F.count_if(F.col("v") < 1000) / F.count("v"), 4).alias("share_below_1000"), F.round(F.count_if("has_figi") / F.count(F.lit(1)), 4).alias("figi_share"), F.count("v").alias("_n"),
     )
-    counts = typed.where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    ranked = counts.withColumn("upto", F.sum("c").over(Window.orderBy("v"))).crossJoin(base.select(F.floor(F.col("_n") / 2).alias("_k")))
+    # Two rounds: rows of each range of values first, then the distinct values of the one range that holds the median.
+    cuts = typed.agg(F.percentile_approx("v", [k / RANGES for k in range(1, RANGES)], 10_000).alias("_cuts"))
+    counts = typed.where("v is not null").groupBy("v").agg(F.count(F.lit(1)).alias("c")).crossJoin(F.broadcast(cuts))
+    counts = counts.select("v", "c", F.size(F.filter("_cuts", lambda x: x <= F.col("v"))).alias("_range"))
+    ranges = counts.groupBy("_range").agg(F.sum("c").alias("_rows")).withColumn("_upto", F.sum("_rows").over(Window.orderBy("_range")))
+    at = ranges.crossJoin(base.select(F.floor(F.col("_n") / 2).alias("_k"))).where("_upto > _k").agg(F.min_by(F.struct("_range", (F.col("_k") - F.col("_upto") + F.col("_rows")).alias("_k")), "_range").alias("_at")).select("_at.*")
+    ranked = counts.join(F.broadcast(at), "_range").withColumn("upto", F.sum("c").over(Window.orderBy("v")))
     median = ranked.where("upto > _k").agg(F.min("v").alias("value_upper_median"))
     return base.drop("_n").crossJoin(median)
 

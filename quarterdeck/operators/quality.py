@@ -131,9 +131,10 @@ def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
     prices = holdings.where("shares_or_principal_amount_type = 'SH' and shares_or_principal_amount > 0 and put_call is null").select(
         "accession_number", "cusip", (F.col("value_usd").cast("double") / F.col("shares_or_principal_amount")).alias("price")
     )
-    prices = prices.join(state.select("accession_number", "period_of_report"), "accession_number")
-    yard = prices.groupBy("period_of_report", "cusip").agg(F.median("price").alias("yard"), F.count(F.lit(1)).alias("n")).where(f"n >= {YARDSTICK_ROWS} and yard > 0")
-    ratios = prices.join(yard, ["period_of_report", "cusip"]).groupBy("accession_number").agg(F.median(F.col("price") / F.col("yard")).alias("ratio"))
+    # Rows of one security and period are as many as its filers at most; yardstick and ratios share their exchange.
+    same = Window.partitionBy("period_of_report", "cusip")
+    prices = prices.join(state.select("accession_number", "period_of_report"), "accession_number").withColumns({"yard": F.median("price").over(same), "n": F.count(F.lit(1)).over(same)})
+    ratios = prices.where((F.col("n") >= YARDSTICK_ROWS) & (F.col("yard") > 0)).groupBy("accession_number").agg(F.median(F.col("price") / F.col("yard")).alias("ratio"))
     rows = state.join(ratios.where((F.col("ratio") < LOW) | (F.col("ratio") > HIGH)), "accession_number")
     return _flag("value_off_yardstick_by_a_thousand", rows, _say("median value per share is {} times the median across filers of the same security and period", F.round("ratio", 5)))
 

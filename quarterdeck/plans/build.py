@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass, fields
@@ -12,11 +13,13 @@ from quarterdeck.operators import dimensions, holdings, lineage, marts, quality
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, or one of our own where it is unset and all run in this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.quarterdeck.folder", None)
         if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             folder = "file://" + tempfile.mkdtemp(prefix="spark-")
             spark.conf.set("spark.quarterdeck.folder", folder)
     return folder.rstrip("/")

@@ -17,6 +17,8 @@ from quarterdeck.sources import datasets, indexes, records, sinks
 from quarterdeck.streaming import ingest as streams
 
 FILES = 8
+#: Orders of an archive: about 200,000 lines of all its tables, whatever the number of orders.
+ARCHIVE_ORDERS = 20_000
 #: Which shaped filings have a valid cover.
 GOOD_COVER = "filing_manager_name is not null and coalesce(cover_is_amendment, false) = is_amendment and is_amendment = (amendment_type is not null) and (is_amendment or amendment_no is null)"
 STAGING = {
@@ -75,7 +77,7 @@ def _files(spark: SparkSession, sf_dir: str) -> str:
     def make():
         root = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
         for table, df in _rows(spark, sf_dir).items():
-            out = df.drop("k").toDF(*(c.upper() for c in datasets.TABLES[table])).repartition(FILES)
+            out = df.drop("k").toDF(*(c.upper() for c in datasets.TABLES[table]))
             out.write.options(sep="\t", header=True, quote="", escapeQuotes=False, nullValue="", emptyValue="", compression="gzip").csv(f"{root}/table={table}")
         return root
 
@@ -101,7 +103,7 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = None
     for table, df in _rows(spark, sf_dir).items():
         line = F.concat_ws("\t", *[F.coalesce(c, F.lit("")) for c in datasets.TABLES[table]])
-        part = df.select((F.col("k") % FILES).alias("dataset"), F.lit(table).alias("table"), line.alias("line"))
+        part = df.select(F.floor(F.col("k") / ARCHIVE_ORDERS).cast("long").alias("dataset"), F.lit(table).alias("table"), line.alias("line"))
         lines = part if lines is None else lines.unionByName(part)
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -114,6 +116,33 @@ def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("dataset").applyInPandas(pack, "path string, content binary")
 
 
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """table, dataset, rows of the archives' tables, as written and counted."""
+    return datasets.write_extracted(datasets.unpack_archives(archives(spark, sf_dir)), f"{shared_folder(spark)}/extracted-{uuid.uuid4().hex}")
+
+
+def audit_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The walk's audit records as files of JSON."""
+
+    def make():
+        root = f"{shared_folder(spark)}/audit-{uuid.uuid4().hex}"
+        rows = _audit_lines(spark, sf_dir).select("run_id", F.col("walk_day").cast("string").alias("day"), "value")
+        rows.repartition("run_id", "day").write.partitionBy("run_id", "day").text(root)  # one record a file
+        return root
+
+    return _once(spark, sf_dir, "audit", make)
+
+
+def ragged_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Submissions as tab-separated lines with a header in each file, every tenth of which has a field too many."""
+    root = f"{shared_folder(spark)}/ragged-{uuid.uuid4().hex}"
+    rows = _rows(spark, sf_dir)["SUBMISSION"]
+    more = F.when(F.col("k") % 10 == 0, F.concat("cik", F.lit("\tmore"))).otherwise(F.col("cik"))
+    out = rows.withColumn("cik", more).drop("k").toDF(*(c.upper() for c in datasets.TABLES["SUBMISSION"]))
+    out.write.options(sep="\t", header=True, quote="", escapeQuotes=False).csv(root)
+    return root
+
+
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every walk filing's directory listing: some lack the cover, some have two tables."""
     filings, _ = _walk(spark, sf_dir)
@@ -240,18 +269,34 @@ def parsed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return _once(spark, sf_dir, "parsed", make)
 
 
-def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs' audit records of every filing date of the walk."""
+def _audit_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs' audit records of every filing date of the walk: run_id, walk_day, value."""
     filings, _ = _walk(spark, sf_dir)
     runs = F.explode(F.array(*[F.struct(F.lit(f"run-{k}").alias("run_id"), F.lit(f"2026-01-0{k} 00:00:00").cast("timestamp").alias("recorded_at")) for k in (1, 2)])).alias("r")
     rows = filings.select("k", F.col("filing_date").alias("walk_day"), F.col("submission_type").alias("form_type"), F.col("accession_number").alias("accession"), runs).select("*", "r.*")
     days = rows.groupBy("run_id", "recorded_at", "walk_day", "form_type").agg(F.count(F.lit(1)).alias("discovered"))
     landed = rows.groupBy("run_id", "walk_day").agg(F.count_if(F.col("k") % 17 != 0).alias("landed"), F.lit(0).cast("long").alias("already_present"), F.count_if(F.col("k") % 13 != 0).alias("parsed"))
     failed = lambda stage, m: rows.where(f"k % {m} = 0").select("run_id", "walk_day", F.lit(stage).alias("stage"), "accession", "form_type", F.concat(F.lit(f"{stage} error of "), "run_id").alias("error"))
-    record = sinks.walk_audit(days, landed, failed("land", 17).unionByName(failed("parse", 13)))
+    return sinks.walk_audit(days, landed, failed("land", 17).unionByName(failed("parse", 13)))
+
+
+def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = _audit_lines(spark, sf_dir)
     return records.audit_records(_as_files(record, F.concat_ws("/", "run_id", F.col("walk_day").cast("string"))))
 
 
+def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records, read from their files."""
+    return staging.walk_runs(records.read_audit_records(spark, f"{audit_folder(spark, sf_dir)}/*/*"))
+
+
+def streamed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files taken in by a stream that has run until it had all."""
+    root = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    streams.ingest_audit(spark, f"{audit_folder(spark, sf_dir)}/*/*", f"{root}/table", f"{root}/checkpoint").awaitTermination()
+    return staging.walk_runs(streams.loaded_records(spark, f"{root}/table"))
+
+
 def audit_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.walk_days(_audit(spark, sf_dir))
 

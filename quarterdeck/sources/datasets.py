@@ -118,7 +118,9 @@ def write_extracted(lines: DataFrame, out: str) -> DataFrame:
     """
     ordered = lines.repartition("table", "dataset").sortWithinPartitions("table", "dataset", "line_no")
     ordered.select("table", "dataset", F.col("line").alias("value")).write.mode("overwrite").partitionBy("table", "dataset").option("compression", "gzip").text(f"{out}/tables")
-    counts = lines.where("line_no > 0").groupBy("table", "dataset").agg(F.count(F.lit(1)).alias("rows"))
+    # Counted from the files, so that nothing is unpacked twice; each has one header.
+    kept = lines.sparkSession.read.schema("value string, table string, dataset string").text(f"{out}/tables")
+    counts = kept.groupBy("table", "dataset").agg((F.count(F.lit(1)) - 1).alias("rows")).where("rows > 0")
     counts.write.mode("overwrite").parquet(f"{out}/counts")
     return lines.sparkSession.read.parquet(f"{out}/counts")
 

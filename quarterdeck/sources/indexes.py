@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from quarterdeck.functions.columns import accession_of
 
 FORM_TYPES = ("13F-HR", "13F-HR/A", "13F-NT", "13F-NT/A")
-#: A row is read from its right end, as names hold spaces: form type, company, CIK, date filed, path.
-ROW = r"^(\S(?:.*?\S)?)\s{2,}(\S(?:.*\S)?)\s+(\d+)\s+(\d{8})\s+(\S+)\s*$"
+#: A row is read from its right end, as names hold spaces: form type (one word), company, CIK, date filed, path in the
+#: publisher's tree. Fixed by the format.
+ROW = r"^(\S+)\s(.*)\s(\d+)\s+(\d{8})\s+(edgar/\S+)\s*$"
 LISTING = "struct<directory: struct<item: array<struct<name: string>>>>"
 
 
@@ -29,7 +30,7 @@ def index_entries(files: DataFrame, forms: tuple[str, ...] | None = FORM_TYPES)
     """form_type, company, cik, filed, path and accession of the wanted entries (all, if forms is None)."""
     part = lambda k: F.regexp_extract("line", ROW, k)
     rows = index_lines(files).where(F.col("line").rlike(ROW)).select(
-        "source_file", "line_no", part(1).alias("form_type"), part(2).alias("company"), F.lpad(part(3), 10, "0").alias("cik"), F.to_date(part(4), "yyyyMMdd").alias("filed"), part(5).alias("path")
+        "source_file", "line_no", part(1).alias("form_type"), F.trim(part(2)).alias("company"), F.lpad(part(3), 10, "0").alias("cik"), F.to_date(part(4), "yyyyMMdd").alias("filed"), part(5).alias("path")
     )
     rows = rows.withColumn("accession_number", accession_of("path"))
     return rows if forms is None else rows.where(F.col("form_type").isin(*forms))

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def by_name(column: Column, kind: T.DataType) -> Column:
+    """The value with the fields of its structs in order of their names, at every depth."""
+    if isinstance(kind, T.StructType):
+        fields = [by_name(column[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(column, lambda x: by_name(x, kind.elementType))
+    return column
 
 
 def filing_lines(covers: DataFrame, holdings: DataFrame, source_key: str = "") -> DataFrame:
-    """accession, filed, ord, line: each filing's cover (ord 0), then its holdings in order; keys sorted, nulls left out.
+    """accession, filed, ord, line: each filing's cover (ord 0), then its holdings in order; keys sorted at every depth, nulls left out.
 
     ``covers`` has filing_date and the fields of a cover record, ``holdings`` accession_number, row_index and the rest.
     """
 
     def lines(df: DataFrame, kind: str, order: Column, extra: list[str]) -> DataFrame:
-        record = F.struct(*[F.col(c) for c in sorted(set(df.columns) - set(extra))])
+        record = F.struct(*[by_name(F.col(c), df.schema[c].dataType).alias(c) for c in sorted(set(df.columns) - set(extra))])
         envelope = F.struct(F.col("accession_number").alias("accession"), record.alias("record"), F.lit(kind).alias("record_type"), F.lit(source_key).alias("source_key"))
         return df.select("accession_number", "filing_date", order.cast("long").alias("ord"), F.to_json(envelope).alias("line"))
 
