@@ -1,9 +1,10 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-The weighted terms of a text are its word shingles and their counts. A term of weight w stands for the pairs (term, 1) to
-(term, w), and each of ``SAMPLES`` samples draws, among all pairs of the text, the one of least hash under the sample's own
-salt. The pairs of two texts have as common and as all members the sums of the lesser and the greater weights, so that a
-sample is the same in both with a chance equal to their generalised Jaccard similarity, exactly, as weights are whole numbers.
+The weighted terms of a text are its word shingles and their counts. For each of ``SAMPLES`` samples a term has two draws of
+the gamma distribution of shape 2, r and c, and one uniform b, all hashed from the term and the sample alone. A term of
+weight w falls to the step t = floor(ln w / r + b), to the weight y = exp(r (t - b)) below w, and to a = c / (y exp(r)). The
+sample is the term of least a, with its t: it is the same in two texts with a chance equal to the generalised Jaccard
+similarity of their weights (the sum of the lesser weights by that of the greater).
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from quarterdeck.llm.common import broadcast_if_small, materialise, read_table
 
 #: Words of a shingle; samples of a fingerprint.
 WIDTH, SAMPLES = 5, 64
+#: Samples that are drawn in one row, so that generated code stays small enough to be compiled.
+BLOCK = 8
+#: The least draw lies below this by the text's whole weight, but for a chance of exp(-24).
+SURE = 24.0
 #: Rows of a bucket of neighbouring ids, on average; ranges of ids that hold as many rows each, cut into buckets.
 BUCKET_ROWS, RANGES, STRIDE = 128, 1024, 1 << 32
 SPACE = r"[\x20\x09-\x0D]+"
@@ -29,16 +34,68 @@ def shingle_hashes(tokens: Column, width: int = WIDTH) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), one)).otherwise(F.array().cast("array<bigint>"))
 
 
+def draw(h: Column, w: Column, reach: Column, s: Column) -> Column:
+    """The draw of a term in sample ``s`` as a number: ln a above, 16 bits of the hash of term, sample and step below.
+
+    With u the product of the two uniforms of r, and v that of c, a is at least u (1 - v) / w. Logarithms are taken only
+    if u (1 - v) is at most ``reach``. Other terms come after all of these, by hash.
+    """
+    x = F.xxhash64(h, s)
+    z = F.xxhash64(x)
+    uniform = lambda k: F.shiftrightunsigned(x, 16 * k).bitwiseAND(F.lit(65535)) + F.lit(0.5)
+    u, v = [uniform(k) * uniform(k + 1) * F.lit(1 / float(1 << 32)) for k in (0, 2)]
+    b = (F.shiftrightunsigned(z, 48) + F.lit(0.5)) * F.lit(1 / 65536)
+    r, log_c = -F.ln(u), F.ln(-F.ln(v))
+    t = F.floor(F.ln(w) / r + b)
+    packed = lambda log_a, step: F.shiftleft(F.floor((log_a + 128.0) * float(1 << 39)), 16).bitwiseOR((z.bitwiseAND(F.lit(65535)) + step).bitwiseAND(F.lit(65535)))
+    # a single occurrence falls to step 0
+    found = F.when(w == 1.0, packed(log_c - r * (1.0 - b), F.lit(0))).otherwise(packed(log_c - r * (t - b + 1.0), t))
+    return F.when(u * (1.0 - v) <= reach, found).otherwise(F.shiftrightunsigned(x, 2).bitwiseOR(F.lit(1 << 62)))
+
+
+def least_draws(weighted: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
+    """keys, block, least_0, least_1, ...: the least draws among a key's terms, ``BLOCK`` samples a row.
+
+    ``weighted`` has the keys, ``h``, ``w`` and ``total``, the weight of all terms of the text. The least a of a text
+    exceeds ``SURE`` by its total with a chance of exp(-SURE), 4e-11; only then is a sample drawn by hash.
+    """
+    reach = F.col("w") / F.col("total") * F.lit(SURE)
+    blocks = weighted.select(*keys, "h", F.col("w").cast("double").alias("w"), reach.alias("reach"), F.explode(F.array(*[F.lit(k) for k in range(0, samples, BLOCK)])).alias("block"))
+    least = lambda k: F.min(draw(F.col("h"), F.col("w"), F.col("reach"), F.col("block") + k)).alias(f"least_{k}")
+    return blocks.groupBy(*keys, "block").agg(*[least(k) for k in range(min(BLOCK, samples))])
+
+
+def signed(draws: DataFrame, keys: list[str], marks: dict[str, str]) -> DataFrame:
+    """keys and, for each name and column prefix of ``marks``, every sample's number (2 hex digits) and 16 bits of its winner (4), in order; null without terms."""
+    code = lambda c, k: F.lpad(F.lower(F.hex((F.col("block") + k).cast("long") * 65536 + F.col(c).bitwiseAND(F.lit(65535)))), 6, "0")
+    own = lambda prefix: [c for c in draws.columns if c.startswith(prefix)]
+    block = lambda prefix: F.when(F.col(own(prefix)[0]).isNotNull(), F.array(*[code(c, k) for k, c in enumerate(own(prefix))]))
+    all_of = lambda prefix: F.flatten(F.array_sort(F.collect_list(block(prefix))))
+    return draws.groupBy(*keys).agg(*[F.when(F.count(own(prefix)[0]) > 0, all_of(prefix)).alias(name) for name, prefix in marks.items()])
+
+
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """keys, signature: for every sample its number (2 hex digits) and 16 bits of the winner's hash (4), in order.
+    """keys, signature (``signed``). ``terms`` has the keys and ``h``, one row for each occurrence of a term."""
+    weighted = terms.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("w")).withColumn("total", F.sum("w").over(Window.partitionBy(*keys)))
+    return signed(least_draws(weighted, keys, samples), keys, {"signature": "least_"})
+
+
+def paired_signatures(terms: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, mark, edited_mark: the signatures of a text and of its edit; null without terms.
 
-    ``terms`` has the keys and ``h``, one row for each occurrence of a term. Every sample draws among all of them.
+    ``terms`` has the keys, ``edit`` (0 or 1), ``total`` (occurrences in that text) and ``h``. Terms that both hold with
+    the same weight are drawn once for both.
     """
-    weighted = terms.groupBy(*keys, "h").agg(F.count(F.lit(1)).alias("w"))
-    pairs = weighted.select(*keys, F.explode(F.transform(F.sequence(F.lit(1).cast("long"), F.col("w")), lambda i: F.xxhash64("h", i))).alias("x"))
-    won = pairs.groupBy(*keys).agg(*[F.min(F.xxhash64("x", F.lit(s))).alias(f"least_{s}") for s in range(samples)])
-    code = lambda s: F.lpad(F.lower(F.hex(F.lit(s * 65536) + F.col(f"least_{s}").bitwiseAND(F.lit(65535)))), 6, "0")
-    return won.select(*keys, F.array(*[code(s) for s in range(samples)]).alias("signature"))
+    of = lambda e, c: F.coalesce(F.max(F.when(F.col("edit") == e, F.col(c))), F.lit(0)).cast("long")
+    counted = terms.groupBy(*keys, "h").agg(*[F.count_if(F.col("edit") == e).alias(f"w{e}") for e in (0, 1)], *[of(e, "total").alias(f"n{e}") for e in (0, 1)])
+    row = lambda part, w, n: F.struct(F.lit(part).alias("part"), w.alias("w"), n.alias("total"))
+    w0, w1, n0, n1 = [F.col(c) for c in ("w0", "w1", "n0", "n1")]
+    apart = F.when(w1 == 0, F.array(row(0, w0, n0))).when(w0 == 0, F.array(row(1, w1, n1))).otherwise(F.array(row(0, w0, n0), row(1, w1, n1)))
+    parts = counted.select(*keys, "h", F.explode(F.when(w0 == w1, F.array(row(2, w0, F.least(n0, n1)))).otherwise(apart)).alias("p")).select(*keys, "h", "p.*")
+    drawn = least_draws(parts, [*keys, "part"])
+    least = lambda e, k: F.min(F.when(F.col("part") != 1 - e, F.col(f"least_{k}"))).alias(f"of_{e}_{k}")
+    texts = drawn.groupBy(*keys, "block").agg(*[least(e, k) for e in (0, 1) for k in range(BLOCK)])
+    return signed(texts, keys, {"mark": "of_0_", "edited_mark": "of_1_"})
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -116,8 +173,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     tokens = lambda c: F.array_remove(F.split(c, SPACE), "")
     both = placed.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("edit"), F.col("text").alias("t")), F.struct(F.lit(1).alias("edit"), F.col("edited").alias("t")))).alias("v"))
     split = both.select(*key, "v.edit", tokens(F.col("v.t")).alias("tokens"))
-    terms = split.select(*key, "edit", F.explode(shingle_hashes(F.col("tokens"))).alias("h"))
-    marks = signatures(terms, [*key, "edit"]).groupBy(*key).agg(*[F.max(F.when(F.col("edit") == e, F.col("signature"))).alias(name) for e, name in ((0, "mark"), (1, "edited_mark"))])
+    total = F.greatest(F.size("tokens") - WIDTH + 1, F.lit(1))
+    marks = paired_signatures(split.select(*key, "edit", total.alias("total"), F.explode(shingle_hashes(F.col("tokens"))).alias("h")), key)
     none = F.array().cast("array<string>")
     # Written first, so that the texts' shuffle is dropped before the terms' pass shuffles them again.
     facts = materialise(placed.select(*key, "guest", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256")), "edits")
