@@ -1,8 +1,10 @@
 """The operators against brute force, on small and odd inputs."""
 
 import hashlib
+import math
 import random
 import re
+import struct
 from collections import Counter
 
 import numpy as np
@@ -680,6 +682,41 @@ def test_weighted_sampling(spark):
     assert weighted_minhash.edited_fingerprints(docs(spark, [])).count() == 0
 
 
+def plain_signature(weights):
+    """Every sample's number and 16 bits of its winner, from the draws of all terms (hash: weight)."""
+    of = lambda kind, v, seed: xxhash.xxh64_intdigest(struct.pack(kind, v), seed=seed)
+    out = []
+    for s in range(64):
+        best = None
+        for h, w in weights.items():
+            x = of("<i", s, of("<q", h, 42))
+            z = of("<Q", x, 42)
+            u1, u2, v1, v2 = [((x >> 16 * k & 65535) + 0.5) / 65536 for k in range(4)]
+            b, r, c = ((z >> 48) + 0.5) / 65536, -math.log(u1 * u2), -math.log(v1 * v2)
+            t = math.floor(math.log(w) / r + b)
+            a = c / (math.exp(r * (t - b)) * math.exp(r))
+            best = min(best or (math.inf, 0), (a, z + t & 65535))
+        out.append(f"{s:02x}{best[1]:04x}")
+    return out
+
+
+def test_draws_are_those_of_brute_force(spark):
+    """Signatures of texts, and of texts with their edits, are those of all draws; 1 or 2,000 terms, single or heavy."""
+    rng = random.Random(21)
+    sides = []
+    for n in (1, 7, 60, 2_000):
+        first = {rng.getrandbits(63): rng.choice([1, 1, 1, 2, 9, 400 if n < 2_000 else 3]) for _ in range(n)}
+        second = {h: w if rng.random() < 0.6 else w + 1 for h, w in first.items() if rng.random() < 0.7} | {rng.getrandbits(63): 1 for _ in range(n // 2)}
+        sides += [(n, first, second)]
+    rows = [(n, e, sum(ws.values()), h) for n, *both in sides for e, ws in enumerate(both) for h, w in ws.items() for _ in range(w)]
+    terms = spark.createDataFrame(rows, "k int, edit int, total long, h long")
+    own = {(r.k, r.edit): r.signature for r in weighted_minhash.signatures(terms, ["k", "edit"]).collect()}
+    want = {(n, e): plain_signature(ws) for n, *both in sides for e, ws in enumerate(both) if ws}
+    assert own == want
+    pairs = {r.k: (r.mark, r.edited_mark) for r in weighted_minhash.paired_signatures(terms, ["k"]).collect()}
+    assert pairs == {n: (want.get((n, 0)), want.get((n, 1))) for n, *_ in sides}
+
+
 def test_sampling_rate_is_the_generalised_jaccard(spark):
     rng = np.random.default_rng(11)
     a, b = rng.integers(0, 6, 40), rng.integers(0, 6, 40)
