@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions.columns import WIDE
+from quarterdeck.functions.medians import medians
 from quarterdeck.operators.lineage import LINEAGE
 
 UNIT_RULE_DATE = "2023-01-03"
@@ -31,12 +32,13 @@ def filing_value_units(filings: DataFrame, holdings: DataFrame) -> DataFrame:
     """
     priced = (F.col("shares_or_principal_amount_type") == "SH") & (F.col("shares_or_principal_amount") > 0)
     price = F.when(priced, F.col("value_as_filed").cast(WIDE) / F.col("shares_or_principal_amount").cast(WIDE))
-    medians = holdings.groupBy("accession_number").agg(F.round(F.median(price), 7).alias("median_value_per_share"))
+    read = medians(holdings.select("accession_number", price.cast("double").alias("price")), ("accession_number",), "price", "median_value_per_share")
+    read = read.withColumn("median_value_per_share", F.round("median_value_per_share", 7))
     by_date = F.when(F.col("filing_date") < F.lit(UNIT_RULE_DATE).cast("date"), "thousands").otherwise("dollars")
     m = F.col("median_value_per_share")
     unit = F.when(m.isNull(), F.col("filing_date_unit")).when(m < 1, "thousands").otherwise("dollars")
     return (
-        medians.join(filings.select("accession_number", "filing_date"), "accession_number")
+        read.join(filings.select("accession_number", "filing_date"), "accession_number")
         .withColumn("filing_date_unit", by_date)
         .withColumn("value_unit", unit)
         .withColumn("value_multiplier", F.when(F.col("value_unit") == "thousands", 1000).otherwise(1).cast("long"))
@@ -49,9 +51,14 @@ def holdings(as_filed: DataFrame, units: DataFrame) -> DataFrame:
     return joined.withColumn("value_usd", (F.col("value_as_filed") * F.col("value_multiplier")).cast("long")).drop("value_multiplier")
 
 
-def is_copied(position: str = "filing_position") -> Column:
+def managers_text() -> Column:
+    """The managers of a holding in filed order, as one text."""
+    return F.array_join("other_manager_sequence_numbers", ",")
+
+
+def is_copied(position: str = "filing_position", managers: Column | str | None = None) -> Column:
     """Whether an earlier filing of the lineage has the same holding; nulls are alike, one filing's rows never copy each other."""
-    same = Window.partitionBy(*LINEAGE, *COPY_KEY, F.array_join("other_manager_sequence_numbers", ","))
+    same = Window.partitionBy(*LINEAGE, *COPY_KEY, managers_text() if managers is None else managers)
     return F.min(position).over(same) < F.col(position)
 
 

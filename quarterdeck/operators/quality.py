@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarterdeck.operators.holdings import is_copied
+from quarterdeck.functions.medians import in_middle, medians, with_places
+from quarterdeck.operators.holdings import COPY_KEY, is_copied, managers_text
 from quarterdeck.operators.lineage import LINEAGE, filing_order
 
 COLUMNS = ("check_name", *LINEAGE, "accession_number", "origin", "detail")
@@ -90,15 +91,20 @@ def order_checks(state: DataFrame) -> DataFrame:
 
 
 def unrestated_addition(state: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Securities of a superseded addition that the effective filing lacks; a missing CUSIP counts as lacking."""
+    """Securities of a superseded addition that the effective filing lacks; a missing CUSIP counts as lacking.
+
+    Both filings of each pair meet the holdings in one join, and their securities in one aggregation.
+    """
     added = state.where("filing_role = 'addition' and is_superseded").select(*LINEAGE, "accession_number", "origin", F.col("effective_position").alias("_at"))
     effective = state.select(*LINEAGE, F.col("filing_position").alias("_at"), F.col("accession_number").alias("_effective"))
-    pairs = added.join(effective, [*LINEAGE, "_at"])
-    cusips = holdings.select("accession_number", "cusip")
-    mine = pairs.join(cusips, "accession_number").select(*LINEAGE, "accession_number", "origin", "_effective", "cusip").distinct()
-    restated = cusips.join(pairs.select(F.col("_effective").alias("accession_number")).distinct(), "accession_number").distinct()
-    lacking = mine.join(restated.select(F.col("accession_number").alias("_effective"), "cusip"), ["_effective", "cusip"], "left_anti")
-    rows = lacking.groupBy(*LINEAGE, "accession_number", "origin", "_effective").count()
+    pair = (*LINEAGE, "_added", "origin", "_effective")
+    pairs = added.join(effective, [*LINEAGE, "_at"]).withColumnRenamed("accession_number", "_added").select(*pair)
+    sides = F.array(F.struct(F.lit(0).alias("restates"), F.col("_added").alias("a")), F.struct(F.lit(1).alias("restates"), F.col("_effective").alias("a")))
+    both = pairs.select(*pair, F.explode(sides).alias("_side")).select(*pair, "_side.restates", F.col("_side.a").alias("accession_number"))
+    held = both.join(holdings.select("accession_number", "cusip"), "accession_number")
+    per = held.groupBy(*pair, "cusip").agg(F.min("restates").alias("_least"), F.max("restates").alias("_most"))
+    lacking = per.where((F.col("_least") == 0) & ((F.col("_most") == 0) | F.col("cusip").isNull()))
+    rows = lacking.groupBy(*pair).count().withColumnRenamed("_added", "accession_number")
     return _flag("superseded_addition_not_restated", rows, _say("{} of the securities it added are not in {}, the restatement that supersedes it", "count", "_effective"))
 
 
@@ -112,12 +118,13 @@ def addition_checks(state: DataFrame, holdings: DataFrame) -> DataFrame:
     """Securities of additions that are in effect already, and holdings that copy earlier ones.
 
     By the least position of a security, or of a whole holding, in its lineage, instead of joins of filings with their
-    earlier ones; both windows share the exchange over the security.
+    earlier ones; both windows share the exchange over the security and one sort.
     """
-    held = _with_additions(state).join(holdings.drop("origin"), "accession_number").repartition(*LINEAGE, "cusip")
+    held = _with_additions(state).join(holdings.drop("origin").withColumn("_managers", managers_text()), "accession_number")
+    held = held.repartition(*LINEAGE, "cusip").sortWithinPartitions(*LINEAGE, *COPY_KEY, "_managers")
     earliest = F.min("filing_position").over(Window.partitionBy(*LINEAGE, "cusip"))
     repeats = (F.col("_first") < F.col("filing_position")) & F.col("cusip").isNotNull()
-    per = held.withColumn("_first", earliest).withColumn("_copied", is_copied()).where("filing_role = 'addition'")
+    per = held.withColumn("_first", earliest).withColumn("_copied", is_copied(managers="_managers")).where("filing_role = 'addition'")
     per = per.groupBy(*LINEAGE, "accession_number", "origin").agg(F.count_distinct(F.when(repeats, F.col("cusip"))).alias("r"), F.count_if("_copied").alias("n"), F.count(F.lit(1)).alias("of"))
     rules = [
         ("repeated_security_in_addition", F.col("r") > 0, _say("{} of its securities are already in effect from an earlier filing", "r")),
@@ -131,10 +138,12 @@ def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
     prices = holdings.where("shares_or_principal_amount_type = 'SH' and shares_or_principal_amount > 0 and put_call is null").select(
         "accession_number", "cusip", (F.col("value_usd").cast("double") / F.col("shares_or_principal_amount")).alias("price")
     )
-    # Rows of one security and period are as many as its filers at most; yardstick and ratios share their exchange.
-    same = Window.partitionBy("period_of_report", "cusip")
-    prices = prices.join(state.select("accession_number", "period_of_report"), "accession_number").withColumns({"yard": F.median("price").over(same), "n": F.count(F.lit(1)).over(same)})
-    ratios = prices.where((F.col("n") >= YARDSTICK_ROWS) & (F.col("yard") > 0)).groupBy("accession_number").agg(F.median(F.col("price") / F.col("yard")).alias("ratio"))
+    # Yardsticks and the ratios to them share one exchange and one sort.
+    security = ("period_of_report", "cusip")
+    placed = with_places(prices.join(state.select("accession_number", "period_of_report"), "accession_number"), security, "price")
+    placed = placed.withColumn("yard", F.avg(F.when(in_middle("_place", "_n"), F.col("price"))).over(Window.partitionBy(*security)))
+    against = placed.where((F.col("_n") >= YARDSTICK_ROWS) & (F.col("yard") > 0)).select("accession_number", (F.col("price") / F.col("yard")).alias("against"))
+    ratios = medians(against, ("accession_number",), "against", "ratio")
     rows = state.join(ratios.where((F.col("ratio") < LOW) | (F.col("ratio") > HIGH)), "accession_number")
     return _flag("value_off_yardstick_by_a_thousand", rows, _say("median value per share is {} times the median across filers of the same security and period", F.round("ratio", 5)))
 
