@@ -56,9 +56,12 @@ def managers_text() -> Column:
     return F.array_join("other_manager_sequence_numbers", ",")
 
 
-def is_copied(position: str = "filing_position", managers: Column | str | None = None) -> Column:
-    """Whether an earlier filing of the lineage has the same holding; nulls are alike, one filing's rows never copy each other."""
-    same = Window.partitionBy(*LINEAGE, *COPY_KEY, managers_text() if managers is None else managers)
+def is_copied(*first: str, position: str = "filing_position") -> Column:
+    """Whether an earlier filing of the lineage has the same holding; nulls are alike, one filing's rows never copy each other.
+
+    Needs a column _managers, the text of the managers. ``first`` may name hashes of key columns, to sort by first.
+    """
+    same = Window.partitionBy(*first, *LINEAGE, *COPY_KEY, "_managers")
     return F.min(position).over(same) < F.col(position)
 
 
@@ -73,6 +76,7 @@ def canonical_holdings(holdings: DataFrame, lineage: DataFrame, filings: DataFra
     counted = counted.join(filings.select("accession_number", "filing_date"), "accession_number")
     contributing = holdings.join(counted, "accession_number")
     plain = contributing.where("not has_addition").withColumn("is_copied", F.lit(False))
-    checked = contributing.where("has_addition").withColumn("is_copied", is_copied())
+    checked = contributing.where("has_addition").withColumn("_managers", managers_text()).withColumn("_hash", F.xxhash64(*LINEAGE, *COPY_KEY, "_managers"))
+    checked = checked.withColumn("is_copied", is_copied("_hash")).drop("_hash", "_managers")
     kept = plain.unionByName(checked).where("not (filing_role = 'addition' and is_copied)")
     return kept.drop("is_copied", "has_addition", "filing_position")

@@ -121,10 +121,10 @@ def addition_checks(state: DataFrame, holdings: DataFrame) -> DataFrame:
     earlier ones; both windows share the exchange over the security and one sort.
     """
     held = _with_additions(state).join(holdings.drop("origin").withColumn("_managers", managers_text()), "accession_number")
-    held = held.repartition(*LINEAGE, "cusip").sortWithinPartitions(*LINEAGE, *COPY_KEY, "_managers")
-    earliest = F.min("filing_position").over(Window.partitionBy(*LINEAGE, "cusip"))
+    held = held.repartition(*LINEAGE, "cusip").withColumn("_hash", F.xxhash64(*LINEAGE, "cusip")).sortWithinPartitions("_hash", *LINEAGE, *COPY_KEY, "_managers")
+    earliest = F.min("filing_position").over(Window.partitionBy("_hash", *LINEAGE, "cusip"))
     repeats = (F.col("_first") < F.col("filing_position")) & F.col("cusip").isNotNull()
-    per = held.withColumn("_first", earliest).withColumn("_copied", is_copied(managers="_managers")).where("filing_role = 'addition'")
+    per = held.withColumn("_first", earliest).withColumn("_copied", is_copied("_hash")).where("filing_role = 'addition'")
     per = per.groupBy(*LINEAGE, "accession_number", "origin").agg(F.count_distinct(F.when(repeats, F.col("cusip"))).alias("r"), F.count_if("_copied").alias("n"), F.count(F.lit(1)).alias("of"))
     rules = [
         ("repeated_security_in_addition", F.col("r") > 0, _say("{} of its securities are already in effect from an earlier filing", "r")),
@@ -141,7 +141,7 @@ def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
     # Yardsticks and the ratios to them share one exchange and one sort.
     security = ("period_of_report", "cusip")
     placed = with_places(prices.join(state.select("accession_number", "period_of_report"), "accession_number"), security, "price")
-    placed = placed.withColumn("yard", F.avg(F.when(in_middle("_place", "_n"), F.col("price"))).over(Window.partitionBy(*security)))
+    placed = placed.withColumn("yard", F.avg(F.when(in_middle("_place", "_n"), F.col("price"))).over(Window.partitionBy("_hash", *security)))
     against = placed.where((F.col("_n") >= YARDSTICK_ROWS) & (F.col("yard") > 0)).select("accession_number", (F.col("price") / F.col("yard")).alias("against"))
     ratios = medians(against, ("accession_number",), "against", "ratio")
     rows = state.join(ratios.where((F.col("ratio") < LOW) | (F.col("ratio") > HIGH)), "accession_number")

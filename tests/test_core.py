@@ -1,6 +1,7 @@
 """Rules of lineages, holdings, dimensions and marts on hand-made rows."""
 
 import datetime as dt
+from dataclasses import fields
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 
 from quarterdeck.functions import columns as C
 from quarterdeck.functions import cusip as S
+from quarterdeck.functions.medians import medians
 from quarterdeck.operators import dimensions, holdings, lineage, marts, quality
+from quarterdeck.plans.build import Tables, save
 
 Q = dt.date(2024, 3, 31)
 FILING = "accession_number string, cik string, period_of_report date, filing_date date, submission_type string, amendment_type string, amendment_no long"
@@ -192,3 +195,31 @@ def test_quality_details(spark):
     got = {r.check_name: r.detail for r in quality.filing_checks(facts).unionByName(quality.order_checks(state)).collect()}
     assert got["cover_box_disagrees_with_submission_type"] == "submission type 13F-HR/A, amendment box blank"
     assert set(got) == {"untyped_amendment", "cover_box_disagrees_with_submission_type", "report_type_disagrees_with_submission_type", "period_disagrees_with_cover", "lineage_starts_with_amendment"}
+
+
+def test_medians_by_rank(spark):
+    values = {"even": [4.0, 1.0, 2.0, 8.0], "odd": [3.0, 1.0, None, 9.0], "ties": [2.0, 2.0, 5.0], "none": [None, None], None: [7.0]}
+    rows = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs], "k string, v double")
+    got = {r.k: r.m for r in medians(rows, ("k",), "v", "m").collect()}
+    assert got == {"even": 3.0, "odd": 3.0, "ties": 2.0, "none": None, None: 7.0}
+    assert medians(rows.where("false"), ("k",), "v", "m").collect() == []
+
+
+def test_unrestated_additions(spark):
+    state = spark.createDataFrame(
+        [("1", Q, "add", "walk", 2, "addition", True, 3), ("1", Q, "last", "walk", 3, "restatement", False, 3), ("2", Q, "kept", "walk", 1, "addition", True, 2), ("2", Q, "base", "walk", 2, "restatement", False, 2)],
+        "cik string, period_of_report date, accession_number string, origin string, filing_position long, filing_role string, is_superseded boolean, effective_position long",
+    )
+    held = cusips(spark, add=["A", "A", "B", None, None], last=["B", None, "C"], kept=["D"], base=["D", "E"])
+    got = [(r.accession_number, r.detail) for r in quality.unrestated_addition(state, held).collect()]
+    assert got == [("add", "2 of the securities it added are not in last, the restatement that supersedes it")]
+
+
+def test_tables_are_saved_whole(spark, tmp_path):
+    spark.sql(f"create database saved location '{(tmp_path / 'saved').as_uri()}'")
+    try:
+        for n in (5, 3):  # a second build replaces the first
+            save(Tables(*[spark.range(n + k) for k in range(len(fields(Tables)))]), "saved")
+        assert [spark.table(f"saved.{f.name}").count() for f in fields(Tables)] == [3 + k for k in range(len(fields(Tables)))]
+    finally:
+        spark.sql("drop database saved cascade")
