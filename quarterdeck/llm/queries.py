@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm.html_text import OP4_SQL, op4_html_extraction
 from quarterdeck.llm.langid import op3_language_id
+from quarterdeck.llm.minhash import op11_minhash_near_dedup
 from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.pieces import op2_sentencepiece
 from quarterdeck.llm.pii import op6_pii
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_top_k": op8_exact_top_k,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_document_fingerprints": op10_document_fingerprints,
+        "op11_minhash_near_dedup": op11_minhash_near_dedup,
     }
 
 
