@@ -13,6 +13,7 @@ from quarterdeck.llm.mixing import op7_mix_sources
 from quarterdeck.llm.pieces import op2_sentencepiece
 from quarterdeck.llm.pii import op6_pii
 from quarterdeck.llm.simhash import op9_simhash_near_dedup
+from quarterdeck.llm.spelling import op12_spelling_variants
 from quarterdeck.llm.substrings import op1_suffix_dedup
 from quarterdeck.llm.topk import OP8_SQL, op8_exact_top_k
 from quarterdeck.llm.toxicity import op5_toxicity
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_document_fingerprints": op10_document_fingerprints,
         "op11_minhash_near_dedup": op11_minhash_near_dedup,
+        "op12_spelling_variants": op12_spelling_variants,
     }
 
 

@@ -1,12 +1,15 @@
 """MinHash near-duplicates, spelling variants and cross-tokenizer alignment against brute force."""
 
 import random
+import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import minhash, similar
+from quarterdeck.llm import minhash, similar, spelling
 
 DOCS = "doc_id long, text string"
 ODD = [(0, None), (1, ""), (2, " \t\n"), (3, "a"), (4, "Zoë 日本語 \U0001f600"), (4, "Zoë 日本語 \U0001f600"), (5, "x" * 5000), (None, "some text"), (None, None), (7, "one two"), (8, "ONE  two")]
@@ -114,3 +117,83 @@ def test_pairs_at_the_least_similarity_are_within_the_radius():
         both = rng.integers(0, 1 << 63, 400).astype(np.uint64)
         far += (minhash.signature(both[:370]) != minhash.signature(both[30:])).sum() > minhash.RADIUS
     assert far == 0
+
+
+# --- spelling -------------------------------------------------------------------------------------------------------
+
+
+def edits(word):
+    """All words one deletion away, with the place as a mark."""
+    return {(word[:k] + "*" + word[k + 1 :]) for k in range(len(word))} | {word[:k] + "*" + word[k:] for k in range(len(word) + 1)}
+
+
+def brute_words(rows):
+    n = Counter()
+    for d, t in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            n[run] += 1
+    return {w: k for w, k in n.items() if len(w) >= 7 and k >= 2}
+
+
+def brute_variants(n):
+    marks = {}
+    for w in n:
+        for e in edits(w):
+            marks.setdefault(e, set()).add(w)
+    out, form = [], {}
+    near = {w: {v for e in edits(w) for v in marks[e]} - {w} for w in n}
+    for w, k in n.items():
+        best = min(near[w], key=lambda v: (-n[v], v), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * k else None
+    for w, k in n.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, k, len(near[w]), n[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def spelled_rows(seed, many=1500):
+    rng = random.Random(seed)
+    stems = ["".join(rng.choice("abé") for _ in range(rng.choice([6, 7, 8, 9, 12, 30, 70, 130]))) for _ in range(40)]
+    rows = []
+    for k in range(many):
+        words = []
+        for _ in range(rng.randint(0, 12)):
+            w = rng.choice(stems)
+            for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
+                at = rng.randrange(len(w))
+                w = w[:at] + rng.choice(["", rng.choice("abé"), w[at] + rng.choice("abé")]) + w[at + 1 :]
+            words += [w.upper() if rng.random() < 0.2 else w] * rng.choice([1, 1, 1, 5])
+        rows.append((rng.choice([k, None]), ", ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed,tile", [(1, 1024), (2, 3)])
+def test_variants(spark, seed, tile):
+    rows = spelled_rows(seed)
+    want = brute_variants(brute_words(rows))
+    assert len(want) > 300 and sum(r[4] for r in want) > 1000
+    assert sorted(tuple(r) for r in spelling.spelling_variants(docs(spark, rows), tile=tile).collect()) == want
+
+
+def test_roots_follow_forms_to_the_last(spark):
+    n = {"aaaaaaa": 10**7, "aaaaaab": 10**6, "aaaaabb": 10**5, "aaaabbb": 10**4, "aaabbbb": 10**3, "aabbbbb": 100, "abbbbbb": 10, "bbbbbbb": 1, "ccccccc": 3}
+    got = sorted(tuple(r) for r in spelling.variants(spark.createDataFrame(list(n.items()), "word string, n long")).select("word", "form", "root", "n", "n_near", "form_n").collect())
+    assert got == brute_variants(n)
+    assert [r[2] for r in got] == ["aaaaaaa"] * 8 + ["ccccccc"]
+
+
+def test_variants_of_odd_rows(spark):
+    rows = [*ODD, (9, "x" * 100_000 + " " + "x" * 99_999), (10, "x" * 100_000 + " " + "x" * 99_999), (11, "Müller×÷Ab müller×÷ab ﬁshing"), (11, "Müller×÷Ab müller×÷ab ﬁshing")]
+    n = brute_words(rows)
+    got = sorted(tuple(r) for r in spelling.spelling_variants(docs(spark, rows, "word", "n", "form")).collect())
+    assert [r[:1] + r[3:4] for r in got] == sorted(n.items())
+    short = {w: k for w, k in n.items() if len(w) < 100}
+    assert [r for r in got if len(r[0]) < 100] == brute_variants(short)
+    assert [r[4] for r in got if len(r[0]) > 99_000] == [1, 1]
+    assert spelling.spelling_variants(docs(spark, [])).collect() == []
