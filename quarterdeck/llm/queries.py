@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quarterdeck.llm.alignment import op13_tokenizer_alignment
 from quarterdeck.llm.html_text import OP4_SQL, op4_html_extraction
 from quarterdeck.llm.langid import op3_language_id
 from quarterdeck.llm.minhash import op11_minhash_near_dedup
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_document_fingerprints": op10_document_fingerprints,
         "op11_minhash_near_dedup": op11_minhash_near_dedup,
         "op12_spelling_variants": op12_spelling_variants,
+        "op13_tokenizer_alignment": op13_tokenizer_alignment,
     }
 
 

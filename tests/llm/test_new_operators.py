@@ -1,5 +1,6 @@
 """MinHash near-duplicates, spelling variants and cross-tokenizer alignment against brute force."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -7,9 +8,11 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import sentencepiece
+import tokenizers
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import minhash, similar, spelling
+from quarterdeck.llm import alignment, minhash, similar, spelling
 
 DOCS = "doc_id long, text string"
 ODD = [(0, None), (1, ""), (2, " \t\n"), (3, "a"), (4, "Zoë 日本語 \U0001f600"), (4, "Zoë 日本語 \U0001f600"), (5, "x" * 5000), (None, "some text"), (None, None), (7, "one two"), (8, "ONE  two")]
@@ -197,3 +200,82 @@ def test_variants_of_odd_rows(spark):
     assert [r for r in got if len(r[0]) < 100] == brute_variants(short)
     assert [r[4] for r in got if len(r[0]) > 99_000] == [1, 1]
     assert spelling.spelling_variants(docs(spark, [])).collect() == []
+
+
+# --- alignment ------------------------------------------------------------------------------------------------------
+
+
+def brute_alignment(rows):
+    """Whole texts through both tokenizers, links listed one by one."""
+    a_tok, b_tok = tokenizers.Tokenizer.from_file(alignment.A_FILE), sentencepiece.SentencePieceProcessor(model_file=alignment.B_FILE)
+    a_tok.encode_special_tokens = True
+    letter = alignment.byte_letters()
+    held, documents = [], Counter()
+    for d, t in rows:
+        a, b = (a_tok.encode(" " + t, add_special_tokens=False), b_tok.encode(t)) if t else (None, [])
+        a_bytes = [bytes(letter[c] for c in x) for x in a.tokens] if a else []
+        b_bytes = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in map(b_tok.id_to_piece, b)]
+        a = a.ids if a else []
+        if not t or not b"".join(a_bytes) == b"".join(b_bytes) == (" " + t).encode():
+            a, b = [], []
+        groups, i, j, x, y = [], 0, 0, 0, 0
+        while i < len(a):
+            s, e = i, j
+            while True:
+                if x <= y:
+                    x += len(a_bytes[i])
+                    i += 1
+                else:
+                    y += len(b_bytes[j])
+                    j += 1
+                if x == y:
+                    break
+            groups.append((a[s:i], b[e:j]))
+        links = Counter((u, v) for g, h in groups for u in g for v in h)
+        documents.update(links.keys())
+        said = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        held.append((d, len(a), len(b), len(groups), links, hashlib.sha256(said.encode()).hexdigest() if groups else ""))
+    best = Counter()
+    for (u, _), n in documents.items():
+        best[u] = max(best[u], n)
+    return sorted(
+        ((d, a, b, g, sum(links.values()), sum(k for x, k in links.items() if documents[x] == best[x[0]]), sum(k * documents[x] for x, k in links.items()), sha) for d, a, b, g, links, sha in held), key=repr
+    )
+
+
+ALIGNED = [
+    *ODD, (20, " leading  and   many spaces "), (21, "tabs\tand\nlines \n then\n\n more"), (22, "it's we'll I'M 1234567 x=y;z!=w"), (23, "a▁b and more"), (24, "<|endoftext|> <s> </s> <unk> <0x41>"), (25, "naïve café — “quoted” …"), (26, " non breaking 　 wide"), (27, "é" * 300 + " " + "日本語テキスト" * 50), (28, "\x00\x01 \x1c \x1f control \x85 x"), (29, "ﬁ ligature ́ combining ḱ"),
+    (30, "😀😃 👩‍👩‍👧 flags 🇩🇪"), (31, " "), (32, "  "), (33, "\n"), (34, "word " * 2000), (35, "the quick brown fox"), (35, "the quick brown fox"), (36, "The  Quick\r\n Brown"),
+]
+
+
+@pytest.mark.parametrize("remembered", [150_000, 3])
+def test_alignment(spark, remembered, monkeypatch):
+    rng = random.Random(3)
+    pieces = [t for _, t in ALIGNED if t] + [" ", "\n", "  ", "ing", "tion", "'s"]
+    rows = ALIGNED + [(100 + k, "".join(rng.choice(pieces)[: rng.randint(1, 30)] + rng.choice(["", " "]) for _ in range(20))) for k in range(60)]
+    aligner = alignment.Aligner(alignment.Tokenizers.load())
+    monkeypatch.setattr(alignment, "REMEMBERED", remembered)
+    for _ in range(2):  # the second time chunks are known, or forgotten
+        for k in range(0, len(rows), 7):
+            found = aligner.align([t for _, t in rows[k : k + 7]])
+            for (d, t), n_a, n_b, n_links, sha in zip(rows[k:], found["n_a"], found["n_b"], found["n_links"], found["groups_sha256"]):
+                want = brute_alignment([(d, t)])[0]
+                assert (n_a, n_b, n_links, sha) == (want[1], want[2], want[4], want[7]), repr(t)
+    got = sorted((tuple(r) for r in alignment.aligned(docs(spark, rows, "block", "pair", "row").repartition(3), aligner.both).collect()), key=repr)
+    assert got == brute_alignment(rows)
+
+
+def test_alignment_of_real_texts(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    got = sorted((tuple(r) for r in alignment.aligned(docs(spark, rows), alignment.Tokenizers.load()).collect()), key=repr)
+    assert got == brute_alignment(rows)
+    assert alignment.aligned(docs(spark, []), alignment.Tokenizers.load()).collect() == []
+
+
+def test_large_groups_are_counted_by_distinct_ids(spark, monkeypatch):
+    rows = [(1, "日本語 xyzzy plugh"), (2, "qwrtpsdf")]
+    want = brute_alignment(rows)
+    monkeypatch.setattr(alignment, "LISTED", 0)
+    found = alignment.Aligner(alignment.Tokenizers.load()).align([t for _, t in rows])
+    assert np.bincount(found["row"], found["times"]).tolist() == [r[4] for r in want]
