@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from quarterdeck.llm.common import materialise, read_table, slices
 
 A_FILE, B_FILE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: Bytes of text in a block and in a slice of it; chunks that a task remembers, and the characters of those.
-BLOCK_BYTES, SLICE_BYTES, REMEMBERED, LONG = 12 << 20, 1 << 20, 150_000, 64
+#: Bytes of text in a block and in a slice of it; chunks that a worker remembers.
+BLOCK_BYTES, SLICE_BYTES, REMEMBERED = 8 << 20, 1 << 20, 150_000
 #: Bytes of chunks that are encoded in one call.
 CALL_BYTES = 200_000
 #: Links of a group up to which they are listed one by one.
@@ -79,6 +79,11 @@ def _runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(start - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _among(x: np.ndarray, ascending: np.ndarray) -> np.ndarray:
+    """Which values are among others, which ascend."""
+    return ascending[np.minimum(np.searchsorted(ascending, x), len(ascending) - 1)] == x
+
+
 class Aligner:
     """Aligns texts, chunk by chunk, remembering chunks and their distinct pairs up to a bound."""
 
@@ -91,6 +96,7 @@ class Aligner:
         self.a, self.b = tokenizers.Tokenizer.from_file(both.a_file), sentencepiece.SentencePieceProcessor(model_file=both.b_file)
         self.a.encode_special_tokens = True
         self.b_space = self.b.encode("a ")[len(self.b.encode("a")) :]
+        self.said = [f"{i}{sign}" for n, end in ((len(both.a_bytes), "|"), (len(both.b_bytes), ";")) for i in range(n) for sign in ("," + end)]
         self.a_size, self.b_size = (np.array([len(t) for t in x], np.int64) for x in (both.a_bytes, both.b_bytes))
         self.forget()
 
@@ -100,6 +106,21 @@ class Aligner:
         #: n_a, n_b, n_groups, n_links and whether the bytes are those of the chunk, of each chunk.
         self.counts = np.zeros((5, 0), np.int64)
         self.pairs, self.times, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        #: Texts that had each chunk.
+        self.seen = np.zeros(0, np.int64)
+
+    def forget_rare(self) -> None:
+        """Forgets the chunks that one text at most has had since the last time; all, if that leaves too many."""
+        keep = np.flatnonzero(self.seen[: len(self.groups)] > 1)
+        if 2 * len(keep) > REMEMBERED:
+            self.forget()
+            return
+        n = self.start[keep + 1] - self.start[keep]
+        at = _runs(self.start[keep], n)
+        chunks, groups = list(self.number), self.groups
+        self.number, self.groups = {chunks[k]: j for j, k in enumerate(keep.tolist())}, [groups[k] for k in keep.tolist()]
+        self.counts, self.pairs, self.times = self.counts[:, keep], self.pairs[at], self.times[at]
+        self.start, self.seen = np.concatenate(([0], np.cumsum(n))), np.zeros(len(keep), np.int64)
 
     def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]] | None:
         """Ids of the chunks (each without its leading space), if both give their bytes and start anew at every chunk.
@@ -112,16 +133,16 @@ class Aligner:
             if not c or c[-1].isspace():
                 texts.append([])
         joined = [" ".join(t) for t in texts if t]
-        a = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch([" " + t for t in joined], add_special_tokens=False)])
+        a = np.concatenate([np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([" " + t for t in joined], add_special_tokens=False)])
         # B adds no space to an empty text; that chunk is a text's last space.
         b = np.concatenate([np.array(e if t else self.b_space, np.int64) for t, e in zip(joined, self.b.encode(joined, num_threads=1))])
         sent = [b" " + c.encode() for c in chunks]
         want = b"".join(sent)
         a_bytes, b_bytes = self.both.a_bytes, self.both.b_bytes
-        if b"".join([a_bytes[i] for i in a]) != want or b"".join([b_bytes[i] for i in b]) != want:
+        if b"".join([a_bytes[i] for i in a.tolist()]) != want or b"".join([b_bytes[i] for i in b.tolist()]) != want:
             return None
         ends = np.cumsum([len(c) for c in sent])
-        return (a, b, sent) if np.isin(ends, np.cumsum(self.a_size[a])).all() and np.isin(ends, np.cumsum(self.b_size[b])).all() else None
+        return (a, b, sent) if all(_among(ends, np.cumsum(size[ids])).all() for size, ids in ((self.a_size, a), (self.b_size, b))) else None
 
     def _learn(self, chunks: list[str]) -> None:
         """Adds chunks; where joined ones don't give their bytes, each half is tried on its own."""
@@ -140,7 +161,7 @@ class Aligner:
     def _add(self, a: np.ndarray, b: np.ndarray, sent: list[bytes]) -> None:
         ends = np.cumsum([len(c) for c in sent])
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        cut = np.intersect1d(a_end, b_end)
+        cut = a_end[_among(a_end, b_end)]
         # Tokens without bytes don't occur here; a token belongs to the first group that ends where it ends or later.
         a_of, b_of = np.searchsorted(cut, a_end), np.searchsorted(cut, b_end)
         n_a, n_b = np.bincount(a_of, minlength=len(cut)), np.bincount(b_of, minlength=len(cut))
@@ -166,19 +187,12 @@ class Aligner:
         self.pairs = np.concatenate([self.pairs, pair[first]])
         self.times = np.concatenate([self.times, np.add.reduceat(times, first)])
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.bincount(where[first], minlength=many))])
-        text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        ends_a, ends_b = np.cumsum(n_a).tolist(), np.cumsum(n_b).tolist()
-        s = t = 0
-        said: list[str] = []
-        stop = (np.cumsum(counts[2]) - 1).tolist()
-        k = 0
-        for g, (e, f) in enumerate(zip(ends_a, ends_b)):
-            said.append(f"{','.join(text_a[s:e])}|{','.join(text_b[t:f])}")
-            s, t = e, f
-            if g == stop[k]:
-                self.groups.append(";".join(said))
-                said = []
-                k += 1
+        # The written form of a token ends in the sign that follows it: , within a side, | after A's side, ; after a group.
+        last_a, last_b = (np.concatenate((of[1:] != of[:-1], [True])) for of in (a_of, b_of))
+        written = np.concatenate([2 * a + last_a, 2 * (len(self.a_size) + b) + last_b])[np.argsort(np.concatenate([2 * a_of, 2 * b_of + 1]), kind="stable")]
+        parts = list(map(self.said.__getitem__, written.tolist()))
+        stop = np.cumsum(counts[0] + counts[1]).tolist()
+        self.groups += ["".join(parts[s:e]) for s, e in zip([0, *stop], stop)]
 
     def chunks(self, text: str) -> list[str]:
         """Of a space and the text: the chunks, each without the space in front of it."""
@@ -187,7 +201,7 @@ class Aligner:
     def numbers(self, texts: list[str | None]) -> list[np.ndarray]:
         """The chunks of each text by number; none of a null or empty text."""
         if len(self.number) > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         known, at, fresh, size = self.number, [], [], 0
         said = []
         for text in texts:
@@ -220,10 +234,11 @@ class Aligner:
         row, flat = row[keep], flat[keep]
         groups = self.groups
         out: dict = {k: np.bincount(row, self.counts[j, flat], len(at)).astype(np.int64) for j, k in enumerate(("n_a", "n_b", "n_groups", "n_links"))}
-        out["groups_sha256"] = [hashlib.sha256(";".join([groups[k] for k in x.tolist()]).encode()).hexdigest() if ok and len(x) else "" for x, ok in zip(at, good)]
+        out["groups_sha256"] = [hashlib.sha256("".join([groups[k] for k in x.tolist()])[:-1].encode()).hexdigest() if ok and len(x) else "" for x, ok in zip(at, good)]
         # Distinct chunks of each text, then the distinct pairs of these.
         both, often = np.unique(row * len(self.groups) + flat, return_counts=True)
         row, flat = both // max(1, len(self.groups)), both % max(1, len(self.groups))
+        self.seen = np.bincount(flat, minlength=len(self.groups)) + np.pad(self.seen, (0, len(self.groups) - len(self.seen)))
         n = self.start[flat + 1] - self.start[flat]
         where = _runs(self.start[flat], n)
         row, pair, times = np.repeat(row, n), self.pairs[where], self.times[where] * np.repeat(often, n)

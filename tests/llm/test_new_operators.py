@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pytest
@@ -205,10 +206,16 @@ def test_variants_of_odd_rows(spark):
 # --- alignment ------------------------------------------------------------------------------------------------------
 
 
+@cache
+def whole_tokenizers():
+    a, b = tokenizers.Tokenizer.from_file(alignment.A_FILE), sentencepiece.SentencePieceProcessor(model_file=alignment.B_FILE)
+    a.encode_special_tokens = True
+    return a, b
+
+
 def brute_alignment(rows):
     """Whole texts through both tokenizers, links listed one by one."""
-    a_tok, b_tok = tokenizers.Tokenizer.from_file(alignment.A_FILE), sentencepiece.SentencePieceProcessor(model_file=alignment.B_FILE)
-    a_tok.encode_special_tokens = True
+    a_tok, b_tok = whole_tokenizers()
     letter = alignment.byte_letters()
     held, documents = [], Counter()
     for d, t in rows:
