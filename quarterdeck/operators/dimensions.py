@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import columns as C
 from quarterdeck.functions import cusip as S
 
+#: How a holding spells its security, by period.
+SPELLING = ("cusip", "period_of_report", "name_of_issuer", "title_of_class", "figi")
+
 
 def filers(filings: DataFrame) -> DataFrame:
     """One row per filer: the last name filed and the span of its periods, in one aggregate."""
@@ -30,7 +33,11 @@ def securities(canonical: DataFrame) -> DataFrame:
 
     Holdings are first counted by the few columns that matter, so that the rest works on one row per spelling.
     """
-    spelled = canonical.groupBy("cusip", "period_of_report", "name_of_issuer", "title_of_class", "figi").count()
+    return named_securities(canonical.groupBy(*SPELLING).count())
+
+
+def named_securities(spelled: DataFrame) -> DataFrame:
+    """The same from the counts of spellings."""
     span = spelled.groupBy("cusip").agg(F.min("period_of_report").alias("first_period"), F.max("period_of_report").alias("last_period"), F.count_distinct("figi").alias("figi_count"), F.min("figi").alias("any_figi"))
     last = spelled.join(span.select("cusip", F.col("last_period").alias("period_of_report")), ["cusip", "period_of_report"])
     last = last.select("cusip", "name_of_issuer", "title_of_class", F.col("count").alias("n"))

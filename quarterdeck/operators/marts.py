@@ -90,7 +90,19 @@ def filer_periods(positions: DataFrame, periods: DataFrame, filers: DataFrame, l
 
 
 def position_changes(filer_periods: DataFrame, positions: DataFrame, securities: DataFrame) -> DataFrame:
-    """Each comparable filer's positions against its previous period's: entry, exit, increase, decrease, unchanged or not comparable.
+    """Each comparable filer's positions against its previous period's, with the names of securities."""
+    return with_names(unnamed_changes(filer_periods, positions), securities)
+
+
+def with_names(changes: DataFrame, securities: DataFrame) -> DataFrame:
+    """Changes with name_of_issuer and title_of_class behind the security."""
+    at = changes.columns.index("cusip") + 1
+    named = changes.join(securities.select("cusip", "name_of_issuer", "title_of_class"), "cusip", "left")
+    return named.select(*changes.columns[:at], "name_of_issuer", "title_of_class", *changes.columns[at:])
+
+
+def unnamed_changes(filer_periods: DataFrame, positions: DataFrame) -> DataFrame:
+    """The changes of a filer's positions: entry, exit, increase, decrease, unchanged or not comparable; they need that filer's rows only.
 
     A null-safe full outer join on the security and side; each side is first limited to periods that compare.
     """
@@ -110,9 +122,8 @@ def position_changes(filer_periods: DataFrame, positions: DataFrame, securities:
     kind = (
         F.when(~F.col("_was_held"), "entry").when(~F.col("_held"), "exit").when(~comparable, "not comparable").when(amount > previous, "increase").when(amount < previous, "decrease").otherwise("unchanged")
     )
-    names = securities.select("cusip", "name_of_issuer", "title_of_class")
-    return paired.join(names, "cusip", "left").select(
-        "cik", "filer_name", "period_of_report", "previous_period", "cusip", "name_of_issuer", "title_of_class", "put_call", F.col("put_call").isNotNull().alias("is_option"), kind.alias("change_kind"),
+    return paired.select(
+        "cik", "filer_name", "period_of_report", "previous_period", "cusip", "put_call", F.col("put_call").isNotNull().alias("is_option"), kind.alias("change_kind"),
         "shares_or_principal_amount_type", "shares_or_principal_amount", "previous_shares_or_principal_amount_type", "previous_shares_or_principal_amount",
         F.when(comparable, amount - previous).alias("amount_change"), "value_usd", "previous_value_usd",
     )

@@ -133,18 +133,32 @@ def addition_checks(state: DataFrame, holdings: DataFrame) -> DataFrame:
     return _flags(per, rules)
 
 
-def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Filings whose prices are off the median price of the same security and period by a factor of about a thousand."""
-    prices = holdings.where("shares_or_principal_amount_type = 'SH' and shares_or_principal_amount > 0 and put_call is null").select(
+def unit_overrides(units: DataFrame) -> DataFrame:
+    """check_name and accession_number of filings whose values are read in another unit than the filing date says."""
+    return units.where("value_unit <> filing_date_unit").select(F.lit("value_unit_overrides_filing_date_rule").alias("check_name"), "accession_number")
+
+
+def prices(filings: DataFrame, holdings: DataFrame) -> DataFrame:
+    """accession_number, period_of_report, cusip, price of every holding of shares that is no option."""
+    priced = holdings.where("shares_or_principal_amount_type = 'SH' and shares_or_principal_amount > 0 and put_call is null").select(
         "accession_number", "cusip", (F.col("value_usd").cast("double") / F.col("shares_or_principal_amount")).alias("price")
     )
+    return priced.join(filings.select("accession_number", "period_of_report"), "accession_number")
+
+
+def ratios_off_yardstick(prices: DataFrame) -> DataFrame:
+    """accession_number and ratio of filings whose prices are off the median price of the same security and period by a factor of about a thousand."""
     # Yardsticks and the ratios to them share one exchange and one sort.
     security = ("period_of_report", "cusip")
-    placed = with_places(prices.join(state.select("accession_number", "period_of_report"), "accession_number"), security, "price")
+    placed = with_places(prices, security, "price")
     placed = placed.withColumn("yard", F.avg(F.when(in_middle("_place", "_n"), F.col("price"))).over(Window.partitionBy("_hash", *security)))
     against = placed.where((F.col("_n") >= YARDSTICK_ROWS) & (F.col("yard") > 0)).select("accession_number", (F.col("price") / F.col("yard")).alias("against"))
-    ratios = medians(against, ("accession_number",), "against", "ratio")
-    rows = state.join(ratios.where((F.col("ratio") < LOW) | (F.col("ratio") > HIGH)), "accession_number")
+    return medians(against, ("accession_number",), "against", "ratio").where((F.col("ratio") < LOW) | (F.col("ratio") > HIGH))
+
+
+def off_yardstick(state: DataFrame, holdings: DataFrame) -> DataFrame:
+    """Filings whose prices are off the median price of the same security and period by a factor of about a thousand."""
+    rows = state.join(ratios_off_yardstick(prices(state, holdings)), "accession_number")
     return _flag("value_off_yardstick_by_a_thousand", rows, _say("median value per share is {} times the median across filers of the same security and period", F.round("ratio", 5)))
 
 

@@ -14,6 +14,7 @@ from quarterdeck.operators import ingest, staging
 from quarterdeck.plans.build import shared_folder, written
 from quarterdeck.plans.shaped import shaped
 from quarterdeck.sources import datasets, indexes, records, sinks
+from quarterdeck.streaming import incremental as incremental_build
 from quarterdeck.streaming import ingest as streams
 
 FILES = 8
@@ -224,6 +225,31 @@ def streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.filing_records(streams.loaded_records(spark, f"{root}/table"))
 
 
+def forget_last_batch(spark: SparkSession, checkpoint: str) -> None:
+    """Makes a stream replay its last batch, as one does that was stopped before it could note the batch as done."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [f.getPath() for f in files.listStatus(folder) if f.getPath().getName().isdigit()]
+    files.delete(max(done, key=lambda p: int(p.getName())), False)
+
+
+def incremental(spark: SparkSession, sf_dir: str) -> incremental_build.Current:
+    """The tables after the data sets, two batches of the walk's files, and a replay of the second."""
+
+    def make():
+        root = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
+        filings, holdings = (x.where("origin = 'data_set'") for x in _shaped(spark, sf_dir))
+        incremental_build.apply_batch(spark, root, filings, holdings, -1, FILES)
+        lines = f"{_lines_folder(spark, sf_dir)}/*"
+        each = max(1, -(-spark.read.text(f"{lines}/*", wholetext=True).count() // 2))
+        for _ in range(2):
+            incremental_build.stream_build(spark, lines, root, f"{root}-checkpoint", FILES, each).awaitTermination()
+            forget_last_batch(spark, f"{root}-checkpoint")
+        return incremental_build.current(spark, root)
+
+    return _once(spark, sf_dir, "incremental", make)
+
+
 def index_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The walk's filings as daily indexes, read again."""
     filings, _ = _walk(spark, sf_dir)

@@ -511,7 +511,50 @@ def _(spark, sf_dir):
     return recompute_lineages(affected_lineages(t.filings.where("k % 20 = 0")), t.filings, t.holdings, before)
 
 
-@query("cusip_check_digits", Q.of("select cusip, is_well_formed, has_valid_check_digit from securities", "securities"))
+# The build taken in batch by batch: data sets first, then two batches of the walk's files, of which the last is replayed.
+
+
+@query("incremental_value_units", ORACLES["filing_value_units"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).filing_value_units.select("accession_number", "filing_date", "median_value_per_share", "filing_date_unit", "value_unit", "value_multiplier")
+
+
+@query("incremental_lineages", ORACLES["lineage_filings"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).lineage_filings
+
+
+@query("incremental_addition_coverage", ORACLES["addition_coverage"])
+def _(spark, sf_dir):
+    return rounded(S.incremental(spark, sf_dir).addition_coverage, "coverage")
+
+
+@query("incremental_canonical_holdings", ORACLES["canonical_holdings"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).canonical_holdings.select("cik", "period_of_report", "accession_number", "filing_role", "origin", "holding_key", "cusip", "value_usd")
+
+
+@query("incremental_securities", ORACLES["securities"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).securities
+
+
+@query("incremental_positions", ORACLES["positions"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).positions
+
+
+@query("incremental_filer_periods", ORACLES["filer_periods"])
+def _(spark, sf_dir):
+    return rounded(S.incremental(spark, sf_dir).filer_periods, "top_ten_share", "hhi")
+
+
+@query("incremental_position_changes", ORACLES["position_changes"])
+def _(spark, sf_dir):
+    return S.incremental(spark, sf_dir).position_changes
+
+
+@query("cusip_check_digits",Q.of("select cusip, is_well_formed, has_valid_check_digit from securities", "securities"))
 def _(spark, sf_dir):
     return tables(spark, sf_dir).securities.select("cusip", "is_well_formed", "has_valid_check_digit")
 

@@ -39,23 +39,41 @@ def read_dataset_table(spark: SparkSession, path: str, table: str, row_numbers:
     """One table of one or more data sets: every column as text, with source_file and source_last_modified.
 
     No quoting and no escapes; an empty field is null; a ragged row or another header fails the read. Compressed files
-    are read whole by one task each. ``row_numbers`` adds source_row (1-based within the file, one sort by file), and
+    are read whole by one task each. ``row_numbers`` adds source_row (1-based within the file, by the places of its splits), and
     ``content_keys`` source_content_key (MD5 of the file; one more read of it).
     """
     df = (
         spark.read.schema(raw_schema(table))
         .options(sep="\t", header=True, quote="", escape="", enforceSchema=False, mode="FAILFAST", encoding="UTF-8", nullValue="", emptyValue="")
         .csv(path)
-        .select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("source_last_modified"))
+        .select("*", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_modification_time").alias("source_last_modified"), F.col("_metadata.file_block_start").alias("_split"))
     )
     if row_numbers:
-        place = Window.partitionBy("source_file").orderBy("_at")
-        df = df.withColumn("_at", F.monotonically_increasing_id()).withColumn("source_row", F.row_number().over(place).cast("long")).drop("_at")
+        df = with_row_numbers(df.withColumn("_at", F.monotonically_increasing_id()))
+    df = df.drop("_split")
     if content_keys:
         df = df.join(content_key(spark, path), "source_file", "left")
     return df
 
 
+def with_row_numbers(rows: DataFrame) -> DataFrame:
+    """Adds source_row, 1-based within source_file, to rows that know their split's place in the file (_split) and, in _at, their order in it.
+
+    Rows are numbered within their split, so that no task has a whole file; the rows of a file's earlier splits are added from
+    the splits' counts. How splits are dealt to tasks makes no difference.
+    """
+    split = ("source_file", "_split")
+    earlier = Window.partitionBy("source_file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy(*split).agg(F.count(F.lit(1)).alias("_rows")).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    own = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*split).orderBy("_at")))
+    return own.join(counts, list(split)).withColumn("source_row", (F.col("_before") + F.col("_n")).cast("long")).drop("_at", "_n", "_before")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """value and source_file of every line, its split's place (_split), and its order in the split (_at)."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_at"))
+
+
 def content_key(spark: SparkSession, path: str) -> DataFrame:
     """source_file and the MD5 of its bytes."""
     files = spark.read.format("binaryFile").load(path)
@@ -64,16 +82,15 @@ def content_key(spark: SparkSession, path: str) -> DataFrame:
 
 def header_violations(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Files whose first line is not the table's header, in upper or lower case; empty if all are right."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("at"))
-    first = lines.groupBy("source_file").agg(F.min_by("value", "at").alias("header"))
+    first = _lines(spark, path).groupBy("source_file").agg(F.min_by("value", F.struct("_split", "_at")).alias("header"))
     expected = "\t".join(TABLES[table]).upper()
     return first.where(F.upper("header") != expected).withColumn("expected", F.lit(expected))
 
 
 def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows whose number of fields differs from their file's header."""
-    lines = spark.read.text(path).select("value", F.size(F.split("value", "\t")).alias("fields"), F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("at"))
-    header = lines.groupBy("source_file").agg(F.min_by("fields", "at").alias("expected"))
+    lines = _lines(spark, path).withColumn("fields", F.size(F.split("value", "\t")))
+    header = lines.groupBy("source_file").agg(F.min_by("fields", F.struct("_split", "_at")).alias("expected"))
     return lines.join(header, "source_file").where("fields <> expected").select("source_file", "value", "fields", "expected")
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def whole_files(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
-    """content and provenance of every file, a row each; as a stream, each file once."""
+def whole_files(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:
+    """content and provenance of every file, a row each; as a stream, each file once, so many a batch at most."""
     reader = spark.readStream if stream else spark.read
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     files = reader.text(path, wholetext=True)
     return files.select(
         F.col("value").alias("content"), F.col("_metadata.file_path").alias("source_file"), F.md5("value").alias("source_content_key"), F.col("_metadata.file_modification_time").alias("source_last_modified")

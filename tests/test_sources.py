@@ -174,3 +174,25 @@ def test_streams_take_each_file_once(spark, tmp_path):
     run()
     got = staging.filing_records(streams.loaded_records(spark, str(tmp_path / "out")))
     assert sorted(r.accession_number for r in got.collect()) == ["a", "c"]
+
+
+def test_row_numbers_and_headers_of_a_file_of_many_splits(spark, tmp_path):
+    """Splits are read in an order of Spark's own: numbers and the header go by their places in the file."""
+    lines = ["\t".join(datasets.TABLES["SUBMISSION"]).upper(), *(f"{k:020d}\t31-MAR-2024\t13F-HR\t{k}\t31-DEC-2023" for k in range(1, 4001))]
+    lines[2000] += "\tmore"
+    (tmp_path / "good").mkdir()
+    (tmp_path / "good" / "a.tsv").write_text("\n".join(x.removesuffix("\tmore") for x in lines) + "\n")
+    (tmp_path / "bad.tsv").write_text("\n".join(lines) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = datasets.read_dataset_table(spark, str(tmp_path / "good"), "SUBMISSION", row_numbers=True)
+        assert spark.read.text(str(tmp_path / "good")).rdd.getNumPartitions() > 10 and "_split" not in df.columns
+        rows = df.select("accession_number", "source_row").collect()
+        assert len(rows) == 4000 and all(int(r.accession_number) == r.source_row for r in rows)
+        assert datasets.header_violations(spark, str(tmp_path / "bad.tsv"), "SUBMISSION").collect() == []
+        assert [(r.fields, r.expected) for r in datasets.ragged_rows(spark, str(tmp_path / "bad.tsv")).collect()] == [(6, 5)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
