@@ -14,6 +14,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -68,10 +69,24 @@ class Page:
     runs: list[tuple[int, str, bool, bool]]
 
 
-def parse(text: str) -> Page:
-    """The page's block tree. Mark-up, comments, scripts, styles and other raw elements give no text."""
+def parse(text: str, labelled: bool = False) -> Page:
+    """The page's block tree. Mark-up, comments, scripts, styles and other raw elements give no text.
+
+    Labels are read from pages that are put together for training only (``labelled``). Time is linear in the page's size,
+    however elements are nested or left open.
+    """
     page = Page([-1], [TAG_NO["html"]], [frozenset()], [-1], [])
-    stack: list[tuple[str, int]] = [("#root", 0)]  # open elements and the block of their text
+    # Open elements, the block of their text, and the place of the nearest one at or below that isn't inline.
+    stack: list[tuple[str, int, int]] = [("#root", 0, 0)]
+    opened: Counter = Counter()
+
+    def close(k: int) -> int:
+        """Closes the elements from place k on; how many links are among them."""
+        gone = [x for x, _, _ in stack[k:]]
+        del stack[k:]
+        opened.subtract(gone)
+        return gone.count("a")
+
     links, fresh, at, n = 0, True, 0, len(text)
     while at < n:
         m = TOKEN.search(text, at)
@@ -89,10 +104,8 @@ def parse(text: str) -> Page:
             continue
         name = name.lower()
         if closing:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name), 0)
-            if k:
-                links -= sum(1 for x, _ in stack[k:] if x == "a")
-                del stack[k:]
+            if opened[name] > 0:
+                links -= close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
             fresh = fresh or name not in INLINE
             continue
         if name in VOID:
@@ -105,29 +118,28 @@ def parse(text: str) -> Page:
             continue
         if name in INLINE:
             links += name == "a"
-            stack.append((name, stack[-1][1]))
+            stack.append((name, stack[-1][1], stack[-1][2]))
+            opened[name] += 1
             continue
         fresh = True
         ends = SAME.get(name, ("p",) if name in ENDS_P else ())
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in ends:
-                links -= sum(1 for x, _ in stack[k:] if x == "a")
-                del stack[k:]
-                if name != "tr":
-                    break
-            elif stack[k][0] not in INLINE:
+        while stack[k := stack[-1][2]][0] in ends:
+            links -= close(k)
+            if name != "tr":
                 break
         tokens, label = frozenset(), -1
         if attributes and not attributes.isspace():
             found = {a[0].lower(): a[1].strip("\"'") for a in ATTRIBUTE.findall(attributes)}
             if found:
-                label = int(found.pop("data-y", -1))
+                given = found.pop("data-y", None)
+                label = int(given) if labelled and given else -1
                 tokens = frozenset(TOKEN_NO[t] for v in found.values() for t in SPLIT.split(v.lower()) if t in TOKEN_NO)
         page.parent.append(stack[-1][1])
         page.tag.append(TAG_NO.get(name, -1))
         page.tokens.append(tokens)
         page.label.append(label)
-        stack.append((name, len(page.parent) - 1))
+        stack.append((name, len(page.parent) - 1, len(stack)))
+        opened[name] += 1
     return page
 
 
@@ -346,7 +358,7 @@ def train(pages: list[str]) -> Trees:
 def fit(sample: list[tuple[bool, list[str]]]) -> Trees:
     """Trees from each page's paragraphs: those of articles, else all, else seeds."""
     bare = [t for marked, own in sample if marked for t in own] or [t for _, own in sample for t in own] or list(SEEDS)
-    made = [parse(p) for p in made_pages(bare)]
+    made = [parse(p, labelled=True) for p in made_pages(bare)]
     x = np.concatenate([features(p) for p in made])
     y = np.concatenate([[1 if i == 0 or p.tag[i] == TAG_NO["body"] or l == 1 else 0 for i, l in enumerate(p.label)] for p in made])
     return boost(x, y.astype(float))

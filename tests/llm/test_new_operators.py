@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from functools import cache
@@ -13,7 +14,7 @@ import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
-from quarterdeck.llm import alignment, minhash, similar, spelling
+from quarterdeck.llm import alignment, html_text, minhash, similar, spelling
 
 DOCS = "doc_id long, text string"
 ODD = [(0, None), (1, ""), (2, " \t\n"), (3, "a"), (4, "Zoë 日本語 \U0001f600"), (4, "Zoë 日本語 \U0001f600"), (5, "x" * 5000), (None, "some text"), (None, None), (7, "one two"), (8, "ONE  two")]
@@ -286,3 +287,20 @@ def test_large_groups_are_counted_by_distinct_ids(spark, monkeypatch):
     monkeypatch.setattr(alignment, "LISTED", 0)
     found = alignment.Aligner(alignment.Tokenizers.load()).align([t for _, t in rows])
     assert np.bincount(found["row"], found["times"]).tolist() == [r[4] for r in want]
+
+
+# --- pages ----------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("value", ["1", "1.5", "", "abc"])
+def test_labels_are_read_from_training_pages_only(value):
+    page = html_text.parse(f'<p data-y="{value}">text</p>')
+    assert page.label == [-1, -1] and page.runs[0][1] == "text"
+    assert html_text.parse('<p data-y="1">text</p>', labelled=True).label == [-1, 1]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</p>" * 100_000, "<b>" * 100_000 + "<div></div>" * 50_000, "<p><td>" + "<b>" * 100_000 + "<div></div>" * 50_000, "<table>" + "<tr><td>" * 60_000, "<a>" * 50_000 + "</b>" * 50_000])
+def test_badly_nested_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.parse(page)
+    assert time.process_time() - began < 10
