@@ -80,7 +80,7 @@ def parse(text: str, labelled: bool = False) -> Page:
     stack: list[tuple[str, int, int]] = [("#root", 0, 0)]
     opened: Counter = Counter()
 
-    def close(k: int) -> int:
+    def leave(k: int) -> int:
         """Closes the elements from place k on; how many links are among them."""
         gone = [x for x, _, _ in stack[k:]]
         del stack[k:]
@@ -105,7 +105,7 @@ def parse(text: str, labelled: bool = False) -> Page:
         name = name.lower()
         if closing:
             if opened[name] > 0:
-                links -= close(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
+                links -= leave(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
             fresh = fresh or name not in INLINE
             continue
         if name in VOID:
@@ -124,7 +124,7 @@ def parse(text: str, labelled: bool = False) -> Page:
         fresh = True
         ends = SAME.get(name, ("p",) if name in ENDS_P else ())
         while stack[k := stack[-1][2]][0] in ends:
-            links -= close(k)
+            links -= leave(k)
             if name != "tr":
                 break
         tokens, label = frozenset(), -1
