@@ -71,6 +71,46 @@ def holdings_profile(raw: DataFrame) -> DataFrame:
     return base.drop("_n").crossJoin(median)
 
 
+def holdings_profiles(raw: DataFrame, key: str = "dataset") -> DataFrame:
+    """``holdings_profile`` of every data set at once, a row each; ``raw`` has the data set's name besides.
+
+    Medians go by rounds of digits (``kth_values``): no task sorts a data set's values.
+    """
+    typed = raw.select(key, C.number("value", strict=False).cast("long").alias("v"), C.text("figi").isNotNull().alias("has_figi"))
+    base = typed.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("v").alias("value_sum"), F.min("v").alias("value_min"), F.max("v").alias("value_max"), F.count_if(F.col("v").isNull()).alias("bad_values"),
+        F.round(F.count_if(F.col("v") < 1000) / F.count("v"), 4).alias("share_below_1000"), F.round(F.count_if("has_figi") / F.count(F.lit(1)), 4).alias("figi_share"),
+    )
+    return base.join(kth_values(typed.select(key, "v"), key, "v", "value_upper_median"), key, "left")
+
+
+def kth_values(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """key and the value at index n // 2 of each group's n sorted values (long); groups without values are left out.
+
+    Exact, for all groups at once: four rounds count the values of each group by their next 16 bits and keep those that
+    share the bits of the one looked for, so that a window has 65,536 rows a group at most.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    # Of the highest digit the sign turns, so that digits order as values do.
+    digit = lambda k: F.shiftrightunsigned("_v", 48 - 16 * k).bitwiseAND(0xFFFF).bitwiseXOR(0x8000 if k == 0 else 0).cast("int")
+    left = counts.groupBy(key).agg(F.floor(F.sum("_c") / 2).cast("long").alias("_k"))
+    for k in range(4):
+        own = counts.withColumn("_digit", digit(k))
+        upto = F.sum("_n").over(Window.partitionBy(key).orderBy("_digit"))
+        bins = own.groupBy(key, "_digit").agg(F.sum("_c").alias("_n")).withColumn("_upto", upto).join(left, key)
+        hit = bins.where((F.col("_upto") > F.col("_k")) & (F.col("_upto") - F.col("_n") <= F.col("_k")))
+        left = hit.select(key, "_digit", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_k"))
+        counts = own.join(left.select(key, "_digit"), [key, "_digit"], "left_semi").drop("_digit")
+        left = left.drop("_digit")
+    return counts.select(key, F.col("_v").alias(name))
+
+
+def holdings_histograms(raw: DataFrame, key: str = "dataset") -> DataFrame:
+    """key, what, value, n: the amount types and the sides (put or call) of each data set's holdings; missing ones count as (blank)."""
+    kinds = histogram(raw, C.text("sshprnamttype"), "amount type", key)
+    return kinds.unionByName(histogram(raw, C.text("putcall"), "put or call", key))
+
+
 def filer_index(filings: DataFrame, entries: DataFrame) -> DataFrame:
     """For each filer and period its filings in order, with types and numbers of holdings (accession_number, entries)."""
     rows = filings.join(entries, "accession_number", "left")

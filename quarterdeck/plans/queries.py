@@ -373,6 +373,25 @@ def _(spark, sf_dir):
     return P.holdings_profile(tables(spark, sf_dir).holdings.select(F.col("value_as_filed").cast("string").alias("value"), "figi"))
 
 
+_SET = f"concat('set', cast(k % {S.FILES} as string))"
+
+
+def _by_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings as their text columns say it, with a data set."""
+    text = {"value": "value_as_filed", "figi": "figi", "sshprnamttype": "shares_or_principal_amount_type", "putcall": "put_call"}
+    return tables(spark, sf_dir).holdings.select(F.expr(_SET).alias("dataset"), *[F.col(c).cast("string").alias(t) for t, c in text.items()])
+
+
+@query("holdings_profile_by_data_set", Q.of(f"select {_SET} as dataset, count(*) as rows, cast(sum(value_as_filed) as bigint) as value_sum, min(value_as_filed) as value_min, max(value_as_filed) as value_max, cast(0 as bigint) as bad_values, round(count(*) filter (where value_as_filed < 1000) / count(*), 4) as share_below_1000, round(count(figi) / count(*), 4) as figi_share, (list(value_as_filed order by value_as_filed))[count(*) // 2 + 1] as value_upper_median from raw_holdings group by 1"))
+def _(spark, sf_dir):
+    return P.holdings_profiles(_by_set(spark, sf_dir))
+
+
+@query("holdings_histograms", Q.of(f"select {_SET} as dataset, 'amount type' as what, coalesce(shares_or_principal_amount_type, '(blank)') as value, count(*) as n from raw_holdings group by 1, 3 union all select {_SET}, 'put or call', coalesce(put_call, '(blank)'), count(*) from raw_holdings group by 1, 3"))
+def _(spark, sf_dir):
+    return P.holdings_histograms(_by_set(spark, sf_dir))
+
+
 _ENTRIES = "(select accession_number, count(*) as e from raw_holdings group by 1)"
 
 

@@ -1,6 +1,7 @@
 """Rules of lineages, holdings, dimensions and marts on hand-made rows."""
 
 import datetime as dt
+import random
 from dataclasses import fields
 from decimal import Decimal
 
@@ -223,3 +224,15 @@ def test_tables_are_saved_whole(spark, tmp_path):
         assert [spark.table(f"saved.{f.name}").count() for f in fields(Tables)] == [3 + k for k in range(len(fields(Tables)))]
     finally:
         spark.sql("drop database saved cascade")
+
+
+def test_kth_values_of_many_groups(spark):
+    from quarterdeck.operators import profile
+
+    rng = random.Random(7)
+    rows = [(f"g{k % 5}", rng.choice([0, -1, 1, rng.randrange(-(1 << 62), 1 << 62), rng.randrange(-70_000, 70_000), (1 << 63) - 1, -(1 << 63)])) for k in range(600)] + [("one", -5), ("none", None), ("g0", None)]
+    want = {}
+    for g in {g for g, v in rows if v is not None}:
+        own = sorted(v for x, v in rows if x == g and v is not None)
+        want[g] = own[len(own) // 2]
+    assert {r.g: r.m for r in profile.kth_values(spark.createDataFrame(rows, "g string, v long"), "g", "v", "m").collect()} == want
