@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.functions import columns as C
+from quarterdeck.plans.build import written
 
 
 #: Ranges of values that the search for a median counts first.
@@ -94,15 +95,22 @@ def kth_values(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
     # Of the highest digit the sign turns, so that digits order as values do.
     digit = lambda k: F.shiftrightunsigned("_v", 48 - 16 * k).bitwiseAND(0xFFFF).bitwiseXOR(0x8000 if k == 0 else 0).cast("int")
     left = counts.groupBy(key).agg(F.floor(F.sum("_c") / 2).cast("long").alias("_k"))
+    # Written, so that a round reads the counts and the last round's outcome instead of making them again.
+    counts, found = written(counts, "counts"), []
+    left = written(left, "places")
     for k in range(4):
-        own = counts.withColumn("_digit", digit(k))
+        own = counts.join(left, key).withColumn("_digit", digit(k))
+        for j in found:
+            own = own.where(digit(j) == F.col(f"_d{j}"))
         upto = F.sum("_n").over(Window.partitionBy(key).orderBy("_digit"))
-        bins = own.groupBy(key, "_digit").agg(F.sum("_c").alias("_n")).withColumn("_upto", upto).join(left, key)
+        bins = own.groupBy(*left.columns, "_digit").agg(F.sum("_c").alias("_n")).withColumn("_upto", upto)
         hit = bins.where((F.col("_upto") > F.col("_k")) & (F.col("_upto") - F.col("_n") <= F.col("_k")))
-        left = hit.select(key, "_digit", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_k"))
-        counts = own.join(left.select(key, "_digit"), [key, "_digit"], "left_semi").drop("_digit")
-        left = left.drop("_digit")
-    return counts.select(key, F.col("_v").alias(name))
+        left = written(hit.select(key, *(f"_d{j}" for j in found), F.col("_digit").alias(f"_d{k}"), (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_k")), "places")
+        found.append(k)
+    own = counts.join(left, key)
+    for j in found:
+        own = own.where(digit(j) == F.col(f"_d{j}"))
+    return own.select(key, F.col("_v").alias(name))
 
 
 def holdings_histograms(raw: DataFrame, key: str = "dataset") -> DataFrame:
