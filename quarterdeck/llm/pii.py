@@ -6,20 +6,21 @@ half to the other. Equal values therefore have equal pseudonyms in every documen
 and separators, lengths and check digits stay right. E-mail addresses and secrets have no such domain and take keyed
 hashes of their own shape.
 
-==========  ==========================================================  =============================================
+==========  ==========================================================  ==================================================
 kind        what counts                                                 pseudonym
-==========  ==========================================================  =============================================
+==========  ==========================================================  ==================================================
 card        13-19 digits, plain or grouped, Luhn sum right              all but the last digit permuted, the last right
 iban        mod-97 check right, and the length where it is known        digits and letters permuted by class, check right
-date        calendar date of 1900-2099; Y-M-D, D-M-Y, else M-D-Y        date of 1900-2099, same layout
+date        calendar date of 1900-2099; Y-M-D, D-M-Y, else M-D-Y        date of 1900-2099, same layout and side of the 12th
 ssn         AAA-GG-SSSS with valid area, group and serial               the same
 ipv4        four octets                                                 four octets
 phone       + and country code, or 3-3-4 digits with separators         digits behind the country code permuted
 email       local@domain.tld                                            keyed hash in a reserved domain
 secret      32 to 64 lower-case hex digits, letters and digits mixed    keyed hash of the same length
-==========  ==========================================================  =============================================
+==========  ==========================================================  ==================================================
 
-A bare run of ten digits is no phone number by itself. Patterns repeat single characters only, or a bounded number of
+A date has one pseudonym in all layouts, and a phone number one with and without separators. A bare run of ten digits is no
+phone number by itself. Patterns repeat single characters only, or a bounded number of
 times, so that they take linear time and a bounded stack over texts of any length.
 """
 
@@ -52,7 +53,10 @@ IBAN_LENGTHS = (
     "IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 "
     "SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
 )
-FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # 17 * 4297 = 73049 days of 1900 to 2099
+# Country codes of one and two digits, as E.164 assigns them; all others have three. None starts with 0, which stays, as do the digits before an early separator.
+COUNTRY_CODES = "0|1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{1,3}"
+# 2,400 months of 1900 to 2099: 28,800 = 160 * 180 days up to the 12th of one, and one less than 250 * 177 later ones.
+FIRST_DAY, EARLY, LATE = "1900-01-01", (160, 180), (250, 177)
 
 
 def keyed(key: str, kind: str, *parts: Column) -> Column:
@@ -181,18 +185,39 @@ def _iban(key: str, m: Column) -> Column:
     return _let(head, made)
 
 
+def _permuted_day(key: str, day: Column) -> Column:
+    """A date of 1900-2099 permuted among those up to the 12th of a month, or among the later ones.
+
+    Only later ones are readable with the month in front where the day could stand, so that a date's pseudonym is read in
+    the layout that the date was, and is the same in each.
+    """
+    first, month = F.lit(FIRST_DAY).cast("date"), lambda d: (F.year(d) - 1900) * 12 + F.month(d) - 1
+    whole = lambda v: F.lit(v).cast("long")
+    early = feistel(key, "date 1-12", (month(day) * 12 + F.dayofmonth(day) - 1).cast("long"), *map(whole, EARLY))
+    made = lambda v: F.make_date((F.floor(v / 144) + 1900).cast("int"), (F.floor(v / 12) % 12 + 1).cast("int"), (v % 12 + 1).cast("int"))
+
+    def walk(v: Column) -> Column:  # the one value too many leads on
+        return F.when(v == LATE[0] * LATE[1] - 1, feistel(key, "date 13-31", v, *map(whole, LATE))).otherwise(v)
+
+    def counted(v: Column) -> Column:  # the v-th later day is 12 days further on for each month so far; its month is known to one or two
+        near = F.floor(v * 2400 / (LATE[0] * LATE[1])).cast("int")
+        days = F.transform(F.sequence(near - 2, near + 2), lambda k: F.struct(k.alias("k"), F.date_add(first, (v + 12 * (k + 1)).cast("int")).alias("d")))
+        return F.filter(days, lambda x: (month(x["d"]) == x["k"]) & (F.dayofmonth(x["d"]) > 12))[0]["d"]
+
+    late = feistel(key, "date 13-31", (F.datediff(day, first) - 12 * (month(day) + 1)).cast("long"), *map(whole, LATE))
+    return F.when(F.dayofmonth(day) <= 12, _let(early, made)).otherwise(_let(_let(late, walk), counted))
+
+
 def _date(key: str, m: Column) -> Column:
     sep = F.regexp_extract(m, "([-/.])", 1)
     plain = F.regexp_replace(m, "[/.]", "-")
-
-    def as_layout(layout: str) -> tuple[Column, Column]:
-        day = F.try_to_timestamp(plain, F.lit(layout)).cast("date")
-        x = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-        moved = F.date_add(F.lit(FIRST_DAY).cast("date"), feistel(key, "date", x, F.lit(DAYS[0]).cast("long"), F.lit(DAYS[1]).cast("long")).cast("int"))
-        return day, F.regexp_replace(F.date_format(moved, layout), F.lit("-"), sep)
-
-    ymd, dmy, mdy = (as_layout(x) for x in ("yyyy-MM-dd", "dd-MM-yyyy", "MM-dd-yyyy"))
-    return F.when(m.rlike("^[0-9]{4}"), F.when(ymd[0].isNotNull(), ymd[1])).when(dmy[0].isNotNull(), dmy[1]).when(mdy[0].isNotNull(), mdy[1])
+    read = lambda layout: F.try_to_timestamp(plain, F.lit(layout)).cast("date")
+    laid = lambda day, layout: F.regexp_replace(F.date_format(day, layout), F.lit("-"), sep)
+    ymd, dmy, mdy = "yyyy-MM-dd", "dd-MM-yyyy", "MM-dd-yyyy"
+    front = m.rlike("^[0-9]{4}")
+    day = F.when(front, read(ymd)).otherwise(F.coalesce(read(dmy), read(mdy)))
+    moved = lambda d: F.when(front, laid(d, ymd)).when(read(dmy).isNotNull(), laid(d, dmy)).otherwise(laid(d, mdy))
+    return F.when(day.isNotNull(), _let(_let(day, lambda d: _permuted_day(key, d)), moved))
 
 
 def _ssn(key: str, m: Column) -> Column:
@@ -215,9 +240,9 @@ def _ipv4(key: str, m: Column) -> Column:
 
 
 def _phone(key: str, m: Column) -> Column:
-    head = F.when(m.startswith("+"), F.regexp_extract(m, r"^(\+[0-9]{1,3})[ .(-]", 1)).otherwise("")
+    head = F.regexp_extract(m, rf"^(\+(?:{COUNTRY_CODES}))", 1)
     rest = F.substring(m, F.length(head) + 1, F.length(m))
-    return F.when(F.length(_digits(rest)).between(7, 15), F.concat(head, _refill(rest, permute_digits(key, "phone", _digits(rest)))))
+    return F.when((F.length(_digits(m)) >= 7) & (F.length(_digits(rest)) <= 15), F.concat(head, _refill(rest, permute_digits(key, "phone", _digits(rest)))))
 
 
 def pseudonym(key: str, m: Column) -> Column:
