@@ -31,14 +31,18 @@ SAMPLE_PAGES, SAMPLE_PARAGRAPHS, PARAGRAPH_WORDS, MADE_PAGES = 300, 30, 400, 900
 SEEDS = ("The committee met on Monday to hear what had been found, and it will say more in spring.", "A short note on method.", "Rain fell on the hills for three days before the river rose, and nobody who lived there was surprised by it.")
 TREES, DEPTH, BINS, RATE = 40, 4, 32, 0.3
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+# A part of a tag behind its name, quotes closed, and all such parts.
+PART, PARTS = (re.compile(p) for p in (r"""[^>"']+|"[^"]*"|'[^']*'""", r"""(?:[^>"']+|"[^"]*"|'[^']*')*+"""))
 ATTRIBUTE = re.compile(r"""(class|id|role|data-y)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 SPLIT = re.compile(r"[^a-z0-9]+")
 SPACE = re.compile(r"\s+")
 # Fixed by HTML: elements without content, with raw content, inline elements, and those that an open p ends at.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object select xmp noembed noframes".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+RAW = frozenset("script style template iframe textarea title svg select noembed noframes".split())
+# Formulas stand within sentences, each of their parts an inline element.
+MATH = frozenset("math annotation annotation-xml maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark object q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
@@ -69,6 +73,25 @@ class Page:
     runs: list[tuple[int, str, bool, bool]]
 
 
+def tag_end(text: str, at: int, lost: set[int]) -> int:
+    """The place of the > that ends the tag whose name ends at ``at``, quoted ones passed over.
+
+    Where quotes lead to none, it is the next > at all, or the text's end. Places between parts that lead to none are kept
+    in ``lost``, so that no way is taken twice.
+    """
+    if not lost and (k := PARTS.match(text, at).end()) < len(text) and text[k] == ">":
+        return k
+    k, way = at, []
+    while k not in lost and (part := PART.match(text, k)):
+        way.append(k)
+        k = part.end()
+    if k not in lost and text.startswith(">", k):
+        return k
+    lost.update(way, [k])
+    k = text.find(">", at)
+    return k if k >= 0 else len(text)
+
+
 def parse(text: str, labelled: bool = False) -> Page:
     """The page's block tree. Mark-up, comments, scripts, styles and other raw elements give no text.
 
@@ -88,6 +111,7 @@ def parse(text: str, labelled: bool = False) -> Page:
         return gone.count("a")
 
     links, fresh, at, n = 0, True, 0, len(text)
+    lost: set[int] = set()
     while at < n:
         m = TOKEN.search(text, at)
         end = m.start() if m else n
@@ -97,12 +121,13 @@ def parse(text: str, labelled: bool = False) -> Page:
         if not m:
             break
         at = m.end()
-        closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        closing, name = m[1], m[2]
         if not name:
             if m[0].startswith("<![CDATA["):
                 page.runs.append((stack[-1][1], m[0][9:].removesuffix("]]>"), links > 0, fresh))
             continue
-        name = name.lower()
+        name, stop = name.lower(), tag_end(text, at, lost)
+        attributes, at = text[at:stop], stop + 1
         if closing:
             if opened[name] > 0:
                 links -= leave(next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == name))
@@ -112,7 +137,7 @@ def parse(text: str, labelled: bool = False) -> Page:
             fresh = fresh or name != "wbr"
             continue
         if name in RAW:
-            if not attributes.rstrip().endswith("/") or name not in ("svg", "math"):
+            if not attributes.rstrip().endswith("/") or name != "svg":
                 close = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(text, at)
                 at = close.end() if close else n
             continue

@@ -304,3 +304,47 @@ def test_badly_nested_pages_take_linear_time(page):
     began = time.process_time()
     html_text.parse(page)
     assert time.process_time() - began < 10
+
+
+def text_of(html):
+    page = html_text.parse(html)
+    return html_text.kept_text(page, [True] * len(page.parent))
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</p>", "Let x=2 hold"),
+        ("<p>a <object data='x'>the <b>film</b></object> b</p>", "a the film b"),
+        ("<p>a</p><noscript><p>b</p></noscript>c", "a b c"),
+        ('<p title="1 > 0">a</p>', "a"),
+        ("<p title='\">\"'>a<p>b", "a b"),
+        ('<p title="x>a</p><p>b', "a b"),
+        ('<a ">" <b>c', "c"),
+        ("a<script>if (x > '</p>') y</script><style>p > a</style><svg><text>t</text></svg><svg/>b", "ab"),
+        ("a<p", "a"),
+    ],
+)
+def test_text_of_pages(html, text):
+    assert text_of(html) == text
+
+
+@pytest.mark.parametrize("unit", ['<a ">" ', "<a '>' ", '<a x="', "<a x='\"", "<a \">'<b '>\" ", "<div>", "<b>", "<div></p>", "<math><mi>x", "<!-- ", "<![CDATA[", "</", "<noscript>", "<a class=\"", "&#"])
+def test_pages_are_parsed_in_linear_time(unit):
+    """A megabyte of what is never closed."""
+    start = time.process_time()
+    html_text.parse(unit * (1_000_000 // len(unit)))
+    assert time.process_time() - start < 10
+
+
+def test_tag_ends_are_those_of_a_plain_search():
+    """With what earlier searches have found out, and without."""
+    rng = random.Random(6)
+    whole = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""")
+    for _ in range(3000):
+        text = "".join(rng.choice("<>\"'a ") for _ in range(rng.randint(0, 25)))
+        lost: set[int] = set()
+        for at in range(len(text) + 1):
+            m = whole.match(text, at)
+            k = text.find(">", at)
+            assert html_text.tag_end(text, at, lost) == (m.end() - 1 if m else k if k >= 0 else len(text))
