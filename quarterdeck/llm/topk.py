@@ -88,14 +88,22 @@ class ImpactIndex:
 def _search(k: int):
     """Over rows sorted by block and kind (0: vector of the block, 1: query): each query's k best of the block."""
 
-    def rows(batch: pa.RecordBatch, dims: int) -> np.ndarray:
-        lists = batch.column(3)
+    def components(batch: pa.RecordBatch, dims: int) -> np.ndarray:
+        lists = batch.column(4)
         size = np.diff(lists.offsets.to_numpy())
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         out = np.zeros((batch.num_rows, max(dims, int(size.max(initial=0)))), np.int64)
         out[np.arange(out.shape[1])[None, :] < size[:, None]] = flat
         return out
 
+    def indexed(held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> tuple[pa.Array, np.ndarray, ImpactIndex]:
+        """The block's ids and row keys by ascending id, null last, and the index of their places."""
+        width = max(x.shape[1] for _, _, x in held)
+        ids, rows = pa.concat_arrays([i for i, _, _ in held]), np.concatenate([r for _, r, _ in held])
+        order = np.lexsort((rows, ids.fill_null(0).to_numpy(), ids.is_null().to_numpy(zero_copy_only=False)))
+        x = np.concatenate([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for _, _, x in held])[order]
+        return ids.take(pa.array(order)), rows[order], ImpactIndex(np.arange(len(order)), x)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, index = None, [], None
         for batch in batches:
@@ -108,55 +116,60 @@ def _search(k: int):
                 if key[a] // 2 != block:
                     block, held, index = key[a] // 2, [], None
                 if key[a] % 2 == 0:
-                    held.append((part.column(2).to_numpy(), rows(part, 0)))
+                    held.append((part.column(2), part.column(3).to_numpy(), components(part, 0)))
                     continue
                 if not held and index is None:
                     continue
                 if index is None:
-                    width = max(x.shape[1] for _, x in held)
-                    index = ImpactIndex(np.concatenate([i for i, _ in held]), np.concatenate([np.pad(x, ((0, 0), (0, width - x.shape[1]))) for _, x in held]))
-                    held = []
+                    ids, rows, index = indexed(held)
+                    plain, held = ids.fill_null(0).to_numpy(), []
                 for c in range(0, part.num_rows, ASIDE):
                     some = part.slice(c, ASIDE)
-                    own = some.column(2).to_numpy()
-                    found = index.search_all(rows(some, index.x.shape[1])[:, : index.x.shape[1]], k + 1)
-                    keep = [np.flatnonzero(ids != q)[:k] for q, (ids, _) in zip(own, found)]
-                    columns = np.repeat(own, [len(x) for x in keep]), np.concatenate([ids[x] for x, (ids, _) in zip(keep, found)]), np.concatenate([s[x] for x, (_, s) in zip(keep, found)])
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["query_id", "vec_id", "score"])
+                    own, row = some.column(2).fill_null(0).to_numpy(), some.column(3).to_numpy()
+                    found = index.search_all(components(some, index.x.shape[1])[:, : index.x.shape[1]], k + 1)
+                    keep = [np.flatnonzero((rows[at] != r) | (plain[at] != q))[:k] for q, r, (at, _) in zip(own, row, found)]
+                    asked = pa.array(np.repeat(np.arange(len(own)), [len(x) for x in keep]))
+                    places = pa.array(np.concatenate([at[x] for x, (at, _) in zip(keep, found)]))
+                    scores = pa.array(np.concatenate([s[x] for x, (_, s) in zip(keep, found)]))
+                    yield pa.RecordBatch.from_arrays([some.column(2).take(asked), some.column(3).take(asked), ids.take(places), scores], ["query_id", "query_row", "vec_id", "score"])
 
     return run
 
 
 def integer_vectors(df: DataFrame, scale: float = 64.0, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """vec_id, x: floor(scale * component) of every vector that is not null and has only finite components.
+    """vec_id, row, x: floor(scale * component) of every vector that is not null and has only finite components.
 
-    A null vec_id takes no part. Of several rows with one vec_id the least vector counts.
+    Each row takes part by itself, those of one vec_id or none too. ``row`` tells the rows of a vec_id apart: it is a hash of
+    the vec_id, the vector and its number among equal ones, so that it is the same at every run.
     """
     finite = ~F.exists(F.col(vector), lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     x = F.transform(F.col(vector), lambda v: F.floor(v.cast("double") * F.lit(scale)).cast("long"))
-    valid = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull() & F.coalesce(finite, F.lit(False)))
-    return valid.select(F.col(key).cast("long").alias("vec_id"), x.alias("x")).groupBy("vec_id").agg(F.min("x").alias("x"))
+    valid = df.where(F.col(vector).isNotNull() & F.coalesce(finite, F.lit(False)))
+    alike = valid.select(F.col(key).cast("long").alias("vec_id"), x.alias("x")).groupBy("vec_id", "x").agg(F.count(F.lit(1)).alias("n"))
+    each = alike.select("vec_id", "x", F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"))
+    return each.select("vec_id", F.xxhash64("vec_id", "x", "copy").alias("row"), "x")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, block: int | None = None) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k best vectors by integer inner product, its own id left out.
+    """query_id, rank, vec_id, score: each query's k best vectors by integer inner product, its own row left out.
 
-    Both inputs have vec_id, x. Vectors of different lengths are compared over the shorter one's. Ties go to the smaller
-    vec_id. Every query meets every block; a task is one block of ``block`` rows (CELLS components, if not given) and one
-    group of queries. Empty inputs give an empty result.
+    Both inputs have vec_id, row, x, as ``integer_vectors`` gives them; equal vec_id and row are one row. Rows that share a
+    vec_id are candidates and queries each by itself. Vectors of different lengths are compared over the shorter one's, so
+    that empty ones have score 0 with all. Ties go to the smaller vec_id, null last. Every query meets every block; a task is one block of
+    ``block`` rows (CELLS components, if not given) and one group of queries. Empty inputs give an empty result.
     """
     n, dims = vectors.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
     blocks = max(1, -(-n // (block or max(1, CELLS // max(dims or 1, 1)))))
     groups = max(1, -(-queries.count() // GROUP))
     whole = lambda x: F.lit(x).cast("long")
-    deal = lambda seed, many: F.pmod(F.xxhash64("vec_id", F.lit(seed)), whole(many))
+    deal = lambda seed, many: F.pmod(F.xxhash64("row", F.lit(seed)), whole(many))
     every = lambda many: F.explode(F.sequence(whole(0), whole(many - 1)))
-    own = vectors.select(deal(1, blocks).alias("b"), every(groups).alias("g"), whole(0).alias("kind"), "vec_id", "x")
-    asked = queries.select(every(blocks).alias("b"), deal(2, groups).alias("g"), whole(1).alias("kind"), "vec_id", "x")
-    tiles = own.unionByName(asked).select((F.col("b") * groups + F.col("g")).alias("tile"), "kind", "vec_id", "x")
+    own = vectors.select(deal(1, blocks).alias("b"), every(groups).alias("g"), whole(0).alias("kind"), "vec_id", "row", "x")
+    asked = queries.select(every(blocks).alias("b"), deal(2, groups).alias("g"), whole(1).alias("kind"), "vec_id", "row", "x")
+    tiles = own.unionByName(asked).select((F.col("b") * groups + F.col("g")).alias("tile"), "kind", "vec_id", "row", "x")
     dealt = tiles.repartitionById(blocks * groups, F.col("tile").cast("int")).sortWithinPartitions("tile", "kind")
-    found = dealt.mapInArrow(_search(k), "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = dealt.mapInArrow(_search(k), "query_id long, query_row long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -167,16 +180,16 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP8_SQL = """
-with v as (
-  select vec_id, min(list_transform(embedding, lambda c: cast(floor(64.0 * cast(c as double)) as bigint))) as x
-  from embeddings
-  where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0
-  group by vec_id),
+with e as materialized (select row_number() over () as r, vec_id, embedding from embeddings),
+v as materialized (
+  select r, vec_id, list_transform(embedding, lambda c: cast(floor(64.0 * cast(c as double)) as bigint)) as x
+  from e
+  where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
 n as (select generate_series as d from generate_series(1, (select coalesce(max(len(x)), 0) from v))),
-c as (select v.vec_id, n.d, v.x[n.d] as x from v join n on n.d <= len(v.x)),
-s as (select q.vec_id as query_id, c.vec_id, cast(sum(q.x * c.x) as bigint) as score
-      from c as q join c on q.d = c.d and q.vec_id <> c.vec_id where q.vec_id % 20 = 0 group by all),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+c as materialized (select v.r, v.vec_id, n.d, v.x[n.d] as x from v join n on n.d <= len(v.x)),
+s as (select q.r as query, c.r, sum(q.x * c.x) as score from c as q join c on q.d = c.d where q.vec_id % 20 = 0 group by all),
+p as (select q.r as query, q.vec_id as query_id, v.vec_id, cast(coalesce(s.score, 0) as bigint) as score
+      from v as q join v on q.r <> v.r left join s on s.query = q.r and s.r = v.r where q.vec_id % 20 = 0),
+r as (select *, row_number() over (partition by query order by score desc, vec_id nulls last) as rank from p)
 select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 20
 """

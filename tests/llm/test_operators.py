@@ -7,7 +7,9 @@ import re
 import struct
 from collections import Counter
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -611,18 +613,29 @@ def test_pipeline_drops_near_copies(spark, chunk, monkeypatch):
 
 
 def test_top_k(spark):
+    """Against brute force and the query's SQL, with null, repeated and empty rows, of which each takes part by itself."""
     rng = np.random.default_rng(9)
-    v = [(k, [float(x) for x in rng.normal(size=6).round(1)]) for k in range(200)] + [(500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (None, [0.0] * 6), (20, [9.0] * 6)]
+    v = [(k, [float(x) for x in rng.normal(size=6).round(1)]) for k in range(200)]
+    v += [(500, None), (501, [1.0, None]), (502, [float("nan")] * 6), (503, [float("inf")] * 6), (None, [0.0] * 6), (None, [3.0] * 6), (20, [9.0] * 6), (20, [9.0] * 6), (40, v[40][1]), (7, v[7][1]), (510, []), (520, []), (530, [1.0, 2.0])]
     df = spark.createDataFrame(v, "vec_id long, embedding array<float>").withColumn("score", F.lit(1))
     ints = topk.integer_vectors(df)
-    x = {r.vec_id: np.array(r.x) for r in ints.collect()}
-    assert sorted(x) == list(range(200)) and (x[3] == np.floor(64 * np.float64(np.float32(v[3][1])))).all()
-    got = [tuple(r) for r in topk.top_k(ints, ints.where("vec_id % 20 = 0"), k=7, block=50).collect()]
-    want = []
-    for q in range(0, 200, 20):
-        best = sorted(((-int(x[q] @ x[i]), i) for i in x if i != q))[:7]
-        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(best)]
-    assert sorted(got) == sorted(want)
+    rows = [(i, np.floor(64 * np.array(x, np.float32).astype(float)).astype(int)) for i, x in v if x is not None and None not in x and np.isfinite(x).all()]
+    assert len(rows) == ints.count() == ints.select("vec_id", "row").distinct().count() == 209
+
+    def brute(k):
+        out = []
+        for q, (query, w) in enumerate(rows):
+            if query is not None and query % 20 == 0:
+                score = lambda x: int(sum(a * b for a, b in zip(w, x)))
+                best = sorted((-score(x), i is None, i or 0) for c, (i, x) in enumerate(rows) if c != q)[:k]
+                out += [(query, n + 1, None if none else i, -s) for n, (s, none, i) in enumerate(best)]
+        return sorted(out, key=str)
+
+    for block in (50, 3, None):
+        got = [tuple(r) for r in topk.top_k(ints, ints.where("vec_id % 20 = 0"), k=7, block=block).collect()]
+        assert sorted(got, key=str) == brute(7)
+    embeddings = pa.table({"vec_id": pa.array([i for i, _ in v], pa.int64()), "embedding": pa.array([x for _, x in v], pa.list_(pa.float32()))})  # noqa: F841
+    assert sorted(duckdb.sql(topk.OP8_SQL).fetchall(), key=str) == brute(20)
     few = ints.where("vec_id < 3")
     assert topk.top_k(few, few.where("vec_id = 0")).count() == 2 and topk.top_k(ints.limit(0), ints.limit(0)).count() == 0
 
