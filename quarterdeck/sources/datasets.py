@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import BinaryIO
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +31,8 @@ TABLES: dict[str, tuple[str, ...]] = {
     "SIGNATURE": ("accession_number", "name", "title", "phone", "signature", "city", "stateorcountry", "signaturedate"),
     "SUMMARYPAGE": ("accession_number", "otherincludedmanagerscount", "tableentrytotal", "tablevaluetotal", "isconfidentialomitted"),
 }
+LINES = "dataset string, table string, line_no long, line string"
+BLOCK_CHARS = 1 << 24
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 
@@ -94,38 +99,68 @@ def ragged_rows(spark: SparkSession, path: str) -> DataFrame:
     return lines.join(header, "source_file").where("fields <> expected").select("source_file", "value", "fields", "expected")
 
 
-def extract_archives(spark: SparkSession, path: str, block: int = 20_000) -> DataFrame:
-    """``unpack_archives`` of the files at a path."""
-    return unpack_archives(spark.read.format("binaryFile").load(path).select("path", "content"), block)
+def open_path(path: str) -> BinaryIO:
+    """A file at a local path or a URI, opened for reading from any place in it."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return open("/" + rest.lstrip("/") if colon else path, "rb")
+    try:
+        system, place = pyarrow.fs.FileSystem.from_uri(path)
+    except pa.ArrowInvalid as e:
+        raise ValueError(f"{path}: give extract_archives an opener for this store, or read archives of up to 2 GB by unpack_archives") from e
+    return system.open_input_file(place)
+
+
+def _blocks(name: str, file: BinaryIO, tables: Iterable[str], block: int) -> Iterator[pd.DataFrame]:
+    """The lines of an archive's tables, at most ``block`` of them or about BLOCK_CHARS at a time; an archive that lacks any table fails."""
+    dataset = name.rsplit("/", 1)[-1].removesuffix(".zip")
+    with zipfile.ZipFile(file) as archive:
+        members = {m.rsplit("/", 1)[-1].upper(): m for m in archive.namelist()}
+        for table in TABLES:
+            if f"{table}.TSV" not in members:
+                raise ValueError(f"{name} has no {table}.tsv")
+        for table in tables:
+            made = lambda no, lines: pd.DataFrame({"dataset": dataset, "table": table, "line_no": range(no, no + len(lines)), "line": lines})  # noqa: B023, E731
+            with archive.open(members[f"{table}.TSV"]) as f:
+                lines, no, size = [], 0, 0
+                for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
+                    lines.append(line.rstrip("\r\n"))
+                    size += len(line)
+                    if len(lines) == block or size >= BLOCK_CHARS:
+                        yield made(no, lines)
+                        lines, no, size = [], no + len(lines), 0
+                if lines:
+                    yield made(no, lines)
+
+
+def extract_archives(spark: SparkSession, path: str, block: int = 20_000, opener: Callable[[str], BinaryIO] = open_path) -> DataFrame:
+    """dataset, table, line_no (0: the header), line of the members of every archive at a path, of any size.
+
+    Spark lists the files; their bytes pass no cell. Each table of each archive is a task, which opens the archive by
+    ``opener``, reads its directory, and holds one block of one member's lines. Members are matched by base name, in whatever
+    folder; an archive that lacks a table fails.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path")
+    members = files.select("path", F.explode(F.array(*map(F.lit, TABLES))).alias("table"))
 
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, table in zip(batch["path"], batch["table"]):
+                with opener(name) as f:
+                    yield from _blocks(name, f, [table], block)
 
-def unpack_archives(files: DataFrame, block: int = 20_000) -> DataFrame:
-    """dataset, table, line_no (0: the header), line of the members of every archive (path, content).
+    return members.repartition(max(1, len(TABLES) * files.count())).mapInPandas(unpack, LINES)
 
-    Members are matched by base name, in whatever folder; an archive that lacks a table fails. Archives are unpacked in
-    parallel, and each gives its lines in blocks, so that a task holds the packed bytes and one block.
-    """
+
+def unpack_archives(files: DataFrame, block: int = 20_000) -> DataFrame:
+    """The same of archives (path, content) that are held in a table, of up to 2 GB each; an archive is a task's."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, content in zip(batch["path"], batch["content"]):
-                dataset = name.rsplit("/", 1)[-1].removesuffix(".zip")
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = {m.rsplit("/", 1)[-1].upper(): m for m in archive.namelist()}
-                    for table in TABLES:
-                        if f"{table}.TSV" not in members:
-                            raise ValueError(f"{name} has no {table}.tsv")
-                        with archive.open(members[f"{table}.TSV"]) as f:
-                            lines, no = [], 0
-                            for line in io.TextIOWrapper(f, "utf-8", newline="\n"):
-                                lines.append(line.rstrip("\r\n"))
-                                if len(lines) == block:
-                                    yield pd.DataFrame({"dataset": dataset, "table": table, "line_no": range(no, no + len(lines)), "line": lines})
-                                    no, lines = no + len(lines), []
-                            if lines:
-                                yield pd.DataFrame({"dataset": dataset, "table": table, "line_no": range(no, no + len(lines)), "line": lines})
-
-    return files.mapInPandas(unpack, "dataset string, table string, line_no long, line string")
+                yield from _blocks(name, io.BytesIO(content), TABLES, block)
+
+    return files.mapInPandas(unpack, LINES)
 
 
 def write_extracted(lines: DataFrame, out: str) -> DataFrame:

@@ -51,6 +51,42 @@ def test_archives(spark, tmp_path):
         datasets.extract_archives(spark, str(tmp_path / "bad.zip")).collect()
 
 
+def test_archives_of_any_size_are_read_a_member_a_task(spark, tmp_path):
+    """More than a cell can hold: 2.2 GB in one member, in long lines, read in blocks."""
+    n, width = 2200, 1 << 20
+    path = tmp_path / "large 2013q3_form13f.zip"
+    try:
+        with zipfile.ZipFile(path, "w") as z:
+            for t in datasets.TABLES:
+                with z.open(f"{t}.tsv", "w", force_zip64=True) as f:
+                    f.write(b"header\r\n")
+                    for k in range(n if t == "INFOTABLE" else 3):
+                        f.write(b"%07d" % k + b"x" * (width - 7 if t == "INFOTABLE" else 1) + b"\n")
+        assert path.stat().st_size > 2**31
+        lines = datasets.extract_archives(spark, str(tmp_path / "*.zip"))
+        assert lines.rdd.getNumPartitions() == len(datasets.TABLES)
+        per_task = lines.select(F.spark_partition_id().alias("task"), "table").distinct().groupBy("task").count()
+        assert [r["count"] for r in per_task.collect()] == [1] * len(datasets.TABLES)
+        found = lines.groupBy("dataset", "table").agg(F.count("*").alias("n"), F.sum(F.length("line")).alias("size"), F.sum((F.substring("line", 1, 7) == F.lpad((F.col("line_no") - 1).cast("string"), 7, "0")).cast("int")).alias("numbered"))
+        got = {(r.dataset, r.table): (r.n, r["size"], r.numbered) for r in found.collect()}
+        assert got == {(path.stem, t): (n + 1, n * width + 6, n) if t == "INFOTABLE" else (4, 3 * 8 + 6, 3) for t in datasets.TABLES}
+    finally:
+        path.unlink()
+
+
+def test_archives_by_another_opener(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for t in datasets.TABLES:
+            z.writestr(f"{t}.tsv", "h\n" + "\n".join(f"{t}{k}" for k in range(7)) + "\n")
+    lines = datasets.extract_archives(spark, str(tmp_path), block=3, opener=lambda p: open(p.removeprefix("file:"), "rb"))
+    got = sorted((r.table, r.line_no, r.line) for r in lines.collect())
+    assert got == sorted((t, k, "h" if k == 0 else f"{t}{k - 1}") for t in datasets.TABLES for k in range(8))
+    packed = datasets.unpack_archives(spark.read.format("binaryFile").load(str(tmp_path)).select("path", "content"), block=2)
+    assert sorted((r.table, r.line_no, r.line) for r in packed.collect()) == got
+    with pytest.raises(ValueError, match="opener"):
+        datasets.open_path("unheardof://store/a.zip")
+
+
 def test_catalog(spark):
     links = spark.createDataFrame([("/x/01jan2024-29feb2024_form13f.zip",), ("/x/2013q2_form13f.zip",), ("/x/31feb2024-01mar2024_form13f.zip",), ("/x/other.zip",)], "link string")
     got = {r.dataset: (r["first"], r["last"]) for r in datasets.catalog(links).collect()}
