@@ -82,6 +82,11 @@ def folder_of(cik: Column | str, accession: Column | str) -> Column:
     return F.concat_ws("/", F.lit("edgar/data"), F.regexp_replace(_c(cik), "^0+", ""), F.regexp_replace(_c(accession), "-", ""))
 
 
+def safe_text(c: Column | str) -> Column:
+    """Text for keys: letters, digits, dots, dashes and underscores stay, any other character becomes a dash."""
+    return F.regexp_replace(_c(c), "[^A-Za-z0-9_.-]", "-")
+
+
 def quarter_path(d: Column | str) -> Column:
     """YYYY/QTRn of a date, as daily indexes are laid out."""
     return F.concat(F.year(_c(d)).cast("string"), F.lit("/QTR"), F.quarter(_c(d)).cast("string"))

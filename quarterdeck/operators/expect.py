@@ -17,6 +17,23 @@ def not_null(df: DataFrame, *columns: str) -> DataFrame:
     return df.where(" or ".join(f"`{c}` is null" for c in columns))
 
 
+def missing(*columns: str) -> str:
+    """The rule of rows that lack one of these."""
+    return " or ".join(f"`{c}` is null" for c in columns)
+
+
+def not_among(column: str, *values: str) -> str:
+    """The rule of rows with another value; a missing one passes."""
+    texts = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return f"coalesce(`{column}` not in ({texts}), false)"
+
+
+def broken_rows(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """Rows that break any rule, and in ``broken`` the names of those they break, in order; one pass for all rules."""
+    hits = F.array_compact(F.array(*[F.when(F.expr(rule), F.lit(name)) for name, rule in rules.items()]))
+    return df.withColumn("broken", hits).where(F.size("broken") > 0)
+
+
 def accepted_values(df: DataFrame, column: str, *values: str) -> DataFrame:
     """Rows with another value; a missing one passes."""
     return df.where(~F.col(column).isin(*values))

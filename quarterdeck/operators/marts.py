@@ -12,11 +12,13 @@ TOP_FILERS, TOP_POSITIONS = 100, 10
 def positions(canonical: DataFrame) -> DataFrame:
     """One row per filer, period, security and side; an amount only where all rows have one amount type.
 
-    Whether types agree is read off their minimum, maximum and count, so that only filings are counted distinct.
+    Whether types agree is read off their minimum, maximum and count, so that only filings are counted distinct. Holdings go to
+    their filer's period at once: that one exchange serves the count of filings, the sums, and storage by filer and period.
     """
     kind = F.col("shares_or_principal_amount_type")
     alike = (F.min(kind) == F.max(kind)) & (F.count(kind) == F.count(F.lit(1)))
-    return canonical.groupBy(*POSITION).agg(
+    needed = canonical.select(*POSITION, "accession_number", "value_usd", "shares_or_principal_amount_type", "shares_or_principal_amount")
+    return needed.repartition(*POSITION[:2]).groupBy(*POSITION).agg(
         F.count(F.lit(1)).alias("holding_count"), F.count_distinct("accession_number").alias("filing_count"), F.sum("value_usd").alias("value_usd"),
         F.when(alike, F.min(kind)).alias("shares_or_principal_amount_type"), F.when(alike, F.sum("shares_or_principal_amount")).alias("shares_or_principal_amount"),
     ).withColumn("is_option", F.col("put_call").isNotNull())

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from quarterdeck.operators import dimensions, holdings, lineage, marts, quality
 
@@ -25,14 +27,67 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: several tables read it, and a lost executor costs no rebuild."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+#: What tables are bucketed by where they are stored: the keys by which others join and group them.
+ACCESSION, LINEAGE = ("accession_number",), lineage.LINEAGE
+BUCKETED = {
+    "filings": ACCESSION, "as_filed": ACCESSION, "filing_value_units": ACCESSION, "holdings": ACCESSION, "addition_coverage": ACCESSION, "lineage_filings": ACCESSION, "state": ACCESSION,
+    "positions": LINEAGE, "filer_periods": LINEAGE,
+}
+#: The layers of a stored build, each a database, and their tables.
+LAYERS = {
+    "core": ("filings", "filing_value_units", "holdings", "addition_coverage", "lineage_filings", "canonical_holdings", "data_quality_rows"),
+    "marts": ("filers", "periods", "securities", "positions", "filer_periods", "position_changes", "filer_overlaps"),
+}
+
+
+def buckets(spark: SparkSession) -> int:
+    """The buckets of stored tables: ``spark.quarterdeck.buckets``, or the shuffle's partitions. Tables meet without an exchange if theirs are equal."""
+    return int(spark.conf.get("spark.quarterdeck.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _same(df: DataFrame) -> DataFrame:
+    return df
+
+
+def _store(df: DataFrame, table: str, by: tuple[str, ...], path: str | None = None, watch: Callable[[DataFrame], DataFrame] = _same) -> DataFrame:
+    """``df`` as a table, replaced whole; bucketed and sorted by ``by``, a file a bucket. The exchange goes where ``df`` is partitioned so.
+
+    Spark trusts the order of buckets of one file each where ``spark.sql.legacy.bucketedTableScan.outputOrdering`` is set, as it is here.
+    """
+    n = buckets(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", True)
+    out = (watch(df.repartition(n, *by)).write.bucketBy(n, *by).sortBy(*by) if by else watch(df).write).mode("overwrite")
+    (out.option("path", path) if path else out).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def written(df: DataFrame, name: str, by: tuple[str, ...] = (), watch: Callable[[DataFrame], DataFrame] = _same) -> DataFrame:
+    """``df`` written to the shared folder and read back: several tables read it, and a lost executor costs no rebuild.
+
+    With ``by`` it is bucketed by these columns, so that what joins or groups by them reads it without an exchange. ``watch`` may
+    add an observation to what is written; it goes behind the last exchange.
+    """
+    spark, own = df.sparkSession, uuid.uuid4().hex
+    path = f"{shared_folder(spark)}/{name}-{own}"
+    if by:
+        return _store(df, f"{re.sub('[^a-z0-9]', '_', name)}_{own}", by, path, watch)
+    watch(df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_checked(df: DataFrame, name: str, rules: dict[str, str], by: tuple[str, ...] = ()) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` as written, its number of rows, and how many break each rule, counted by the tasks that write it.
+
+    The counts are of the last stage, of which each partition counts once, whatever tasks were lost. ``expect.broken_rows`` has the rows.
+    """
+    seen = Observation()
+    names = {f"_{k}": rule for k, rule in enumerate(rules)}
+    metrics = [F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.expr(rules[rule])).alias(k) for k, rule in names.items()]]
+    out = written(df, name, by, lambda d: d.observe(seen, *metrics))
+    found = seen.get
+    return out, {"rows": found.get("_rows", 0)} | {rule: found.get(k, 0) for k, rule in names.items()}
+
+
 @dataclass
 class Tables:
     """The tables of a build. Core tables that several others read are written."""
@@ -54,24 +109,41 @@ class Tables:
 
 
 def build(filings: DataFrame, as_filed: DataFrame, top_n: int = marts.TOP_FILERS, write: bool = False) -> Tables:
-    """All tables; with ``write`` those that are read often are written to the shared folder first, else all stay lazy."""
-    keep = written if write else lambda df, _: df
-    units = keep(holdings.filing_value_units(filings, as_filed), "units")
+    """All tables; with ``write`` those that are read often are written to the shared folder first, else all stay lazy.
+
+    Written tables are bucketed as ``BUCKETED`` says. Inputs that are, too, spare the holdings every exchange by accession.
+    """
+    keep = (lambda df, name: written(df, name, BUCKETED.get(name, ()))) if write else lambda df, _: df
+    units = keep(holdings.filing_value_units(filings, as_filed), "filing_value_units")
     held = keep(holdings.holdings(as_filed, units), "holdings")
-    coverage = keep(lineage.addition_coverage(filings, held), "coverage")
-    chain = keep(lineage.lineage_filings(filings, coverage), "lineage")
-    canonical = keep(holdings.canonical_holdings(held, chain, filings), "canonical")
+    coverage = keep(lineage.addition_coverage(filings, held), "addition_coverage")
+    chain = keep(lineage.lineage_filings(filings, coverage), "lineage_filings")
+    canonical = keep(holdings.canonical_holdings(held, chain, filings), "canonical_holdings")
     state = keep(quality.filing_state(filings, chain), "state")
-    checks = keep(quality.data_quality_rows(state, held, coverage, units), "quality")
+    checks = keep(quality.data_quality_rows(state, held, coverage, units), "data_quality_rows")
     who, when = dimensions.filers(filings), dimensions.periods(chain)
     what = keep(dimensions.securities(canonical), "securities")
     where = keep(marts.positions(canonical), "positions")
-    spans = keep(marts.filer_periods(where, when, who, chain, filings, checks), "filer-periods")
+    spans = keep(marts.filer_periods(where, when, who, chain, filings, checks), "filer_periods")
     changes = marts.position_changes(spans, where, what)
     return Tables(filings, units, held, coverage, chain, canonical, checks, who, when, what, where, spans, changes, marts.filer_overlaps(spans, where, top_n))
 
 
 def save(tables: Tables, database: str) -> None:
-    """Every table of a build as a table of the database, replaced whole."""
+    """Every table of a build as a table of the database, replaced whole and bucketed as ``BUCKETED`` says."""
     for f in fields(tables):
-        getattr(tables, f.name).write.mode("overwrite").saveAsTable(f"{database}.{f.name}")
+        df = getattr(tables, f.name)
+        _store(df, f"{database}.{f.name}", tuple(c for c in BUCKETED.get(f.name, ()) if c in df.columns))
+
+
+def save_layers(tables: Tables, prefix: str = "", root: str | None = None) -> list[tuple[str, str]]:
+    """Every table of a build in the database of its layer, whose name ``prefix`` comes before; gives layers and tables.
+
+    Databases that don't exist are created below ``root``, or where the warehouse has them.
+    """
+    spark = tables.filings.sparkSession
+    for layer, names in LAYERS.items():
+        spark.sql(f"create database if not exists `{prefix}{layer}`" + (f" location '{root}/{prefix}{layer}'" if root else ""))
+        for name in names:
+            _store(getattr(tables, name), f"`{prefix}{layer}`.{name}", BUCKETED.get(name, ()))
+    return [(layer, name) for layer, names in LAYERS.items() for name in names]

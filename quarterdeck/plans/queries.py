@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterdeck.functions import columns as C
 from quarterdeck.operators import expect, holdings as H, ingest, lineage as L, marts, observability as O, profile as P, quality, reconcile as R
 from quarterdeck.plans import landed as S, oracles as Q
-from quarterdeck.plans.build import Tables, build, written
+from quarterdeck.plans.build import BUCKETED, LAYERS, Tables, build, save_layers, shared_folder, written, written_checked
 from quarterdeck.plans.shaped import shaped
-from quarterdeck.sources import datasets as D, indexes as I
+from quarterdeck.sources import datasets as D, indexes as I, keys as K
 
 Query = Callable[[SparkSession, str], DataFrame]
 _built: dict[tuple[str, str], Tables] = {}
@@ -24,7 +26,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
         filings, as_filed = shaped(spark, sf_dir)
-        _built[key] = build(written(filings, "filings"), written(as_filed, "as-filed"), write=True)
+        _built[key] = build(written(filings, "filings", BUCKETED["filings"]), written(as_filed, "as-filed", BUCKETED["as_filed"]), write=True)
     return _built[key]
 
 
@@ -581,3 +583,78 @@ def _(spark, sf_dir):
 @query("portfolio_concentration", Q.of("select cik, period_of_report, round(top_ten_share, 9) as top_ten_share, round(hhi, 9) as hhi from filer_periods", "filer_periods"))
 def _(spark, sf_dir):
     return rounded(marts.portfolios(tables(spark, sf_dir).positions), "top_ten_share", "hhi").select(*L.LINEAGE, "top_ten_share", "hhi")
+
+
+# Rules in the scan that writes a table, layers of a stored build, and keys of landed files.
+
+#: Rules of rows by table, as what breaks them; the oracle counts the same by SQL of its own.
+RULES = {
+    "filings": {"no cover": expect.missing("filing_manager_name"), "no cover period": expect.missing("report_calendar_or_quarter"), "other origin": expect.not_among("origin", "data_set", "walk")},
+    "lineage_filings": {"other role": expect.not_among("filing_role", "original", "restatement", "addition", "notice"), "neither superseded nor contributing": "not is_superseded and not is_contributing", "no base": expect.missing("effective_position")},
+    "holdings": {"no identifier": expect.missing("figi"), "an option or no amount": "put_call is not null or shares_or_principal_amount is null", "not in dollars": expect.not_among("value_unit", "dollars")},
+    "position_changes": {"other kind": expect.not_among("change_kind", "entry", "exit", "increase", "decrease", "unchanged", "not comparable"), "no change of amount": expect.missing("amount_change")},
+}
+_SAME_RULES = {
+    ("filings", "filings"): {"no cover": "filing_manager_name is null", "no cover period": "report_calendar_or_quarter is null", "other origin": "origin <> 'data_set' and origin <> 'walk'"},
+    ("lineage_filings", "lineage"): {"other role": "filing_role <> 'original' and filing_role <> 'restatement' and filing_role <> 'addition' and filing_role <> 'notice'", "neither superseded nor contributing": "not (is_superseded or is_contributing)", "no base": "effective_position is null"},
+    ("holdings", "holdings"): {"no identifier": "figi is null", "an option or no amount": "coalesce(put_call, '') <> '' or shares_or_principal_amount is null", "not in dollars": "value_unit <> 'dollars'"},
+    ("position_changes", "changes"): {"other kind": "change_kind not in ('entry', 'exit', 'increase', 'decrease', 'unchanged', 'not comparable')", "no change of amount": "amount_change is null"},
+}
+_COUNTED = " union all ".join(
+    f"select '{table}' as table_name, '{name}' as rule, count(*) as n from {source} where {broken}" for (table, source), rules in _SAME_RULES.items() for name, broken in ({"rows": "true"} | rules).items()
+)
+
+
+@query("rules_of_written_tables", Q.of(_COUNTED, "lineage", "holdings", "changes"))
+def _(spark, sf_dir):
+    t, rows = tables(spark, sf_dir), []
+    for table, rules in RULES.items():
+        _, found = written_checked(getattr(t, table), f"checked-{table}", rules, BUCKETED.get(table, ()))
+        rows += [(table, rule, n) for rule, n in found.items()]
+    return spark.createDataFrame(rows, "table_name string, rule string, n long")
+
+
+_NAMED = ", ".join(f"case when {broken} then '{name}' end" for name, broken in _SAME_RULES["filings", "filings"].items())
+
+
+@query("filings_that_break_rules", Q.of(f"select accession_number, broken from (select accession_number, concat_ws('; ', {_NAMED}) as broken from filings) where broken <> ''"))
+def _(spark, sf_dir):
+    return expect.broken_rows(tables(spark, sf_dir).filings, RULES["filings"]).select("accession_number", F.array_join("broken", "; ").alias("broken"))
+
+
+_CTE_OF = {"filing_value_units": "units", "addition_coverage": "coverage", "lineage_filings": "lineage", "canonical_holdings": "canonical", "data_quality_rows": "dq", "position_changes": "changes", "filer_overlaps": "overlapping"}
+
+
+@query("stored_layers", Q.of(" union all ".join(f"select '{layer}' as layer, '{name}' as table_name, count(*) as n from {_CTE_OF.get(name, name)}" for layer, names in LAYERS.items() for name in names), *[n for n in Q.CORE if n in {_CTE_OF.get(x, x) for names in LAYERS.values() for x in names}]))
+def _(spark, sf_dir):
+    prefix, out = f"build_{uuid.uuid4().hex[:12]}_", None
+    for layer, name in save_layers(tables(spark, sf_dir), prefix, shared_folder(spark)):
+        part = spark.table(f"{prefix}{layer}.{name}").agg(F.count(F.lit(1)).alias("n")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_FILED = "filed=' || strftime(filing_date, '%Y-%m-%d') || '/"
+
+
+@query("landing_keys", Q.of(f"""
+  select accession_number, 'raw/edgar/index/form.' || strftime(filing_date, '%Y%m%d') || '.idx' as index_key,
+    'raw/edgar/filings/{_FILED}' || accession_number || '/primary_doc.xml' as cover_key, 'raw/edgar/filings/{_FILED}' || accession_number || '/infotable.xml' as table_key,
+    'parsed/edgar/filings/{_FILED}' || accession_number || '.jsonl' as parsed_key,
+    'raw/edgar/audit/walk/day=' || strftime(filing_date, '%Y-%m-%d') || '/walk--' || regexp_replace(submission_type, '[^A-Za-z0-9_.-]', '-', 'g') || '-/' || strftime(filing_date, '%Y-%m-%d') || 'T06-00.json' as walk_key,
+    'raw/sec/audit/backfill/walk--' || regexp_replace(submission_type, '[^A-Za-z0-9_.-]', '-', 'g') || '-/' || strftime(filing_date, '%Y-%m-%d') || 'T06-00.json' as backfill_key,
+    'raw/sec/datasets/' || year(filing_date) || 'q' || quarter(filing_date) || '_form13f.zip' as archive_key,
+    'extracted/sec/datasets/table=SUBMISSION/' || year(filing_date) || 'q' || quarter(filing_date) || '.tsv.gz' as extracted_key,
+    year(filing_date) || '/QTR' || quarter(filing_date) as quarter_path
+  from filings"""))
+def _(spark, sf_dir):
+    quarter = F.concat(F.year("filing_date").cast("string"), F.lit("q"), F.quarter("filing_date").cast("string"))
+    f = tables(spark, sf_dir).filings.withColumns({
+        "run": F.concat(F.lit("walk: "), "submission_type", F.lit("+")), "at": F.concat(F.col("filing_date").cast("string"), F.lit("T06:00")), "set": quarter, "zip": F.concat(quarter, F.lit("_form13f.zip")),
+    })
+    return f.select(
+        "accession_number", K.index_key("filing_date").alias("index_key"), K.filing_file_key("filing_date", "accession_number", K.COVER_NAME).alias("cover_key"),
+        K.filing_file_key("filing_date", "accession_number", K.TABLE_NAME).alias("table_key"), K.parsed_key("filing_date", "accession_number").alias("parsed_key"),
+        K.walk_audit_key("filing_date", "run", "at").alias("walk_key"), K.backfill_audit_key("run", "at").alias("backfill_key"), K.archive_key("zip").alias("archive_key"),
+        K.extracted_key(F.lit("SUBMISSION"), "set").alias("extracted_key"), C.quarter_path("filing_date").alias("quarter_path"),
+    )

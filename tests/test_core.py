@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarterdeck.functions import columns as C
 from quarterdeck.functions import cusip as S
 from quarterdeck.functions.medians import medians
-from quarterdeck.operators import dimensions, holdings, lineage, marts, quality
+from quarterdeck.operators import dimensions, expect, holdings, lineage, marts, quality
 from quarterdeck.plans.build import Tables, save
 
 Q = dt.date(2024, 3, 31)
@@ -236,3 +236,44 @@ def test_kth_values_of_many_groups(spark):
         own = sorted(v for x, v in rows if x == g and v is not None)
         want[g] = own[len(own) // 2]
     assert {r.g: r.m for r in profile.kth_values(spark.createDataFrame(rows, "g string, v long"), "g", "v", "m").collect()} == want
+
+
+def test_stored_tables_meet_without_an_exchange(spark):
+    from quarterdeck.plans.build import buckets, written
+
+    by, old = ("accession_number",), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        a = written(spark.range(200).selectExpr("cast(id % 20 as string) as accession_number", "id as v"), "left", by)
+        b = written(spark.range(20).selectExpr("cast(id as string) as accession_number", "id as w"), "right", by)
+        joined = a.join(b, "accession_number").groupBy("accession_number").agg(F.sum("v").alias("v"), F.max("w").alias("w"))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort [" not in plan
+        assert {(r.accession_number, r.v, r.w) for r in joined.collect()} == {(str(k), sum(range(k, 200, 20)), k) for k in range(20)}
+        assert len(a.inputFiles()) <= buckets(spark)  # one file a bucket, so that their order can be trusted
+        assert written(a.where("false"), "none", by).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_rules_are_counted_by_the_write(spark):
+    from quarterdeck.plans.build import written_checked
+
+    rows = spark.createDataFrame([("a", "x"), ("a", None), (None, "y"), ("b", "z")], "k string, v string")
+    rules = {"no key": expect.missing("k"), "other value": expect.not_among("v", "x", "y", "it's"), "it's both": "k is null and v is null"}
+    for by in ((), ("k",)):
+        out, found = written_checked(rows, "checked", rules, by)
+        assert found == {"rows": 4, "no key": 1, "other value": 1, "it's both": 0} and out.count() == 4
+        assert written_checked(rows.where("v = 'q'"), "checked", rules, by)[1] == dict.fromkeys(["rows", *rules], 0)
+    assert sorted((r.v, r.broken) for r in expect.broken_rows(rows, rules).collect()) == [("y", ["no key"]), ("z", ["other value"])]
+
+
+def test_keys_of_landed_files(spark):
+    from quarterdeck.sources import keys as K
+
+    df = spark.sql("select date '2024-02-05' as d, '0001-24-000001' as a, 'manual__a b/\u00e9:1' as run, '2024-02-05T06:00:00+00:00' as at, cast(null as string) as none")
+    got = df.select(K.index_key("d"), K.filing_file_key("d", "a", K.COVER_NAME), K.parsed_key("d", "a"), K.walk_audit_key("d", "run", "at"), K.extracted_key("a", "none")).first()
+    assert tuple(got) == (
+        "raw/edgar/index/form.20240205.idx", "raw/edgar/filings/filed=2024-02-05/0001-24-000001/primary_doc.xml", "parsed/edgar/filings/filed=2024-02-05/0001-24-000001.jsonl",
+        "raw/edgar/audit/walk/day=2024-02-05/manual__a-b---1/2024-02-05T06-00-00-00-00.json", None,
+    )
