@@ -1,4 +1,4 @@
-"""What larger tables need: numbers that stay apart."""
+"""What larger tables need: numbers that stay apart, rows that don't carry their file, tables made only where they are read."""
 
 from pathlib import Path
 
@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.plans.queries import ORACLES, QUERIES
+from quarterdeck.sources import indexes
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,3 +33,11 @@ def test_filings_keep_apart_beyond_a_million_orders(spark, far, name):
     assert sorted((tuple(r[n] for n in names) for r in df.collect()), key=repr) == sorted(rows, key=repr) and rows
     numbers = QUERIES["filing_ingest_status"](spark, far)
     assert numbers.count() == numbers.select("accession_number").distinct().count() == 1_500
+
+
+def test_index_lines_do_not_carry_their_file(spark):
+    text = "Description\n" + "-" * 60 + "\n" + "x\n\n" + "y\n"
+    lines = indexes.index_lines(spark.createDataFrame([("form.20250101.idx", text.encode())], "path string, content binary"))
+    assert [(r.line_no, r.line) for r in lines.orderBy("line_no").collect()] == [(3, "x"), (5, "y")]
+    above = lines._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")[0]
+    assert "_lines" not in above and "array_position" not in above
