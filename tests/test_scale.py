@@ -41,3 +41,13 @@ def test_index_lines_do_not_carry_their_file(spark):
     assert [(r.line_no, r.line) for r in lines.orderBy("line_no").collect()] == [(3, "x"), (5, "y")]
     above = lines._jdf.queryExecution().optimizedPlan().toString().split("Generate posexplode")[0]
     assert "_lines" not in above and "array_position" not in above
+
+
+def test_a_query_makes_the_tables_it_needs_only(spark, tmp_path):
+    from quarterdeck.plans import queries
+
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(200).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert QUERIES["periods"](spark, str(tmp_path)).count() > 0
+    made = vars(queries.tables(spark, str(tmp_path)))
+    assert {"filings", "periods"} <= set(made) and not {"as_filed", "holdings", "lineage_filings", "state"} & set(made)
