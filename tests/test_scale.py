@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarterdeck.plans.queries import ORACLES, QUERIES
-from quarterdeck.sources import indexes
+from quarterdeck.plans.shaped import shaped
+from quarterdeck.sources import filing_xml, indexes
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +52,27 @@ def test_a_query_makes_the_tables_it_needs_only(spark, tmp_path):
     assert QUERIES["periods"](spark, str(tmp_path)).count() > 0
     made = vars(queries.tables(spark, str(tmp_path)))
     assert {"filings", "periods"} <= set(made) and not {"as_filed", "holdings", "lineage_filings", "state"} & set(made)
+
+
+def test_the_walk_is_made_without_holdings_of_data_sets(spark, tmp_path):
+    from quarterdeck.plans import landed
+
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    whole = {tuple(r) for r in shaped(spark, str(tmp_path))[1].where("origin = 'walk'").select("accession_number", "holding_key", "cusip", "value_as_filed").collect()}
+    assert QUERIES["parse_failures"](spark, str(tmp_path)).count() > 0
+    kept = {what: df for (_, folder, what), df in landed._kept.items() if folder == str(tmp_path)}
+    assert "holdings" not in kept and {tuple(r) for r in kept["walk holdings"].select("accession_number", "holding_key", "cusip", "value_as_filed").collect()} == whole
+    assert {r.origin for r in kept["walk holdings"].select("origin").distinct().collect()} == {"walk"}
+
+
+def test_a_table_of_xml_is_parsed_once(spark):
+    good = '<informationTable><infoTable><cusip>037833100</cusip></infoTable><infoTable/></informationTable>'
+    files = spark.createDataFrame([("a", good), ("b", "<other/>"), ("c", "<informationTable><infoTable>"), ("d", "<informationTable></informationTable>")], "accession_number string, xml string")
+    rows = filing_xml.table_holdings(files.repartition(3))
+    got = sorted((r.accession_number, r.row_index, r.cusip, r.error) for r in rows.collect())
+    assert [g[:3] for g in got] == [("a", 1, "037833100"), ("a", 2, None), ("b", 0, None), ("c", 0, None)]
+    assert [g[3] for g in got] == ["titleOfClass", "titleOfClass", "the root is not informationTable", "not well-formed XML"]
+    bad = rows.where("error is not null").groupBy("accession_number").agg(F.min("row_index"))
+    plan = bad._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") + plan.count("xmltostructs(") + plan.count("invoke(XmlToStructsEvaluator") == 1, plan
