@@ -85,19 +85,21 @@ def table_holdings(files: DataFrame) -> DataFrame:
 
     A file that can't be read gives one row with row_index 0 and its error.
     """
-    d = files.withColumn("_x", F.from_xml("xml", TABLE, OPTIONS))
+    # Parsed once: a filter or a second branch over an expression that Spark takes as repeatable would each parse again.
+    d = files.withColumn("_x", F.when(F.spark_partition_id() >= 0, F.from_xml("xml", TABLE, OPTIONS)))
     broken = F.when(~_root(F.col("xml"), "informationTable"), "the root is not informationTable").when(F.col("_x._corrupt_record").isNotNull(), "not well-formed XML")
     d = d.withColumn("_broken", broken)
-    rows = d.where("_broken is null").select("accession_number", F.posexplode("_x.infoTable").alias("_at", "h"))
+    listed = F.transform("_x.infoTable", lambda h, at: F.struct((at + 1).cast("long").alias("row_index"), h.alias("h"), F.lit(None).cast("string").alias("broken")))
+    unread = F.array(F.struct(F.lit(0).cast("long").alias("row_index"), F.lit(None).cast(HOLDING).alias("h"), F.col("_broken").alias("broken")))
+    rows = d.select("accession_number", F.explode(F.when(F.col("_broken").isNull(), listed).otherwise(unread)).alias("_r")).select("accession_number", "_r.row_index", "_r.h", "_r.broken")
     whole = lambda f: C.text(F.col(f"h.{f}")).try_cast("long")
     text = lambda f: C.text(F.col(f"h.{f}"))
     typed = rows.select(
-        "accession_number", (F.col("_at") + 1).cast("long").alias("row_index"), text("nameOfIssuer").alias("name_of_issuer"), text("titleOfClass").alias("title_of_class"), F.upper(text("cusip")).alias("cusip"), F.upper(text("figi")).alias("figi"),
+        "accession_number", "row_index", text("nameOfIssuer").alias("name_of_issuer"), text("titleOfClass").alias("title_of_class"), F.upper(text("cusip")).alias("cusip"), F.upper(text("figi")).alias("figi"),
         whole("value").alias("value"), whole("shrsOrPrnAmt.sshPrnamt").alias("shares_or_principal"), text("shrsOrPrnAmt.sshPrnamtType").alias("shares_or_principal_type"), text("putCall").alias("put_call"),
-        text("investmentDiscretion").alias("investment_discretion"), C.sequence_numbers(F.col("h.otherManager")).alias("other_managers"), whole("votingAuthority.Sole").alias("voting_sole"), whole("votingAuthority.Shared").alias("voting_shared"), whole("votingAuthority.None").alias("voting_none"),
-    ).withColumn("error", holding_error())
-    failed = d.where("_broken is not null").select("accession_number", F.lit(0).cast("long").alias("row_index"), F.col("_broken").alias("error"))
-    return typed.unionByName(failed, allowMissingColumns=True)
+        text("investmentDiscretion").alias("investment_discretion"), C.sequence_numbers(F.col("h.otherManager")).alias("other_managers"), whole("votingAuthority.Sole").alias("voting_sole"), whole("votingAuthority.Shared").alias("voting_shared"), whole("votingAuthority.None").alias("voting_none"), "broken",
+    )
+    return typed.withColumn("error", F.coalesce("broken", holding_error())).drop("broken")
 
 
 def holding_error() -> Column:
