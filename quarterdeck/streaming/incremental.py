@@ -1,15 +1,18 @@
-"""The build kept up to date batch by batch: lineages, canonical holdings and marts of touched filers anew, the others as they are.
+"""The build kept up to date batch by batch: lineages, canonical holdings and marts of touched filers' years anew, the others as they are.
 
 Inputs are kept as they came, a folder a batch, so that a batch that is written again replaces itself. Tables that depend on a
-filer's own filings are partitioned by a bucket of filers; the buckets that a batch touches are made anew from the inputs, never
-from what they held before, and replace their partitions. So a replayed batch, or one that failed halfway, leaves the tables of
-a full build. Two things reach across filers: yardstick prices, which are kept by filer and judged anew for the touched periods
-only, and the names of securities, which come from counts of their spellings kept by filer.
+filer's own filings are partitioned by a bucket of filers and the year of the period; the parts that a batch touches are made
+anew from the inputs, never from what they held before, and replace their partitions. So a replayed batch, or one that failed
+halfway, leaves the tables of a full build. A period compares with the one before, so that filer periods and their changes are
+also made anew for the year that follows a touched one. Four things reach further: the versions of a filing, of which those that
+came more than once are noted; the last name of a filer, which is kept by part; yardstick prices, which are kept by part and
+judged anew for the touched periods only; and the names of securities, which come from counts of their spellings kept by part.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,8 +32,10 @@ HOLDING_TYPES = {
     "shares_or_principal_amount": "bigint", "shares_or_principal_amount_type": "string", "investment_discretion": "string", "value_as_filed": "bigint", "other_manager_sequence_numbers": "array<bigint>",
     "voting_sole": "bigint", "voting_shared": "bigint", "voting_none": "bigint",
 }
-#: Tables by bucket of filers.
-TABLES = ("filing_value_units", "holdings", "addition_coverage", "lineage_filings", "canonical_holdings", "positions", "filer_periods", "position_changes", "spellings", "prices")
+#: What the parts of the tables are told by: a bucket of filers, and the year of the period (0 if it is missing).
+PART = ("bucket", "year")
+#: Tables that readers see, by part.
+TABLES = ("filing_value_units", "holdings", "addition_coverage", "lineage_filings", "canonical_holdings", "positions", "filer_periods", "position_changes")
 
 
 @dataclass
@@ -57,23 +62,35 @@ def bucket_of(cik: Column | str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(cik), F.lit(buckets)).cast("int")
 
 
-def _write(df: DataFrame, path: str, by: str, touched: DataFrame | None = None) -> None:
-    """Replaces the partitions that ``df`` has; with ``touched`` (the column ``by``) also those that it has no row for.
+def _in_parts(df: DataFrame, buckets: int) -> DataFrame:
+    """``df``, which has filers and periods, with the part that each row is in."""
+    return df.withColumns({"bucket": bucket_of("cik", buckets), "year": F.coalesce(F.year("period_of_report"), F.lit(0))})
+
+
+def _among(parts: set[tuple[int, int]]) -> Column:
+    """Whether a row's part is one of these; Spark reads the folders of these only."""
+    by_year = [(F.col("year") == year) & F.col("bucket").isin(sorted(b for b, y in parts if y == year)) for year in sorted({y for _, y in parts})]
+    return reduce(Column.__or__, by_year)
+
+
+def _write(df: DataFrame, path: str, by: tuple[str, ...], touched: DataFrame | None = None) -> None:
+    """Replaces the partitions that ``df`` has; with ``touched`` (the columns ``by``) also those that it has no row for.
 
     Such a partition gets a row that says so, as a partition without any row would stay as it was.
     """
     if touched is not None:
         df = df.unionByName(touched.withColumn("_none", F.lit(True)), allowMissingColumns=True)
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}").where("_none is null").drop("_none")
 
 
-def _inputs(spark: SparkSession, root: str, name: str, types: dict[str, str]) -> DataFrame:
+def _inputs(spark: SparkSession, root: str, name: str, types: dict[str, str], parts: tuple[str, ...] = PART) -> DataFrame:
     """What all batches have brought; an empty batch has no files."""
-    return spark.read.schema(", ".join(f"{c} {t}" for c, t in (types | {"batch": "bigint", "bucket": "int"}).items())).parquet(f"{root}/{name}")
+    types = types | {"batch": "bigint"} | {c: "int" for c in parts}
+    return spark.read.schema(", ".join(f"{c} {t}" for c, t in types.items())).parquet(f"{root}/{name}")
 
 
 def _latest(filings: DataFrame) -> DataFrame:
@@ -88,56 +105,75 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
     A filing may come again, in this batch's number (then it replaces what that batch brought) or in another's (then the
     version that was written last counts). ``buckets`` must be the same for all batches.
     """
-    new = _typed(filings, FILING_TYPES).withColumn("bucket", bucket_of("cik", buckets))
-    new.write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/filings/batch={batch}")
+    new = _in_parts(_typed(filings, FILING_TYPES), buckets)
+    new.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/filings/batch={batch}")
     every = _inputs(spark, root, "filings", FILING_TYPES)
-    keyed = every.where(F.col("batch") == batch).select("accession_number", "bucket")
+    keyed = every.where(F.col("batch") == batch).select("accession_number", *PART)
     held = _typed(as_filed, HOLDING_TYPES).join(keyed, "accession_number")
-    held.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/as_filed/batch={batch}")
+    held.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/as_filed/batch={batch}")
 
     # Other versions of this batch's filings may name other filers and periods.
-    versions = every.join(keyed.select("accession_number").distinct(), "accession_number", "left_semi").select("bucket", "period_of_report").distinct().collect()
-    if not versions:
+    versions = every.join(keyed.select("accession_number").distinct(), "accession_number", "left_semi")
+    versions.groupBy("accession_number").count().where("count > 1").select("accession_number").write.mode("overwrite").parquet(f"{root}/again/batch={batch}")
+    found = versions.select(*PART, "period_of_report").distinct().collect()
+    if not found:
         return
-    numbers, days = sorted({v.bucket for v in versions}), sorted({v.period_of_report for v in versions if v.period_of_report})
-    touched = spark.createDataFrame([(n,) for n in numbers], "bucket int")
-    mine = F.col("bucket").isin(numbers)
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        _write(df, f"{root}/{name}", "bucket", touched)
-        return _read(spark, root, name).where(mine)
-
-    of_filer = lambda df: df.withColumn("bucket", bucket_of("cik", buckets))
-    own = _latest(every.where(mine)).drop("source_last_modified", "source_content_key")
-    rows = _inputs(spark, root, "as_filed", HOLDING_TYPES).where(mine).join(own.select("accession_number", "batch", "bucket"), ["accession_number", "batch", "bucket"]).drop("batch")
-    own = own.drop("batch")
-    units = put("filing_value_units", H.filing_value_units(own, rows).join(own.select("accession_number", "bucket"), "accession_number")).drop("bucket")
-    held = put("holdings", H.holdings(rows, units)).drop("bucket")
-    own = own.drop("bucket")
-    coverage = put("addition_coverage", of_filer(L.addition_coverage(own, held))).drop("bucket")
-    chain = put("lineage_filings", of_filer(L.lineage_filings(own, coverage))).drop("bucket")
-    canonical = put("canonical_holdings", of_filer(H.canonical_holdings(held, chain, own))).drop("bucket")
-    where = put("positions", of_filer(marts.positions(canonical))).drop("bucket")
-    spans = put("filer_periods", of_filer(marts.filer_periods(where, dimensions.periods(chain), dimensions.filers(own), chain, own, quality.unit_overrides(units)))).drop("bucket")
-    put("position_changes", of_filer(marts.unnamed_changes(spans, where)))
-    put("spellings", canonical.groupBy(bucket_of("cik", buckets).alias("bucket"), *dimensions.SPELLING).count())
-    put("prices", of_filer(quality.prices(own, held).join(own.select("accession_number", "cik"), "accession_number")).drop("cik"))
+    parts, days = {(v.bucket, v.year) for v in found}, sorted({v.period_of_report for v in found if v.period_of_report})
+    later = parts | {(b, y + 1) for b, y in parts if y}
+    around = later | {(b, y - 1) for b, y in parts if y}
+    mine = _among(parts)
+
+    def put(name: str, df: DataFrame, touched: set[tuple[int, int]] = parts) -> DataFrame:
+        _write(df, f"{root}/{name}", PART, spark.createDataFrame(sorted(touched), "bucket int, year int"))
+        return _read(spark, root, name).where(_among(touched))
+
+    # Only filings that came more than once are looked for in all parts.
+    again = _inputs(spark, root, "again", {"accession_number": "string"}, ()).select("accession_number").distinct()
+    version = ("accession_number", "batch", *PART)
+    counts = _latest(every.select(*version, "source_last_modified", "source_content_key").join(again, "accession_number", "left_semi")).select(*version)
+    only = lambda df: df.join(again, "accession_number", "left_anti")
+    came = every.where(mine)
+    own = put("latest", only(came).unionByName(_latest(came.join(again, "accession_number", "left_semi")).join(counts, list(version), "left_semi")).drop("source_last_modified", "source_content_key", "batch"))
+    lines = _inputs(spark, root, "as_filed", HOLDING_TYPES).where(mine)
+    rows = only(lines).unionByName(lines.join(counts, list(version), "left_semi")).drop("batch")
+
+    here = lambda df: _in_parts(df, buckets)
+    filed_in = own.select("accession_number", *PART)
+    own = own.drop(*PART)
+    units = put("filing_value_units", H.filing_value_units(own, rows).join(filed_in, "accession_number")).drop(*PART)
+    held = put("holdings", H.holdings(rows, units)).drop(*PART)
+    coverage = put("addition_coverage", here(L.addition_coverage(own, held))).drop(*PART)
+    chain = put("lineage_filings", here(L.lineage_filings(own, coverage))).drop(*PART)
+    canonical = put("canonical_holdings", here(H.canonical_holdings(held, chain, own)))
+    put("positions", here(marts.positions(canonical)))
+    put("spellings", canonical.groupBy(*PART, *dimensions.SPELLING).count())
+    last = F.max(F.struct("filing_date", "accession_number", "filing_manager_name")).alias("last")
+    put("filer_names", here(own.where("filing_manager_name is not null")).groupBy("cik", *PART).agg(last))
+    put("prices", quality.prices(own, held).join(filed_in, "accession_number"))
+
+    where, chain, own, units = (_read(spark, root, name).where(_among(around)).drop(*PART) for name in ("positions", "lineage_filings", "latest", "filing_value_units"))
+    unnamed = own.where(F.lit(False)).select("cik", F.lit(None).cast("string").alias("filer_name"))
+    spans = here(marts.filer_periods(where, dimensions.periods(chain), unnamed, chain, own, quality.unit_overrides(units))).where(_among(later))
+    spans = put("filer_periods", spans, later).drop(*PART)
+    put("position_changes", here(marts.unnamed_changes(spans, where)), later)
 
     dimensions.named_securities(_read(spark, root, "spellings").groupBy(*dimensions.SPELLING).agg(F.sum("count").alias("count"))).write.mode("overwrite").parquet(f"{root}/securities")
     if days:
-        read = _read(spark, root, "prices").drop("bucket").where(F.col("period_of_report").isin(days))
+        read = _read(spark, root, "prices").where(F.col("year").isin(sorted({d.year for d in days})) & F.col("period_of_report").isin(days)).drop(*PART)
         off = quality.ratios_off_yardstick(read).join(read.select("accession_number", "period_of_report").distinct(), "accession_number")
-        _write(off, f"{root}/off_yardstick", "period_of_report", spark.createDataFrame([(d,) for d in days], "period_of_report date"))
+        _write(off, f"{root}/off_yardstick", ("period_of_report",), spark.createDataFrame([(d,) for d in days], "period_of_report date"))
 
 
 def current(spark: SparkSession, root: str) -> Current:
-    """The tables under ``root``. Names of securities and yardstick flags are joined on here."""
-    t = {name: _read(spark, root, name).drop("bucket") for name in TABLES if name not in ("spellings", "prices")}
+    """The tables under ``root``. Names of filers and securities and yardstick flags are joined on here."""
+    t = {name: _read(spark, root, name).drop(*PART) for name in TABLES}
     what = spark.read.parquet(f"{root}/securities")
+    names = _read(spark, root, "filer_names").groupBy("cik").agg(F.max("last").getField("filing_manager_name").alias("filer_name"))
     off = _read(spark, root, "off_yardstick").select("accession_number")
     flagged = t["lineage_filings"].where("is_contributing").join(off, "accession_number", "left_semi").select(*L.LINEAGE).distinct().withColumn("_off", F.lit(True))
-    spans = t["filer_periods"].join(flagged, list(L.LINEAGE), "left").withColumn("has_value_off_yardstick", F.coalesce("_off", F.lit(False))).drop("_off")
-    t |= {"filer_periods": spans.select(*t["filer_periods"].columns), "position_changes": marts.with_names(t["position_changes"], what)}
+    named = {name: t[name].drop("filer_name").join(names, "cik", "left").select(*t[name].columns) for name in ("filer_periods", "position_changes")}
+    spans = named["filer_periods"].join(flagged, list(L.LINEAGE), "left").withColumn("has_value_off_yardstick", F.coalesce("_off", F.lit(False))).drop("_off")
+    t |= {"filer_periods": spans.select(*t["filer_periods"].columns), "position_changes": marts.with_names(named["position_changes"], what)}
     return Current(securities=what, **t)
 
 

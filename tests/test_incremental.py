@@ -82,3 +82,23 @@ def test_a_batch_replaces_the_buckets_it_touches_only(spark, versions, tmp_path)
     after = files()
     gone = {p.split("bucket=")[1].split("/")[0] for p in before - after}
     assert len(gone) == 1 and {p.split("bucket=")[1].split("/")[0] for p in after - before} == gone
+
+
+def test_a_batch_makes_its_years_only_and_no_older_version_comes_back(spark, versions, tmp_path):
+    old, moved, holdings = versions
+    root = f"{tmp_path}/tables"
+    away = moved.where("cik = '0000000777'").join(old.select("accession_number", F.col("cik").alias("was")), "accession_number").orderBy("accession_number").first()
+    own = old.where(F.col("cik") == away["was"]).orderBy("accession_number").collect()
+    late = max((r for r in own if r["accession_number"] != away["accession_number"]), key=lambda r: (r["period_of_report"].year, r["accession_number"]))
+    is_late, is_away = F.col("accession_number") == late["accession_number"], F.col("accession_number") == away["accession_number"]
+    files = lambda: {str(p) for p in (tmp_path / "tables" / "lineage_filings").rglob("*.parquet")}
+    batches = (old.where((F.col("cik") == away["was"]) & ~is_late), moved.where(is_away), old.where(is_late))
+    for number, batch in enumerate(batches):
+        before = files() if number else set()
+        I.apply_batch(spark, f"file://{root}", batch, held_by(holdings, batch), number, 64)
+    gone = {p for p in before if p not in files()}
+    assert len(before) > len(gone)
+    assert not [p for p in gone if f"year={late['period_of_report'].year}/" not in p]
+    now = I.current(spark, f"file://{root}").lineage_filings
+    assert [r["cik"] for r in now.where(is_away).collect()] == ["0000000777"]
+    assert now.count() == len(own)
