@@ -24,6 +24,14 @@ from quarterdeck.llm.common import broadcast_if_small, fresh_names, materialise,
 CHUNK = 2_048
 
 
+def majority(h: np.ndarray) -> int:
+    """64 bits; a bit is set if it is set in over half the hashes. No hashes: 0."""
+    ones = np.zeros(64, np.int64)
+    for k in range(0, len(h), 1 << 16):  # blocks, so that a very long text needs no large table of bits
+        ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(h), bitorder="little").tobytes(), "little")
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """64 bits; a bit is set if it is set in over half the XXH64 (seed 42) of the word shingles. No words: 0."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -37,10 +45,7 @@ def fingerprint(text: str | None, width: int = 3) -> int:
         starts = np.concatenate(([0], ends[:-width])).tolist()
         digest = xxhash.xxh64_intdigest
         h = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, (ends[width - 1 :] - 1).tolist())), np.uint64, len(starts))
-    ones = np.zeros(64, np.int64)
-    for k in range(0, len(h), 1 << 16):  # blocks, so that a very long text needs no large table of bits
-        ones += np.unpackbits(h[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(ones * 2 > len(h), bitorder="little").tobytes(), "little")
+    return majority(h)
 
 
 def fingerprints(docs: DataFrame, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:

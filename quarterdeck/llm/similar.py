@@ -1,8 +1,9 @@
 """Near copies by the Jaccard similarity of five-word shingles, for the pipeline.
 
-Candidates share one of ``BANDS`` keys of ``ROWS`` minwise hashes each: a pair at the least similarity, 0.8, shares one with
-a chance of 0.999, a nearer pair more surely. What candidates connect is then compared by the shingles themselves: only
-pairs that are that similar are linked. Equal sets of shingles are merged first. Groups of much text are cut into chunks,
+Candidates are found by SimHash: all pairs whose 64-bit fingerprints of the shingles differ in at most ``RADIUS`` bits. Those
+are the nearest copies; most pairs about the least similarity, 0.8, differ in more bits, so that candidates also share one of
+``BANDS`` keys of ``ROWS`` minwise hashes each: such a pair does with a chance of 0.999, a nearer one more surely. What
+candidates connect is then compared by the shingles themselves: only pairs that are that similar are linked. Equal sets of shingles are merged first. Groups of much text are cut into chunks,
 and each pair of chunks is a task of its own.
 """
 
@@ -17,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import materialise, slices
-from quarterdeck.llm.simhash import components, keep_first
+from quarterdeck.llm.simhash import components, keep_first, majority, near_links
 
 #: Words of a shingle and the least similarity of a near copy.
 WIDTH, LEAST = 5, 0.8
+RADIUS = 3
 BANDS, ROWS = 24, 6
 #: Shingles of a chunk, as far as single texts allow.
 CHUNK_SHINGLES = 200_000
@@ -56,20 +58,21 @@ def _digest(own: np.ndarray) -> int:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, same (a hash of the set of shingles), n (its size), bands of every row."""
+    """doc_id, same (a hash of the set of shingles), n (its size), fp (its fingerprint), bands of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1):
-            same, size, bands = [], [], []
+            same, size, prints, bands = [], [], [], []
             for t in part.column(1):  # one text's shingles at a time
                 own = shingles(t.as_py())
                 same.append(_digest(own))
                 size.append(len(own))
+                prints.append(majority(own))
                 bands.append(np.array(band_keys(own), np.uint64).view(np.int64))
-            columns = pa.array(np.array(same, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(bands, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "same", "n", "bands"])
+            columns = pa.array(np.array(same, np.uint64).view(np.int64)), pa.array(size, pa.int64()), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([part.column(0), *columns], ["doc_id", "same", "n", "fp", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, same long, n long, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, same long, n long, fp long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -109,6 +112,16 @@ def _verify(table: pa.Table) -> pa.Table:
     return pa.table({k: pa.array([x[c] for x in links], pa.int64()) for c, k in enumerate(("u", "v"))})
 
 
+def candidates(distinct: DataFrame) -> DataFrame:
+    """u, v: links between the reps of ``distinct`` (rep, n, fp, bands) that connect all candidates. Empty sets have none."""
+    prints = materialise(distinct.where("n > 0").groupBy("fp").agg(F.min("rep").alias("head")), "prints")
+    equal = distinct.where("n > 0").join(prints, "fp").where("head <> rep").select(F.col("head").alias("u"), F.col("rep").alias("v"))
+    near = near_links(prints.select("fp", F.col("head").alias("rep")), RADIUS)
+    keyed = distinct.select("rep", F.posexplode("bands").alias("band", "key"))
+    heads = keyed.groupBy("band", "key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return near.unionByName(equal).unionByName(keyed.join(heads, ["band", "key"]).select(F.col("head").alias("u"), F.col("rep").alias("v")))
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """doc_id, component_id of every row: the smallest doc_id that links of similar texts reach.
 
@@ -116,12 +129,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     (its component is null). An empty table gives an empty result.
     """
     own = materialise(sketches(docs), "sketches")
-    distinct = materialise(own.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct")
-    keyed = distinct.select("rep", F.posexplode("bands").alias("band", "key"))
-    heads = keyed.groupBy("band", "key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    loose = components(keyed.join(heads, ["band", "key"]).select(F.col("head").alias("u"), F.col("rep").alias("v")))
+    distinct = materialise(own.where("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
+    loose = components(candidates(distinct))
     loose = loose.unionByName(loose.select(F.col("component").alias("node"), "component").distinct())  # the smallest nodes too
-    held = materialise(distinct.drop("bands").join(loose, distinct.rep == loose.node).select("same", "rep", "n", "component"), "held")
+    held = materialise(distinct.drop("fp", "bands").join(loose, distinct.rep == loose.node).select("same", "rep", "n", "component"), "held")
     parts = held.groupBy("component").agg(F.ceil(F.sum("n") / CHUNK_SHINGLES).alias("parts"))
     dealt = held.join(parts, "component").withColumn("mine", F.pmod(F.xxhash64("same", F.lit(3)), F.col("parts")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))

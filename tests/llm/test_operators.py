@@ -783,3 +783,14 @@ def test_pipeline_stages(spark, tmp_path):
     assert abs(n(seen["mixing"]) - 1.5 * n(seen["pii"])) < 200 and all(r.round_trip for r in seen["sentencepiece"])
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert Counter((r.doc_id, r.ids_sha256) for r in whole.collect()) == Counter((r.doc_id, r.ids_sha256) for r in seen["sentencepiece"])
+
+
+def test_near_copies_are_found_by_simhash_too(spark):
+    from quarterdeck.llm import similar
+
+    near, far = 0b111 << 20, (1 << 40) - 1
+    rows = [(1, 5, near, [1]), (2, 5, 0, [2]), (3, 6, near, [3]), (4, 5, far, [2]), (5, 5, near | 1 << 50, [5]), (6, 0, 0, []), (7, 5, ~far, [7])]
+    links = similar.candidates(spark.createDataFrame(rows, "rep long, n long, fp long, bands array<long>"))
+    assert {(r["node"], r["component"]) for r in simhash.components(links).collect()} == {(2, 1), (3, 1), (4, 1), (5, 1)}
+    own = similar.sketches(spark.createDataFrame([(1, "One two three four five six"), (2, "")], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["fp"] & (1 << 64) - 1 for r in own} == {1: simhash.fingerprint("one two three four five six", 5), 2: 0}
