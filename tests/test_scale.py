@@ -76,3 +76,11 @@ def test_a_table_of_xml_is_parsed_once(spark):
     bad = rows.where("error is not null").groupBy("accession_number").agg(F.min("row_index"))
     plan = bad._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml(") + plan.count("xmltostructs(") + plan.count("invoke(XmlToStructsEvaluator") == 1, plan
+
+
+def test_archives_store_no_holdings_first(spark, tmp_path):
+    from quarterdeck.plans import landed
+
+    (tmp_path / "sf").symlink_to("/root/testdata/sf0.001")
+    landed.archives(spark, f"{tmp_path}/sf")
+    assert not [what for _, sf_dir, what in landed._kept if sf_dir == f"{tmp_path}/sf" and what == "holdings"]
