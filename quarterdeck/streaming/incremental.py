@@ -5,8 +5,8 @@ filer's own filings are partitioned by a bucket of filers and the year of the pe
 anew from the inputs, never from what they held before, and replace their partitions. So a replayed batch, or one that failed
 halfway, leaves the tables of a full build. A period compares with the one before, so that filer periods and their changes are
 also made anew for the year that follows a touched one. Four things reach further: the versions of a filing, of which those that
-came more than once are noted; the last name of a filer, which is kept by part; yardstick prices, which are kept by part and
-judged anew for the touched periods only; and the names of securities, which come from counts of their spellings kept by part.
+came more than once are noted; the last name of a filer, which is kept by part; yardstick prices, which are read from the holdings of
+the touched periods only; and the names of securities, which come from counts of their spellings kept by part.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from quarterdeck.operators import dimensions, holdings as H, lineage as L, marts, quality, staging
 from quarterdeck.sources.records import filing_records, whole_files
@@ -32,6 +33,8 @@ HOLDING_TYPES = {
     "shares_or_principal_amount": "bigint", "shares_or_principal_amount_type": "string", "investment_discretion": "string", "value_as_filed": "bigint", "other_manager_sequence_numbers": "array<bigint>",
     "voting_sole": "bigint", "voting_shared": "bigint", "voting_none": "bigint",
 }
+#: Holdings also have their filing's period, so that prices need no join.
+HELD_TYPES = HOLDING_TYPES | {"period_of_report": "date"}
 #: What the parts of the tables are told by: a bucket of filers, and the year of the period (0 if it is missing).
 PART = ("bucket", "year")
 #: Tables that readers see, by part.
@@ -83,8 +86,10 @@ def _write(df: DataFrame, path: str, by: tuple[str, ...], touched: DataFrame | N
     df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}").where("_none is null").drop("_none")
+def _read(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """A table without the rows that stand for empty parts; with a schema no file is opened to find it."""
+    reader = spark.read.schema(schema.add("_none", "boolean")) if schema else spark.read
+    return reader.parquet(f"{root}/{name}").where("_none is null").drop("_none")
 
 
 def _inputs(spark: SparkSession, root: str, name: str, types: dict[str, str], parts: tuple[str, ...] = PART) -> DataFrame:
@@ -108,14 +113,17 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
     new = _in_parts(_typed(filings, FILING_TYPES), buckets)
     new.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/filings/batch={batch}")
     every = _inputs(spark, root, "filings", FILING_TYPES)
-    keyed = every.where(F.col("batch") == batch).select("accession_number", *PART)
+    keyed = every.where(F.col("batch") == batch).select("accession_number", "period_of_report", *PART)
     held = _typed(as_filed, HOLDING_TYPES).join(keyed, "accession_number")
     held.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/as_filed/batch={batch}")
 
     # Other versions of this batch's filings may name other filers and periods.
-    versions = every.join(keyed.select("accession_number").distinct(), "accession_number", "left_semi")
+    versions = every.select("accession_number").join(keyed, "accession_number", "left_semi")
     versions.groupBy("accession_number").count().where("count > 1").select("accession_number").write.mode("overwrite").parquet(f"{root}/again/batch={batch}")
-    found = versions.select(*PART, "period_of_report").distinct().collect()
+    noted = {"accession_number": "string"}
+    repeated = _inputs(spark, root, "again", noted, ()).where(F.col("batch") == batch)
+    others = every.join(repeated, "accession_number", "left_semi")
+    found = keyed.select(*PART, "period_of_report").distinct().unionByName(others.select(*PART, "period_of_report").distinct()).distinct().collect()
     if not found:
         return
     parts, days = {(v.bucket, v.year) for v in found}, sorted({v.period_of_report for v in found if v.period_of_report})
@@ -125,23 +133,23 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
 
     def put(name: str, df: DataFrame, touched: set[tuple[int, int]] = parts) -> DataFrame:
         _write(df, f"{root}/{name}", PART, spark.createDataFrame(sorted(touched), "bucket int, year int"))
-        return _read(spark, root, name).where(_among(touched))
+        return _read(spark, root, name, StructType(df.schema.fields)).where(_among(touched))
 
     # Only filings that came more than once are looked for in all parts.
-    again = _inputs(spark, root, "again", {"accession_number": "string"}, ()).select("accession_number").distinct()
+    again = _inputs(spark, root, "again", noted, ()).select("accession_number").distinct()
     version = ("accession_number", "batch", *PART)
     counts = _latest(every.select(*version, "source_last_modified", "source_content_key").join(again, "accession_number", "left_semi")).select(*version)
     only = lambda df: df.join(again, "accession_number", "left_anti")
     came = every.where(mine)
     own = put("latest", only(came).unionByName(_latest(came.join(again, "accession_number", "left_semi")).join(counts, list(version), "left_semi")).drop("source_last_modified", "source_content_key", "batch"))
-    lines = _inputs(spark, root, "as_filed", HOLDING_TYPES).where(mine)
+    lines = _inputs(spark, root, "as_filed", HELD_TYPES).where(mine)
     rows = only(lines).unionByName(lines.join(counts, list(version), "left_semi")).drop("batch")
 
     here = lambda df: _in_parts(df, buckets)
     filed_in = own.select("accession_number", *PART)
     own = own.drop(*PART)
     units = put("filing_value_units", H.filing_value_units(own, rows).join(filed_in, "accession_number")).drop(*PART)
-    held = put("holdings", H.holdings(rows, units)).drop(*PART)
+    held = put("holdings", H.holdings(rows, units)).drop("period_of_report", *PART)
     coverage = put("addition_coverage", here(L.addition_coverage(own, held))).drop(*PART)
     chain = put("lineage_filings", here(L.lineage_filings(own, coverage))).drop(*PART)
     canonical = put("canonical_holdings", here(H.canonical_holdings(held, chain, own)))
@@ -149,7 +157,6 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
     put("spellings", canonical.groupBy(*PART, *dimensions.SPELLING).count())
     last = F.max(F.struct("filing_date", "accession_number", "filing_manager_name")).alias("last")
     put("filer_names", here(own.where("filing_manager_name is not null")).groupBy("cik", *PART).agg(last))
-    put("prices", quality.prices(own, held).join(filed_in, "accession_number"))
 
     where, chain, own, units = (_read(spark, root, name).where(_among(around)).drop(*PART) for name in ("positions", "lineage_filings", "latest", "filing_value_units"))
     unnamed = own.where(F.lit(False)).select("cik", F.lit(None).cast("string").alias("filer_name"))
@@ -159,14 +166,15 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
 
     dimensions.named_securities(_read(spark, root, "spellings").groupBy(*dimensions.SPELLING).agg(F.sum("count").alias("count"))).write.mode("overwrite").parquet(f"{root}/securities")
     if days:
-        read = _read(spark, root, "prices").where(F.col("year").isin(sorted({d.year for d in days})) & F.col("period_of_report").isin(days)).drop(*PART)
-        off = quality.ratios_off_yardstick(read).join(read.select("accession_number", "period_of_report").distinct(), "accession_number")
+        read = _read(spark, root, "holdings").where(F.col("year").isin(sorted({d.year for d in days})) & F.col("period_of_report").isin(days))
+        off = quality.ratios_off_yardstick(quality.priced(read, "period_of_report"))
         _write(off, f"{root}/off_yardstick", ("period_of_report",), spark.createDataFrame([(d,) for d in days], "period_of_report date"))
 
 
 def current(spark: SparkSession, root: str) -> Current:
     """The tables under ``root``. Names of filers and securities and yardstick flags are joined on here."""
     t = {name: _read(spark, root, name).drop(*PART) for name in TABLES}
+    t["holdings"] = t["holdings"].drop("period_of_report")
     what = spark.read.parquet(f"{root}/securities")
     names = _read(spark, root, "filer_names").groupBy("cik").agg(F.max("last").getField("filing_manager_name").alias("filer_name"))
     off = _read(spark, root, "off_yardstick").select("accession_number")
@@ -177,9 +185,8 @@ def current(spark: SparkSession, root: str) -> Current:
     return Current(securities=what, **t)
 
 
-def walk_batch(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Filings and holdings as filed of the lines of parsed filings, the last version of each."""
-    rows = staging.filing_records(records)
+def walk_batch(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Filings and holdings as filed of the rows of parsed filings (``staging.filing_records``, the last version of each)."""
     version = rows.where("record_type = 'cover'").select("accession_number", "source_last_modified", "source_content_key")
     covers = staging.xml_cover_pages(rows).join(version, "accession_number").withColumn("origin", F.lit("walk"))
     return covers, staging.xml_holdings(rows).withColumnRenamed("row_index", "holding_key").withColumn("origin", F.lit("walk"))
@@ -192,7 +199,11 @@ def stream_build(spark: SparkSession, path: str, root: str, checkpoint: str, buc
     """
 
     def each(records: DataFrame, batch: int) -> None:
-        apply_batch(spark, root, *walk_batch(records), batch, buckets)
+        rows = staging.filing_records(records).persist()  # covers, their versions and holdings are read from one parse
+        try:
+            apply_batch(spark, root, *walk_batch(rows), batch, buckets)
+        finally:
+            rows.unpersist()
 
     rows = filing_records(whole_files(spark, path, stream=True, files_per_batch=files_per_batch))
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -102,3 +102,13 @@ def test_a_batch_makes_its_years_only_and_no_older_version_comes_back(spark, ver
     now = I.current(spark, f"file://{root}").lineage_filings
     assert [r["cik"] for r in now.where(is_away).collect()] == ["0000000777"]
     assert now.count() == len(own)
+
+
+def test_prices_are_read_from_holdings_of_the_touched_periods(spark, versions, tmp_path):
+    old, _, holdings = versions
+    root = f"file://{tmp_path}/tables"
+    I.apply_batch(spark, root, old, holdings, 0, 2)
+    assert not (tmp_path / "tables" / "prices").exists()
+    periods = spark.read.parquet(f"{root}/holdings").where("_none is null").select("accession_number", "period_of_report").distinct()
+    assert rows_of(periods) == rows_of(old.join(periods.select("accession_number"), "accession_number", "left_semi").select("accession_number", "period_of_report"))
+    assert "period_of_report" not in I.current(spark, root).holdings.columns
