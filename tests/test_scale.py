@@ -84,3 +84,16 @@ def test_archives_store_no_holdings_first(spark, tmp_path):
     (tmp_path / "sf").symlink_to("/root/testdata/sf0.001")
     landed.archives(spark, f"{tmp_path}/sf")
     assert not [what for _, sf_dir, what in landed._kept if sf_dir == f"{tmp_path}/sf" and what == "holdings"]
+
+
+def test_layers_hold_the_only_copy_of_their_tables(spark, tmp_path, monkeypatch):
+    from quarterdeck.plans import build as B
+
+    (tmp_path / "sf").symlink_to(SF)
+    kept, store = [], B._store
+    monkeypatch.setattr(B, "_store", lambda df, table, *more: kept.append(table) or store(df, table, *more))
+    assert QUERIES["stored_layers"](spark, f"{tmp_path}/sf").count() == sum(map(len, B.LAYERS.values()))
+    for layer, names in B.LAYERS.items():
+        for name in names:
+            assert len([t for t in kept if t.endswith(f"{layer}`.{name}")]) == 1
+    assert not [t for t in kept if t.split("_")[0] in ("holdings", "positions", "lineage") and "`" not in t]
