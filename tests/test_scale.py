@@ -86,6 +86,18 @@ def test_archives_store_no_holdings_first(spark, tmp_path):
     assert not [what for _, sf_dir, what in landed._kept if sf_dir == f"{tmp_path}/sf" and what == "holdings"]
 
 
+def test_rules_are_counted_without_other_checks_and_a_second_write(spark, tmp_path, monkeypatch):
+    from quarterdeck.plans import build as B, queries
+
+    (tmp_path / "sf").symlink_to(SF)
+    kept, store = [], B._store
+    monkeypatch.setattr(B, "_store", lambda df, table, *more: kept.append(table.rsplit("_", 1)[0]) or store(df, table, *more))
+    rows = QUERIES["rules_of_written_tables"](spark, f"{tmp_path}/sf").collect()
+    assert {r.table_name for r in rows} == set(queries.RULES)
+    assert not [t for t in kept if t in ("holdings", "lineage_filings", "data_quality_rows", "state")]  # only the checked ones are written
+    assert len([t for t in kept if "checked_holdings" in t]) == 1
+
+
 def test_layers_hold_the_only_copy_of_their_tables(spark, tmp_path, monkeypatch):
     from quarterdeck.plans import build as B
 
