@@ -109,3 +109,8 @@ def test_layers_hold_the_only_copy_of_their_tables(spark, tmp_path, monkeypatch)
         for name in names:
             assert len([t for t in kept if t.endswith(f"{layer}`.{name}")]) == 1
     assert not [t for t in kept if t.split("_")[0] in ("holdings", "positions", "lineage") and "`" not in t]
+
+
+@pytest.mark.parametrize("name", ["cover_box_disagrees_with_submission_type", "filings_of_one_date_across_submitters", "lineage_starts_with_amendment", "notice_with_holdings", "period_disagrees_with_cover", "repeated_security_in_addition", "report_type_disagrees_with_submission_type"])
+def test_other_checks_beyond_a_million_orders(spark, far, name):
+    test_filings_keep_apart_beyond_a_million_orders(spark, far, f"dq_{name}")
