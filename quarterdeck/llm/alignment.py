@@ -6,9 +6,9 @@ groups, enter the shuffle of pairs.
 
 Both tokenizers start anew at a space that follows something other than white space, so texts are cut there into chunks, each
 of whole groups. A task cuts its texts, encodes the distinct chunks side by side and remembers them up to a bound. It writes
-its texts in blocks: a row a block, with each text's distinct pairs. A block's pairs go through the shuffle once each, with
-the number of its documents that hold them, so that no pair has more rows than there are blocks. The sums come back to the
-block, and each document's are taken from them.
+its texts in blocks: a row a text, with its distinct pairs, and one with those of the block. A block's pairs go through the
+shuffle once each, with the number of its documents that hold them, so that no pair has more rows than there are blocks. The
+sums come back to the block, and each document's are taken from them, one block at a time.
 """
 
 from __future__ import annotations
@@ -261,33 +261,41 @@ def _aligner(both: Tokenizers) -> Aligner:
     return _held[key]
 
 
-BLOCK = (
-    "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups_sha256 array<string>, "
-    "pairs array<long>, documents array<long>, same array<int>, same_documents array<long>, row array<int>, slot array<int>, times array<long>"
-)
-FIELDS = [(f.split()[0], pa.int64() if f.split()[1] == "long" else pa.list_({"array<long>": pa.int64(), "array<int>": pa.int32(), "array<string>": pa.string()}[f.split()[1]])) for f in BLOCK.split(", ")]
+#: A row is a document, or stands for a block and has its pairs; no row holds more, so that readers and writers, which hold many rows, stay small.
+DOCUMENT = {"doc_id": "long", "n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups_sha256": "string", "slot": "array<int>", "times": "array<long>"}
+PAIRS = {"pairs": "array<long>", "documents": "array<long>", "same": "array<int>", "same_documents": "array<long>"}
+ARROW = {"long": pa.int64(), "string": pa.string(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32())}
+RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _block(number: int, ids: list, parts: list[dict], identity: np.ndarray) -> pa.RecordBatch:
-    """One row. ``slot`` is a place in ``pairs``, the block's irregular pairs, or -1 - a for the identity of id a."""
-    whole = {k: np.concatenate([p[k] for p in parts]) for k in ("n_a", "n_b", "n_groups", "n_links", "pair", "times")}
-    sizes = np.cumsum([0, *(len(p["n_a"]) for p in parts[:-1])])
-    row = np.concatenate([p["row"] + s for p, s in zip(parts, sizes)])
-    a, b = whole["pair"] >> 32, whole["pair"] & 0xFFFFFFFF
-    regular = identity[a] == b
-    pairs, place, documents = np.unique(whole["pair"][~regular], return_inverse=True, return_counts=True)
+def _rows(number: int, n: int, values: dict) -> pa.RecordBatch:
+    """n rows of a block with these values, others null."""
+    columns = [values.get(k, pa.nulls(n, ARROW[kind])) for k, kind in (DOCUMENT | PAIRS).items()]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(n, number, np.int64)), *columns], ["block", *DOCUMENT, *PAIRS])
+
+
+def _block(number: int, ids: list, parts: list[dict], identity: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The block's documents and its row of pairs. ``slot`` is a place in ``pairs``, the block's irregular pairs in order, or -1 - a for the identity of id a."""
+    names = ("n_a", "n_b", "n_groups", "n_links")
+    pair = np.concatenate([p["pair"] for p in parts])
+    size = np.concatenate([np.bincount(p["row"], minlength=len(p["n_a"])) for p in parts])  # rows ascend in each part
+    a = pair >> 32
+    regular = identity[a] == pair & 0xFFFFFFFF
+    pairs, place, documents = np.unique(pair[~regular], return_inverse=True, return_counts=True)
     slot = np.empty(len(a), np.int32)
     slot[regular], slot[~regular] = -1 - a[regular], place
     vector = np.bincount(a[regular], minlength=len(identity))
     same = np.flatnonzero(vector)
-    sha = [x for p in parts for x in p["groups_sha256"]]
-    values = {"doc_id": ids, **{k: whole[k] for k in ("n_a", "n_b", "n_groups", "n_links")}, "groups_sha256": sha, "pairs": pairs, "documents": documents, "same": same.astype(np.int32), "same_documents": vector[same], "row": row.astype(np.int32), "slot": slot, "times": whole["times"]}
-    columns = [pa.array([number], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, len(values[k])], pa.int32()), pa.array(values[k], kind.value_type)) for k, kind in FIELDS[1:])]
-    return pa.RecordBatch.from_arrays(columns, [k for k, _ in FIELDS])
+    ends = pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32())
+    own = {k: pa.array(np.concatenate([p[k] for p in parts])) for k in names}
+    lists = {"slot": pa.ListArray.from_arrays(ends, pa.array(slot)), "times": pa.ListArray.from_arrays(ends, pa.array(np.concatenate([p["times"] for p in parts])))}
+    yield _rows(number, len(ids), {"doc_id": pa.array(ids, pa.int64()), **own, "groups_sha256": pa.array([x for p in parts for x in p["groups_sha256"]], pa.string()), **lists})
+    of_block = {"pairs": pairs, "documents": documents, "same": same, "same_documents": vector[same]}
+    yield _rows(number, 1, {k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, ARROW[PAIRS[k]].value_type)) for k, v in of_block.items()})
 
 
 def blocks(docs: DataFrame, both: Tokenizers) -> DataFrame:
-    """A row for each block of texts: its documents' counts, their distinct pairs, and in how many documents each pair is."""
+    """A row for each document: its counts and distinct pairs; and one for each block of texts: its pairs, and in how many of its documents each is."""
     shared = docs.sparkSession.sparkContext.broadcast(both)  # as large as the vocabularies
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,12 +309,13 @@ def blocks(docs: DataFrame, both: Tokenizers) -> DataFrame:
             parts.append(aligner.align(part.column(1).to_pylist()))
             size += part.nbytes
             if size > BLOCK_BYTES:
-                yield _block(number, ids, parts, both.identity)
+                yield from _block(number, ids, parts, both.identity)
                 number, ids, parts, size = number + 1, [], [], 0
         if ids:
-            yield _block(number, ids, parts, both.identity)
+            yield from _block(number, ids, parts, both.identity)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCK)
+    schema = ", ".join(f"{k} {kind}" for k, kind in ({"block": "long"} | DOCUMENT | PAIRS).items())
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
 def _vector(rows: DataFrame, key: str, value: str, size: int) -> np.ndarray:
@@ -317,26 +326,21 @@ def _vector(rows: DataFrame, key: str, value: str, size: int) -> np.ndarray:
     return out
 
 
-def _summed(regular: np.ndarray, best: np.ndarray):
-    """Of blocks with their pairs' counts: a row for each document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                own = {c: batch.column(j)[k].values for j, c in enumerate(batch.schema.names)}
-                pairs, found, n = (own[c].to_numpy() for c in ("pairs", "pair", "n"))
-                count = np.zeros(len(pairs), np.int64)
-                count[np.searchsorted(pairs, found)] = n
-                row, slot, times = (own[c].to_numpy() for c in ("row", "slot", "times"))
-                a = np.where(slot < 0, -1 - slot, pairs[np.maximum(slot, 0)] >> 32 if len(pairs) else 0)
-                each = np.where(slot < 0, regular[a], count[np.maximum(slot, 0)] if len(pairs) else 0)
-                total, top = np.zeros((2, len(own["doc_id"])), np.int64)
-                np.add.at(total, row, times * each)
-                np.add.at(top, row, times * (each == best[a]))
-                names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
-                yield pa.RecordBatch.from_arrays([*(own[c] for c in names), pa.array(top), pa.array(total)], [*names, "n_best", "count_sum"])
-
-    return run
+def _summed(docs: pa.Table, found: pa.Table, regular: np.ndarray, best: np.ndarray) -> pa.Table:
+    """A block's documents, from its irregular pairs and in how many documents of all each is."""
+    pairs, count = (found.column(c).to_numpy() for c in ("pair", "n"))
+    order = np.argsort(pairs)
+    pairs, count = pairs[order], count[order]
+    slots, times = (docs.column(c).combine_chunks() for c in ("slot", "times"))
+    row = np.repeat(np.arange(docs.num_rows), slots.value_lengths().to_numpy(zero_copy_only=False))
+    slot, times = slots.flatten().to_numpy(), times.flatten().to_numpy()
+    a = np.where(slot < 0, -1 - slot, pairs[np.maximum(slot, 0)] >> 32 if len(pairs) else 0)
+    each = np.where(slot < 0, regular[a], count[np.maximum(slot, 0)] if len(pairs) else 0)
+    total, top = np.zeros((2, docs.num_rows), np.int64)
+    np.add.at(total, row, times * each)
+    np.add.at(top, row, times * (each == best[a]))
+    counts = docs.select(["doc_id", "n_a", "n_b", "n_groups", "n_links"]).append_column("n_best", pa.array(top)).append_column("count_sum", pa.array(total))
+    return counts.append_column("groups_sha256", docs.column("groups_sha256"))
 
 
 def aligned(docs: DataFrame, both: Tokenizers) -> DataFrame:
@@ -354,16 +358,14 @@ def aligned(docs: DataFrame, both: Tokenizers) -> DataFrame:
     same = own.select(F.explode(F.arrays_zip("same", "same_documents")).alias("x")).groupBy(F.col("x.same").alias("a")).agg(F.sum("x.same_documents").alias("n"))
     regular = _vector(same, "a", "n", size)
     best = np.maximum(regular, _vector(counts.groupBy(F.shiftright("pair", 32).alias("a")).agg(F.max("n").alias("n")), "a", "n", size))
-    back = local.select("block", "pair").join(counts, "pair").groupBy("block").agg(F.collect_list(F.struct("pair", "n")).alias("found"))
-    rows = own.drop("documents", "same", "same_documents").join(back, "block", "left")
-    rows = rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "row", "slot", "times", *(F.coalesce(f"found.{k}", F.array().cast("array<long>")).alias(k) for k in ("pair", "n")))
+    found = local.select("block", "pair").join(counts, "pair")
+    texts = own.where("pairs is null").select(F.col("block").alias("of"), *DOCUMENT)
     vectors = spark.sparkContext.broadcast((regular, best))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _summed(*vectors.value)(batches)
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        return _summed(docs, found, *vectors.value)
 
-    out = rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, n_best long, count_sum long")
-    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return texts.groupBy("of").cogroup(found.groupBy("block")).applyInArrow(run, RESULT)
 
 
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str, a_file: str = A_FILE, b_file: str = B_FILE) -> DataFrame:

@@ -281,6 +281,18 @@ def test_alignment_of_real_texts(spark):
     assert alignment.aligned(docs(spark, []), alignment.Tokenizers.load()).collect() == []
 
 
+def test_no_row_holds_more_than_a_document_or_the_pairs_of_a_block(spark, monkeypatch):
+    rows = [(k, "the quick brown fox naïve café qwrtpsdf xyzzy") for k in range(300)]
+    stored = alignment.blocks(docs(spark, rows).coalesce(1), alignment.Tokenizers.load())
+    lists = [f.name for f in stored.schema.fields if f.dataType.typeName() == "array"]
+    longest = stored.select(F.greatest(*[F.coalesce(F.size(c), F.lit(0)) for c in lists]).alias("n")).agg(F.max("n")).first()[0]
+    assert 0 < longest <= len(rows[0][1]) * 4
+    monkeypatch.setattr(alignment, "BLOCK_BYTES", 1)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 100)
+    many = [(k, "the fox" if k % 3 else "café xyzzy") for k in range(40)]
+    assert sorted((tuple(r) for r in alignment.aligned(docs(spark, many).coalesce(1), alignment.Tokenizers.load()).collect()), key=repr) == brute_alignment(many)
+
+
 def test_large_groups_are_counted_by_distinct_ids(spark, monkeypatch):
     rows = [(1, "日本語 xyzzy plugh"), (2, "qwrtpsdf")]
     want = brute_alignment(rows)
