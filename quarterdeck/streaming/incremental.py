@@ -1,10 +1,11 @@
 """The build kept up to date batch by batch: lineages, canonical holdings and marts of touched filers' years anew, the others as they are.
 
-Inputs are kept as they came, a folder a batch, so that a batch that is written again replaces itself. Tables that depend on a
+Inputs are kept as they came, a folder a batch, so that a batch that is written again replaces itself. Holdings are stored this
+once only, with the unit that their filing's lines tell; those of each filing's last version count. Tables that depend on a
 filer's own filings are partitioned by a bucket of filers and the year of the period; the parts that a batch touches are made
 anew from the inputs, never from what they held before, and replace their partitions. So a replayed batch, or one that failed
 halfway, leaves the tables of a full build. A period compares with the one before, so that filer periods and their changes are
-also made anew for the year that follows a touched one. Four things reach further: the versions of a filing, of which those that
+also made anew for the year that follows a touched one. Shuffle files go with each write. Four things reach further: the versions of a filing, of which those that
 came more than once are noted; the last name of a filer, which is kept by part; yardstick prices, which are read from the holdings of
 the touched periods only; and the names of securities, which come from counts of their spellings kept by part.
 """
@@ -19,7 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from quarterdeck.functions.medians import with_median
 from quarterdeck.operators import dimensions, holdings as H, lineage as L, marts, quality, staging
+from quarterdeck.plans.build import dropping_shuffles
 from quarterdeck.sources.records import filing_records, whole_files
 
 BUCKETS = 256
@@ -33,12 +36,17 @@ HOLDING_TYPES = {
     "shares_or_principal_amount": "bigint", "shares_or_principal_amount_type": "string", "investment_discretion": "string", "value_as_filed": "bigint", "other_manager_sequence_numbers": "array<bigint>",
     "voting_sole": "bigint", "voting_shared": "bigint", "voting_none": "bigint",
 }
-#: Holdings also have their filing's period, so that prices need no join.
-HELD_TYPES = HOLDING_TYPES | {"period_of_report": "date"}
+#: Stored holdings also have their filing's period, so that prices need no join, and what their unit follows from.
+HELD_TYPES = HOLDING_TYPES | {"period_of_report": "date", "median_value_per_share": "double", "value_unit": "string", "value_usd": "bigint"}
+#: What holdings take from their filing; those that come with it are not joined to find it.
+OF_FILING = ("cik", "period_of_report", "filing_date")
+#: Slices of a part, by accession number, and rows up to which accession numbers are broadcast.
+SLICES, FEW = 16, 100_000
 #: What the parts of the tables are told by: a bucket of filers, and the year of the period (0 if it is missing).
 PART = ("bucket", "year")
+VERSION = ("accession_number", "batch", *PART)
 #: Tables that readers see, by part.
-TABLES = ("filing_value_units", "holdings", "addition_coverage", "lineage_filings", "canonical_holdings", "positions", "filer_periods", "position_changes")
+TABLES = ("filing_value_units", "addition_coverage", "lineage_filings", "canonical_holdings", "positions", "filer_periods", "position_changes")
 
 
 @dataclass
@@ -83,7 +91,8 @@ def _write(df: DataFrame, path: str, by: tuple[str, ...], touched: DataFrame | N
     """
     if touched is not None:
         df = df.unionByName(touched.withColumn("_none", F.lit(True)), allowMissingColumns=True)
-    df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    with dropping_shuffles(df):
+        df.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def _read(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
@@ -104,6 +113,35 @@ def _latest(filings: DataFrame) -> DataFrame:
     return filings.withColumn("_n", F.row_number().over(Window.partitionBy("accession_number").orderBy(*order))).where("_n = 1").drop("_n")
 
 
+def _few(accessions: DataFrame) -> DataFrame:
+    """Accession numbers, broadcast if they are few, as counted, so that the holdings they meet stay where they are."""
+    return F.broadcast(accessions) if accessions.limit(FEW + 1).count() <= FEW else accessions
+
+
+def _again(spark: SparkSession, root: str) -> DataFrame:
+    """Filings that came more than once. Only these are looked for in all parts."""
+    return _few(_inputs(spark, root, "again", {"accession_number": "string"}, ()).select("accession_number").distinct())
+
+
+def _counting(spark: SparkSession, root: str, again: DataFrame) -> DataFrame:
+    """Of filings that came more than once: the batch and part of the version that counts."""
+    every = _inputs(spark, root, "filings", FILING_TYPES).select(*VERSION, "source_last_modified", "source_content_key")
+    return _latest(every.join(again, "accession_number", "left_semi")).select(*VERSION)
+
+
+def _of_last(rows: DataFrame, again: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows of the versions that count."""
+    repeated = rows.join(again, "accession_number", "left_semi").join(counts, list(VERSION), "left_semi")
+    return rows.join(again, "accession_number", "left_anti").unionByName(repeated)
+
+
+def _with_unit(held: DataFrame) -> DataFrame:
+    """Holdings, which have their filing's date and part, with their unit: a part's slice has whole filings, so that one exchange serves the medians and the files."""
+    dealt = held.withColumn("_slice", F.pmod(F.xxhash64("accession_number"), F.lit(SLICES))).repartition(*PART, "_slice").withColumn("_price", H.value_per_share())
+    read = with_median(dealt, (*PART, "_slice"), ("accession_number",), "_price", "median_value_per_share")
+    return H.with_value_usd(H.with_units(read.withColumn("median_value_per_share", F.round("median_value_per_share", 7))))
+
+
 def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: DataFrame, batch: int, buckets: int = BUCKETS) -> None:
     """Take a batch of filings and their holdings in, and bring the tables up to date.
 
@@ -111,17 +149,23 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
     version that was written last counts). ``buckets`` must be the same for all batches.
     """
     new = _in_parts(_typed(filings, FILING_TYPES), buckets)
-    new.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/filings/batch={batch}")
+    with dropping_shuffles(new):
+        new.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/filings/batch={batch}")
     every = _inputs(spark, root, "filings", FILING_TYPES)
-    keyed = every.where(F.col("batch") == batch).select("accession_number", "period_of_report", *PART)
-    held = _typed(as_filed, HOLDING_TYPES).join(keyed, "accession_number")
-    held.hint("rebalance", *PART).write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/as_filed/batch={batch}")
+    keyed = every.where(F.col("batch") == batch).select("accession_number", "period_of_report", "filing_date", *PART)
+    if set(OF_FILING) <= set(as_filed.columns):
+        held = _in_parts(_typed(as_filed, HOLDING_TYPES | {c: FILING_TYPES[c] for c in OF_FILING}), buckets)
+    else:
+        held = _typed(as_filed, HOLDING_TYPES).join(keyed, "accession_number")
+    held = _with_unit(held).select(*HELD_TYPES, *PART, F.lit(None).cast("boolean").alias("_none"))
+    with dropping_shuffles(held):
+        held.write.mode("overwrite").partitionBy(*PART).parquet(f"{root}/holdings/batch={batch}")
 
     # Other versions of this batch's filings may name other filers and periods.
     versions = every.select("accession_number").join(keyed, "accession_number", "left_semi")
-    versions.groupBy("accession_number").count().where("count > 1").select("accession_number").write.mode("overwrite").parquet(f"{root}/again/batch={batch}")
-    noted = {"accession_number": "string"}
-    repeated = _inputs(spark, root, "again", noted, ()).where(F.col("batch") == batch)
+    with dropping_shuffles(versions):
+        versions.groupBy("accession_number").count().where("count > 1").select("accession_number").write.mode("overwrite").parquet(f"{root}/again/batch={batch}")
+    repeated = _inputs(spark, root, "again", {"accession_number": "string"}, ()).where(F.col("batch") == batch)
     others = every.join(repeated, "accession_number", "left_semi")
     found = keyed.select(*PART, "period_of_report").distinct().unionByName(others.select(*PART, "period_of_report").distinct()).distinct().collect()
     if not found:
@@ -135,21 +179,18 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
         _write(df, f"{root}/{name}", PART, spark.createDataFrame(sorted(touched), "bucket int, year int"))
         return _read(spark, root, name, StructType(df.schema.fields)).where(_among(touched))
 
-    # Only filings that came more than once are looked for in all parts.
-    again = _inputs(spark, root, "again", noted, ()).select("accession_number").distinct()
-    version = ("accession_number", "batch", *PART)
-    counts = _latest(every.select(*version, "source_last_modified", "source_content_key").join(again, "accession_number", "left_semi")).select(*version)
-    only = lambda df: df.join(again, "accession_number", "left_anti")
+    again = _again(spark, root)
+    counts = _counting(spark, root, again)
     came = every.where(mine)
-    own = put("latest", only(came).unionByName(_latest(came.join(again, "accession_number", "left_semi")).join(counts, list(version), "left_semi")).drop("source_last_modified", "source_content_key", "batch"))
-    lines = _inputs(spark, root, "as_filed", HELD_TYPES).where(mine)
-    rows = only(lines).unionByName(lines.join(counts, list(version), "left_semi")).drop("batch")
+    once = came.join(again, "accession_number", "left_anti")
+    own = put("latest", once.unionByName(_latest(came.join(again, "accession_number", "left_semi")).join(counts, list(VERSION), "left_semi")).drop("source_last_modified", "source_content_key", "batch"))
+    lines = _of_last(_inputs(spark, root, "holdings", HELD_TYPES), again, counts).drop("batch")
+    held = lines.where(mine)
 
     here = lambda df: _in_parts(df, buckets)
-    filed_in = own.select("accession_number", *PART)
-    own = own.drop(*PART)
-    units = put("filing_value_units", H.filing_value_units(own, rows).join(filed_in, "accession_number")).drop(*PART)
-    held = put("holdings", H.holdings(rows, units)).drop("period_of_report", *PART)
+    read = held.groupBy("accession_number").agg(F.first("median_value_per_share").alias("median_value_per_share"))
+    units = put("filing_value_units", H.with_units(read.join(own.select("accession_number", "filing_date", *PART), "accession_number"))).drop(*PART)
+    own, held = own.drop(*PART), held.drop("median_value_per_share", "period_of_report", *PART)
     coverage = put("addition_coverage", here(L.addition_coverage(own, held))).drop(*PART)
     chain = put("lineage_filings", here(L.lineage_filings(own, coverage))).drop(*PART)
     canonical = put("canonical_holdings", here(H.canonical_holdings(held, chain, own)))
@@ -166,7 +207,7 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
 
     dimensions.named_securities(_read(spark, root, "spellings").groupBy(*dimensions.SPELLING).agg(F.sum("count").alias("count"))).write.mode("overwrite").parquet(f"{root}/securities")
     if days:
-        read = _read(spark, root, "holdings").where(F.col("year").isin(sorted({d.year for d in days})) & F.col("period_of_report").isin(days))
+        read = lines.where(F.col("year").isin(sorted({d.year for d in days})) & F.col("period_of_report").isin(days))
         off = quality.ratios_off_yardstick(quality.priced(read, "period_of_report"))
         _write(off, f"{root}/off_yardstick", ("period_of_report",), spark.createDataFrame([(d,) for d in days], "period_of_report date"))
 
@@ -174,7 +215,8 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
 def current(spark: SparkSession, root: str) -> Current:
     """The tables under ``root``. Names of filers and securities and yardstick flags are joined on here."""
     t = {name: _read(spark, root, name).drop(*PART) for name in TABLES}
-    t["holdings"] = t["holdings"].drop("period_of_report")
+    again = _again(spark, root)
+    t["holdings"] = _of_last(_inputs(spark, root, "holdings", HELD_TYPES), again, _counting(spark, root, again)).select(*HOLDING_TYPES, "value_unit", "value_usd")
     what = spark.read.parquet(f"{root}/securities")
     names = _read(spark, root, "filer_names").groupBy("cik").agg(F.max("last").getField("filing_manager_name").alias("filer_name"))
     off = _read(spark, root, "off_yardstick").select("accession_number")

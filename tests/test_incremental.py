@@ -2,9 +2,11 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from quarterdeck.operators import holdings as H
 from quarterdeck.plans.build import build, written
 from quarterdeck.plans.shaped import shaped
 from quarterdeck.streaming import incremental as I
@@ -112,3 +114,20 @@ def test_prices_are_read_from_holdings_of_the_touched_periods(spark, versions, t
     periods = spark.read.parquet(f"{root}/holdings").where("_none is null").select("accession_number", "period_of_report").distinct()
     assert rows_of(periods) == rows_of(old.join(periods.select("accession_number"), "accession_number", "left_semi").select("accession_number", "period_of_report"))
     assert "period_of_report" not in I.current(spark, root).holdings.columns
+
+
+def test_holdings_are_stored_once_with_their_units(spark, versions, tmp_path):
+    old, moved, holdings = versions
+    some = old.where("k % 4 = 0")
+    again = moved.where("k % 4 = 0")
+    both = [held_by(holdings, batch) for batch in (some, again)]
+    ready = both[1].join(again.select("accession_number", *I.OF_FILING), "accession_number")  # these are not joined to find their filing
+    for number, (batch, held) in enumerate(((some, both[0]), (again, ready))):
+        I.apply_batch(spark, f"file://{tmp_path}/tables", batch, held, number, 2)
+    files = [pq.ParquetFile(p) for p in (tmp_path / "tables").rglob("*.parquet")]
+    stored = [f.metadata.num_rows for f in files if "voting_sole" in f.schema_arrow.names and "filing_role" not in f.schema_arrow.names]
+    assert sum(stored) == sum(df.count() for df in both) > 0
+    latest = some.join(again, "accession_number", "left_anti").unionByName(again)
+    want = H.holdings(both[0], H.filing_value_units(latest, both[0]))
+    got = I.current(spark, f"file://{tmp_path}/tables").holdings
+    assert rows_of(got) == rows_of(want.select(*got.columns))
