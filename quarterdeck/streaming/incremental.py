@@ -193,7 +193,9 @@ def apply_batch(spark: SparkSession, root: str, filings: DataFrame, as_filed: Da
     own, held = own.drop(*PART), held.drop("median_value_per_share", "period_of_report", *PART)
     coverage = put("addition_coverage", here(L.addition_coverage(own, held))).drop(*PART)
     chain = put("lineage_filings", here(L.lineage_filings(own, coverage))).drop(*PART)
-    canonical = put("canonical_holdings", here(H.canonical_holdings(held, chain, own)))
+    contributing = _few(chain.where("is_contributing").select("accession_number"))
+    in_effect = held.join(contributing, "accession_number", "left_semi")  # others stay out of the exchanges that tell copies
+    canonical = put("canonical_holdings", here(H.canonical_holdings(in_effect, chain, own)))
     put("positions", here(marts.positions(canonical)))
     put("spellings", canonical.groupBy(*PART, *dimensions.SPELLING).count())
     last = F.max(F.struct("filing_date", "accession_number", "filing_manager_name")).alias("last")

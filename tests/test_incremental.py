@@ -131,3 +131,19 @@ def test_holdings_are_stored_once_with_their_units(spark, versions, tmp_path):
     want = H.holdings(both[0], H.filing_value_units(latest, both[0]))
     got = I.current(spark, f"file://{tmp_path}/tables").holdings
     assert rows_of(got) == rows_of(want.select(*got.columns))
+
+
+def test_holdings_that_are_not_in_effect_stay_out_of_canonical_holdings(spark, versions, tmp_path, monkeypatch):
+    old, _, holdings = versions
+    some = old.where("k % 4 = 0")
+    held, seen, canonical = held_by(holdings, some), [], I.H.canonical_holdings
+    monkeypatch.setattr(I.H, "canonical_holdings", lambda *tables: seen.append(tables) or canonical(*tables))
+    found = []
+    for few in (I.FEW, 0):  # broadcast or not
+        monkeypatch.setattr(I, "FEW", few)
+        I.apply_batch(spark, f"file://{tmp_path}/{few}", some, held, 0, 2)
+        found.append(rows_of(I.current(spark, f"file://{tmp_path}/{few}").canonical_holdings))
+    assert found[0] == found[1] != []
+    read, chain, _ = seen[0]
+    assert 0 < read.count() < held.count()
+    assert read.join(chain.where("is_contributing"), "accession_number", "left_anti").count() == 0
