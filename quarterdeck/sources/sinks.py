@@ -33,11 +33,11 @@ def filing_lines(covers: DataFrame, holdings: DataFrame, source_key: str = "") -
     return cover.unionByName(lines(dated, "holding", F.col("row_index"), ["filing_date", "accession_number"]))
 
 
-def write_filing_lines(lines: DataFrame, path: str, files_per_day: int = 1) -> None:
+def write_filing_lines(lines: DataFrame, path: str, files_per_day: int = 1, compression: str = "none") -> None:
     """One folder ``filed=...`` a day; a filing's lines stay together and in order. Days are replaced whole, so a rerun repeats nothing."""
     spread = F.pmod(F.xxhash64("accession_number"), F.lit(files_per_day))
     ordered = lines.repartition("filing_date", spread).sortWithinPartitions("filing_date", "accession_number", "ord")
-    ordered.select(F.col("filing_date").alias("filed"), F.col("line").alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filed").text(path)
+    ordered.select(F.col("filing_date").alias("filed"), F.col("line").alias("value")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("filed").text(path, compression=compression)
 
 
 def walk_audit(days: DataFrame, landed: DataFrame, failures: DataFrame) -> DataFrame:

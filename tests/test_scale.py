@@ -114,3 +114,22 @@ def test_layers_hold_the_only_copy_of_their_tables(spark, tmp_path, monkeypatch)
 @pytest.mark.parametrize("name", ["cover_box_disagrees_with_submission_type", "filings_of_one_date_across_submitters", "lineage_starts_with_amendment", "notice_with_holdings", "period_disagrees_with_cover", "repeated_security_in_addition", "report_type_disagrees_with_submission_type"])
 def test_other_checks_beyond_a_million_orders(spark, far, name):
     test_filings_keep_apart_beyond_a_million_orders(spark, far, f"dq_{name}")
+
+
+def test_lines_meet_their_orders_once_for_batches_and_land_compressed(spark, monkeypatch):
+    from quarterdeck.plans import landed
+
+    monkeypatch.setattr(landed, "_kept", {})
+    dated = landed._dated_holdings(spark, SF)
+    walk = landed._walk_holdings(spark, SF)
+    assert walk.inputFiles() and all("dated-holdings" in f for f in walk.inputFiles())
+    plain = lambda df: sorted((tuple(r) for r in df.collect()), key=repr)
+    filings, holdings = shaped(spark, SF)
+    assert plain(walk) == plain(holdings.where("origin = 'walk'").select(*walk.columns))
+    assert dated.count() == holdings.count()
+    stored = landed.shaped_filings(spark, SF)
+    assert plain(stored) == plain(filings.select(*stored.columns))
+    taken = ("accession_number", "cik", "period_of_report", "filing_date")
+    assert plain(dated.select(*taken).distinct()) == plain(stored.join(dated.select("accession_number").distinct(), "accession_number", "left_semi").select(*taken))
+    files = spark.read.text(f"{landed._lines_folder(spark, SF)}/*/*", wholetext=True).inputFiles()
+    assert files and all(f.endswith(".gz") for f in files)
